@@ -47,3 +47,166 @@ def rolling_30_order_otif(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lading.plans.fulfillment import service_mart_rolling
     wh = _wh(spark, sf_dir)
     return service_mart_rolling(wh.fct_order_line, wh.fct_shipment)
+
+
+TIE_BREAK = ("l_partkey", "l_suppkey", "l_extendedprice")
+
+
+@register("dim_date")
+def dim_date_q(spark, sf_dir):
+    return _wh(spark, sf_dir).dim_date
+
+
+@register("cohort_revenue")
+def cohort_revenue_q(spark, sf_dir):
+    from lading.plans.cohorts import cohort_revenue
+    return cohort_revenue(_wh(spark, sf_dir).fct_order_line)
+
+
+@register("nested_order_items")
+def nested_order_items_q(spark, sf_dir):
+    from lading.plans.nested import nested_order_items
+    return nested_order_items(_wh(spark, sf_dir).fct_order_line)
+
+
+@register("nested_orders")
+def nested_orders_q(spark, sf_dir):
+    """D13 kept nested, then summarised per order (scalar columns only)."""
+    from pyspark.sql import functions as F
+    from lading.plans.nested import nested_orders
+    n = nested_orders(_wh(spark, sf_dir).fct_order_line)
+    return (n.select("order_id", "customer_id", "order_date",
+                     F.size("items").cast("bigint").alias("item_count"),
+                     F.col("items")[0]["sku"].alias("first_sku"),
+                     F.element_at("items", -1)["sku"].alias("last_sku")))
+
+
+@register("order_events_flatten")
+def order_events_flatten_q(spark, sf_dir):
+    from lading.plans.nested import flatten_order_events, order_events
+    c = SourceContract(spark, sf_dir)
+    return flatten_order_events(order_events(c.order_lines))
+
+
+@register("stg_order_lines")
+def stg_order_lines_q(spark, sf_dir):
+    from lading.plans.lakehouse import stg_order_lines
+    return stg_order_lines(SourceContract(spark, sf_dir).order_lines_dirty, tie_break=TIE_BREAK,
+                           with_warehouse=True)
+
+
+@register("silver_order_lines")
+def silver_order_lines_q(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from lading.plans.lakehouse import silver_order_lines
+    b = SourceContract(spark, sf_dir).order_lines_bronze
+    # bronze as landed text: dates and numbers arrive as strings
+    text = b.withColumns({c: F.col(c).cast("string") for c in
+                          ("order_date", "promised_date", "units_ordered", "units_shipped", "revenue")})
+    return silver_order_lines(text, tie_break=TIE_BREAK).drop(*TIE_BREAK)
+
+
+@register("gold_order_service")
+def gold_order_service_q(spark, sf_dir):
+    from lading.plans.lakehouse import gold_order_service
+    wh = _wh(spark, sf_dir)
+    return gold_order_service(wh.fct_order_line, wh.fct_shipment)
+
+
+@register("quality_summary")
+def quality_summary_q(spark, sf_dir):
+    from lading.plans.lakehouse import quality_summary
+    return quality_summary(SourceContract(spark, sf_dir).order_lines_bronze)
+
+
+MERGE_COLUMNS = ("order_line_id", "order_id", "customer_id", "order_date", "promised_date", "sku",
+                 "units_ordered", "units_shipped", "revenue")
+
+
+def _merge(spark, sf_dir, conditional):
+    from lading.operators.merge import merge_into
+    c = SourceContract(spark, sf_dir)
+    out = merge_into(c.merge_target, c.merge_source, "order_line_id", MERGE_COLUMNS,
+                     ("units_shipped", "revenue"), conditional=conditional)
+    return out.drop("updated_at")
+
+
+@register("merge_conditional")
+def merge_conditional_q(spark, sf_dir):
+    return _merge(spark, sf_dir, True)
+
+
+@register("merge_upsert")
+def merge_upsert_q(spark, sf_dir):
+    return _merge(spark, sf_dir, False)
+
+
+@register("quality_report")
+def quality_report_q(spark, sf_dir):
+    return _wh(spark, sf_dir).data_quality_report
+
+
+@register("quality_gate")
+def quality_gate_q(spark, sf_dir):
+    """Failing checks when bronze (repeating keys) is published as the clean fact."""
+    from lading.plans.quality import failing_checks
+    c = SourceContract(spark, sf_dir)
+    raw = c.extracts()
+    raw["erp_order_lines"] = c.order_lines_bronze
+    return failing_checks(Warehouse(raw).data_quality_report)
+
+
+@register("build_summary")
+def build_summary_q(spark, sf_dir):
+    from lading.plans.quality import build_summary
+    return build_summary(_wh(spark, sf_dir).mart_order_fulfillment)
+
+
+@register("export_checks")
+def export_checks_q(spark, sf_dir):
+    from lading.plans.quality import export_checks
+    wh = _wh(spark, sf_dir)
+    return export_checks(wh.mart_order_fulfillment, wh.mart_carrier_performance, wh.data_quality_report)
+
+
+@register("qa_duplicate_keys")
+def qa_duplicate_keys_q(spark, sf_dir):
+    from lading.operators.merge import duplicate_keys
+    return duplicate_keys(SourceContract(spark, sf_dir).order_lines_bronze, "order_line_id")
+
+
+@register("qa_mart_violations")
+def qa_mart_violations_q(spark, sf_dir):
+    from lading.plans.quality import mart_violations
+    return mart_violations(_wh(spark, sf_dir).mart_order_fulfillment)
+
+
+@register("qa_violation_counts")
+def qa_violation_counts_q(spark, sf_dir):
+    from lading.plans.quality import violation_counts
+    return violation_counts(_wh(spark, sf_dir).mart_order_fulfillment)
+
+
+@register("order_weight")
+def order_weight_q(spark, sf_dir):
+    return SourceContract(spark, sf_dir).order_weights
+
+
+@register("demand_grid")
+def demand_grid_q(spark, sf_dir):
+    return SourceContract(spark, sf_dir).demand_grid.drop("p_partkey", "unit_price", "mi", "wi")
+
+
+@register("warehouse_activity")
+def warehouse_activity_q(spark, sf_dir):
+    return SourceContract(spark, sf_dir).warehouse_activity
+
+
+@register("carrier_lead_time_approx")
+def carrier_lead_time_approx_q(spark, sf_dir):
+    """Approximate percentiles (engine-specific: rows-only check)."""
+    from pyspark.sql import functions as F
+    m = _wh(spark, sf_dir).mart_order_fulfillment.filter(F.col("carrier").isNotNull())
+    lead = F.col("order_lead_time_days")
+    return m.groupBy("carrier").agg(F.percentile_approx(lead, 0.5).alias("median_lead_time_days"),
+                                    F.percentile_approx(lead, 0.9).alias("p90_lead_time_days"))

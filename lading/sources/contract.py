@@ -245,11 +245,15 @@ class SourceContract:
         b = self.order_lines_bronze
         return b.select(
             F.concat(F.lit(" "), "order_line_id", F.lit(" ")).alias("order_line_id"),
-            "order_id", "customer_id", "sku",
+            "order_id", "customer_id", "warehouse", "sku",
             F.when(F.col("l_partkey") % 50 == 0, F.lit("N/A"))
             .otherwise(F.col("order_date").cast("string")).alias("order_date"),
+            F.when(F.col("l_suppkey") % 43 == 0, F.lit(""))
+            .otherwise(F.col("promised_date").cast("string")).alias("promised_date"),
             F.when(F.col("l_partkey") % 41 == 0, F.lit("bad"))
             .otherwise(F.col("units_ordered").cast("string")).alias("units_ordered"),
+            F.when(F.col("l_partkey") % 47 == 0, F.lit("2.5"))
+            .otherwise(F.col("units_shipped").cast("string")).alias("units_shipped"),
             F.when(F.col("l_suppkey") % 37 == 0, F.lit(""))
             .otherwise(F.col("revenue").cast("string")).alias("revenue"),
             "ingestion_timestamp", "l_partkey", "l_suppkey", "l_extendedprice")

@@ -124,9 +124,11 @@ from lines where year(order_date) = 2000
 group by make_date(cast(year(order_date) as integer), cast(month(order_date) as integer), 1), warehouse""", "lines")
 
 cte("src_stg_dirty", """
-select concat(' ', order_line_id, ' ') order_line_id, order_id, customer_id, sku,
+select concat(' ', order_line_id, ' ') order_line_id, order_id, customer_id, warehouse, sku,
        case when l_partkey % 50 = 0 then 'N/A' else cast(order_date as varchar) end order_date,
+       case when l_suppkey % 43 = 0 then '' else cast(promised_date as varchar) end promised_date,
        case when l_partkey % 41 = 0 then 'bad' else cast(units_ordered as varchar) end units_ordered,
+       case when l_partkey % 47 = 0 then '2.5' else cast(units_shipped as varchar) end units_shipped,
        case when l_suppkey % 37 = 0 then '' else cast(revenue as varchar) end revenue,
        ingestion_timestamp, l_partkey, l_suppkey, l_extendedprice
 from src_erp_order_lines""", "src_erp_order_lines")
@@ -202,11 +204,20 @@ def resolve(*names: str) -> list[str]:
     return seen
 
 
-def with_ctes(body: str, *names: str, extra: list[tuple[str, str]] | None = None) -> str:
-    """``with <adapters...>, <extra...> <body>``."""
-    parts = [f"{n} as ({CTES[n][0].strip()})" for n in resolve(*names)]
-    parts += [f"{n} as ({sql.strip()})" for n, sql in (extra or [])]
+def with_ctes(body: str, *names: str, extra: list[tuple[str, str]] | None = None,
+              overrides: dict[str, str] | None = None) -> str:
+    """``with [recursive] <adapters...>, <extra...> <body>``.
+
+    ``overrides`` replaces the SQL of named CTEs (dependencies unchanged
+    unless the override names its own via ``extra``)."""
+    overrides = overrides or {}
     body = body.strip()
+    recursive = body[:15].lower() == "with recursive "
+    if recursive:
+        body = "with " + body[15:]
+    parts = [f"{n} as ({overrides.get(n, CTES[n][0]).strip()})" for n in resolve(*names)]
+    parts += [f"{n} as ({sql.strip()})" for n, sql in (extra or [])]
+    head = "with recursive " if recursive else "with "
     if body[:5].lower() == "with ":
-        return "with " + ",\n".join(parts) + ",\n" + body[5:]
-    return "with " + ",\n".join(parts) + "\n" + body
+        return head + ",\n".join(parts) + ",\n" + body[5:]
+    return head + ",\n".join(parts) + "\n" + body
