@@ -25,7 +25,7 @@ def register(name: str):
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse.from_testdata(spark, sf_dir)
+    return Warehouse.from_testdata(spark, sf_dir, materialize=True)
 
 
 def _mart(attr: str) -> Query:
@@ -210,3 +210,67 @@ def carrier_lead_time_approx_q(spark, sf_dir):
     lead = F.col("order_lead_time_days")
     return m.groupBy("carrier").agg(F.percentile_approx(lead, 0.5).alias("median_lead_time_days"),
                                     F.percentile_approx(lead, 0.9).alias("p90_lead_time_days"))
+
+
+def _scratch(spark, name):
+    import uuid
+    from lading.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("src_scan")
+def src_scan_q(spark, sf_dir):
+    """A1/A2: the order-line extract written as header CSV, scanned back with its declared schema."""
+    from lading.sources.extracts import read_extract, write_extracts
+    d = _scratch(spark, "extracts")
+    write_extracts({"erp_order_lines": SourceContract(spark, sf_dir).extracts()["erp_order_lines"]}, d)
+    return read_extract(spark, d, "erp_order_lines")
+
+
+@register("export_order_mart")
+def export_order_mart_q(spark, sf_dir):
+    """A5/F1: ordered CSV export of the order mart, read back."""
+    from lading.operators.layout import export_ordered_csv, read_csv
+    mart = _wh(spark, sf_dir).mart_order_fulfillment
+    d = _scratch(spark, "mart_order_fulfillment.csv")
+    export_ordered_csv(mart, d, ["customer_id", "order_date", "order_id"])
+    return read_csv(spark, d, mart.schema)
+
+
+def _partitioned_fact(spark, sf_dir):
+    from lading.operators.layout import write_partitioned
+    f = _wh(spark, sf_dir).fct_order_line
+    d = _scratch(spark, "fct_order_lines_by_date")
+    write_partitioned(f, d, "order_date", ["warehouse", "customer_id", "sku"])
+    return d, f.schema
+
+
+@register("fact_partitioned")
+def fact_partitioned_q(spark, sf_dir):
+    """Date-partitioned, clustered order-line fact, read back whole."""
+    d, schema = _partitioned_fact(spark, sf_dir)
+    return spark.read.schema(schema).parquet(d)
+
+
+PRUNED_RANGE = ("1995-01-01", "1995-12-31")
+
+
+@register("fact_pruned_read")
+def fact_pruned_read_q(spark, sf_dir):
+    """The partitioned fact read with its mandatory date range."""
+    from lading.operators.layout import read_partitioned
+    d, schema = _partitioned_fact(spark, sf_dir)
+    return read_partitioned(spark, d, schema, "order_date", *PRUNED_RANGE)
+
+
+@register("fact_bucketed")
+def fact_bucketed_q(spark, sf_dir):
+    """Order lines bucketed by order_id; the order rollup over the
+    bucketed table needs no shuffle of the lines."""
+    import uuid
+    from lading.operators.layout import write_bucketed
+    from lading.plans.fulfillment import order_rollup
+    f = _wh(spark, sf_dir).fct_order_line
+    name = f"fct_order_lines_{uuid.uuid4().hex[:12]}"
+    write_bucketed(f, name, _scratch(spark, name), "order_id", ["order_date"])
+    return order_rollup(spark.table(name))

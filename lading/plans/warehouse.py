@@ -17,21 +17,30 @@ from lading.sources.contract import SourceContract
 
 
 class Warehouse:
-    def __init__(self, raw: dict[str, DataFrame]):
+    def __init__(self, raw: dict[str, DataFrame], materialize=None):
         missing = {"customers", "suppliers", "products", "erp_order_lines", "tms_shipments",
                    "wms_inventory_snapshots", "demand_forecasts"} - set(raw)
         if missing:
             raise KeyError(f"missing raw extracts: {sorted(missing)}")
         self.raw = raw
+        self._m = materialize
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Materialise a clean table read by several consumers (when enabled)."""
+        return self._m(name, df) if self._m is not None else df
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
-        return cls(SourceContract(spark, sf_dir).extracts())
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, materialize: bool = False) -> "Warehouse":
+        m = None
+        if materialize:
+            from lading.operators.materialize import Materializer
+            m = Materializer(spark)
+        return cls(SourceContract(spark, sf_dir, m).extracts(), m)
 
     # --- clean -----------------------------------------------------------
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return conform.dim_customer(self.raw["customers"])
+        return self._keep("dim_customer", conform.dim_customer(self.raw["customers"]))
 
     @cached_property
     def dim_supplier(self) -> DataFrame:
@@ -47,7 +56,7 @@ class Warehouse:
 
     @cached_property
     def fct_shipment(self) -> DataFrame:
-        return conform.fct_shipment(self.raw["tms_shipments"])
+        return self._keep("fct_shipment", conform.fct_shipment(self.raw["tms_shipments"]))
 
     @cached_property
     def fct_inventory_snapshot(self) -> DataFrame:

@@ -11,6 +11,7 @@ carriers, warehouses, delays and costs; the DuckDB oracle uses the same ones.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from lading.functions.exprs import padded_id
 from lading.functions.joins import broadcast_if_small
 from lading.operators.dedup import keep_latest
+from lading.sources.tables import read_table, spread_small
 
 # --- fixed values of the derived contract --------------------------------
 # warehouse split: (o_orderkey*37) % 103  -> <35 WH-NORTH, <78 WH-CENTRAL, else WH-SOUTH
@@ -49,12 +51,22 @@ def _bucket(value: Column, bounds_labels, otherwise) -> Column:
 class SourceContract:
     """Lazy DataFrames for every derived extract of one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize=None):
+        """``materialize`` (a ``Materializer``) writes the extracts that
+        several consumers read — the deduplicated order lines — once."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._m = materialize
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        return self._m(name, df) if self._m is not None else df
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_table(self.spark, self.sf_dir, name)
+
+    def fact_table(self, name: str) -> DataFrame:
+        """A fact scan (lineitem, orders): spread when it is small."""
+        return spread_small(self.table(name))
 
     # --- dimensions ------------------------------------------------------
     @cached_property
@@ -111,7 +123,7 @@ class SourceContract:
     @cached_property
     def order_lines_bronze(self) -> DataFrame:
         """Bronze ERP order lines: ``order_line_id`` repeats (re-deliveries)."""
-        li = self.table("lineitem").select(
+        li = self.fact_table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_shipdate")
         h = broadcast_if_small(self.order_headers.select(
@@ -139,7 +151,8 @@ class SourceContract:
     @cached_property
     def order_lines(self) -> DataFrame:
         """Raw ERP extract: keep-latest bronze row per ``order_line_id``."""
-        return keep_latest(self.order_lines_bronze, ["order_line_id"], LATEST_ORDER)
+        return self._keep("raw_order_lines",
+                          keep_latest(self.order_lines_bronze, ["order_line_id"], LATEST_ORDER))
 
     # --- shipments -----------------------------------------------------------
     @cached_property
@@ -270,18 +283,41 @@ class SourceContract:
             F.col("ingestion_timestamp") >= F.lit(MERGE_SOURCE_FROM).cast("timestamp_ntz"))
         return keep_latest(b, ["order_line_id"], LATEST_ORDER)
 
-    def extracts(self) -> dict[str, DataFrame]:
-        """The eight raw extracts under the reference's names."""
-        return {
-            "customers": self.customers,
-            "suppliers": self.suppliers,
-            "products": self.products.drop("p_partkey"),
-            "erp_order_lines": self.order_lines.select(*ORDER_LINE_COLUMNS),
-            "tms_shipments": self.shipments,
-            "wms_inventory_snapshots": self.inventory,
-            "demand_forecasts": self.forecasts,
-            "warehouse_activity": self.warehouse_activity,
-        }
+    def extracts(self) -> "LazyExtracts":
+        """The eight raw extracts under the reference's names (built on access)."""
+        return LazyExtracts({
+            "customers": lambda: self.customers,
+            "suppliers": lambda: self.suppliers,
+            "products": lambda: self.products.drop("p_partkey"),
+            "erp_order_lines": lambda: self.order_lines.select(*ORDER_LINE_COLUMNS),
+            "tms_shipments": lambda: self.shipments,
+            "wms_inventory_snapshots": lambda: self.inventory,
+            "demand_forecasts": lambda: self.forecasts,
+            "warehouse_activity": lambda: self.warehouse_activity,
+        })
+
+
+class LazyExtracts(Mapping):
+    """name -> DataFrame, each built (and possibly materialised) on first access."""
+
+    def __init__(self, factories):
+        self._factories = dict(factories)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._factories[name]()
+        return self._built[name]
+
+    def __setitem__(self, name: str, df: DataFrame) -> None:
+        self._factories[name] = lambda: df
+        self._built.pop(name, None)
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def __len__(self) -> int:
+        return len(self._factories)
 
 
 ORDER_LINE_COLUMNS = ("order_line_id", "order_id", "customer_id", "warehouse", "order_date",

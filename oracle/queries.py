@@ -244,3 +244,20 @@ select snapshot_date, warehouse, sku, cast(monthly_demand as bigint) monthly_dem
 from src_demand_grid""", "src_demand_grid")
 
 ORACLE["warehouse_activity"] = with_ctes("select * from src_warehouse_activity", "src_warehouse_activity")
+
+ORACLE["src_scan"] = with_ctes("""
+select order_line_id, order_id, customer_id, warehouse, order_date, promised_date, sku, supplier_id,
+       units_ordered, units_shipped, unit_price, unit_weight_kg, revenue
+from lines""", "lines")
+ORACLE["export_order_mart"] = ORACLE["mart_order_fulfillment"]
+ORACLE["fact_partitioned"] = ORACLE["fct_order_line"]
+ORACLE["fact_pruned_read"] = with_ctes(
+    "select * from fct_order_line where order_date between date '1995-01-01' and date '1995-12-31'",
+    "fct_order_line")
+ORACLE["fact_bucketed"] = with_ctes("""
+select order_id, customer_id, warehouse, min(order_date) as order_date, max(promised_date) as promised_date,
+       cast(sum(units_ordered) as bigint) as units_ordered, cast(sum(units_shipped) as bigint) as units_shipped,
+       cast(sum(revenue) as decimal(38,2)) as recognized_revenue,
+       cast(sum(units_shipped * unit_weight_kg) as decimal(38,3)) as calculated_shipped_weight_kg,
+       count(*) as order_line_count
+from fct_order_line group by 1, 2, 3""", "fct_order_line")
