@@ -105,4 +105,10 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType, parti
     rng = col.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     if not globs:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", base).parquet(*globs).filter(rng)
+    df = spark.read.schema(schema).option("basePath", base).parquet(*globs).filter(rng)
+    return df.select(*schema.fieldNames())
+
+
+def read_partitioned_all(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The whole partitioned table, in the table's column order."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

@@ -17,17 +17,24 @@ from lading.sources.contract import SourceContract
 
 
 class Warehouse:
-    def __init__(self, raw: dict[str, DataFrame], materialize=None):
+    # Tables materialised when a Materializer is given and no explicit list:
+    # those read by several consumers in a single job.
+    SHARED = frozenset({"dim_customer", "fct_shipment"})
+
+    def __init__(self, raw, materialize=None, keep=None):
         missing = {"customers", "suppliers", "products", "erp_order_lines", "tms_shipments",
                    "wms_inventory_snapshots", "demand_forecasts"} - set(raw)
         if missing:
             raise KeyError(f"missing raw extracts: {sorted(missing)}")
         self.raw = raw
         self._m = materialize
+        self._names = frozenset(keep) if keep is not None else self.SHARED
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        """Materialise a clean table read by several consumers (when enabled)."""
-        return self._m(name, df) if self._m is not None else df
+        """Materialise ``name`` (a layer table) when enabled for it."""
+        if self._m is not None and name in self._names:
+            return self._m(name, df)
+        return df
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, materialize: bool = False) -> "Warehouse":
@@ -44,15 +51,15 @@ class Warehouse:
 
     @cached_property
     def dim_supplier(self) -> DataFrame:
-        return conform.dim_supplier(self.raw["suppliers"])
+        return self._keep("dim_supplier", conform.dim_supplier(self.raw["suppliers"]))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return conform.dim_product(self.raw["products"])
+        return self._keep("dim_product", conform.dim_product(self.raw["products"]))
 
     @cached_property
     def fct_order_line(self) -> DataFrame:
-        return conform.fct_order_line(self.raw["erp_order_lines"])
+        return self._keep("fct_order_line", conform.fct_order_line(self.raw["erp_order_lines"]))
 
     @cached_property
     def fct_shipment(self) -> DataFrame:
@@ -60,44 +67,44 @@ class Warehouse:
 
     @cached_property
     def fct_inventory_snapshot(self) -> DataFrame:
-        return conform.fct_inventory_snapshot(self.raw["wms_inventory_snapshots"])
+        return self._keep("fct_inventory_snapshot", conform.fct_inventory_snapshot(self.raw["wms_inventory_snapshots"]))
 
     @cached_property
     def fct_demand_forecast(self) -> DataFrame:
-        return conform.fct_demand_forecast(self.raw["demand_forecasts"])
+        return self._keep("fct_demand_forecast", conform.fct_demand_forecast(self.raw["demand_forecasts"]))
 
     # --- calendar and marts ------------------------------------------------
     @cached_property
     def dim_date(self) -> DataFrame:
         from lading.plans.calendar import dim_date
-        return dim_date(self.fct_order_line, self.fct_shipment)
+        return self._keep("dim_date", dim_date(self.fct_order_line, self.fct_shipment))
 
     @cached_property
     def mart_order_fulfillment(self) -> DataFrame:
         from lading.plans.fulfillment import mart_order_fulfillment
-        return mart_order_fulfillment(self.fct_order_line, self.dim_customer, self.fct_shipment)
+        return self._keep("mart_order_fulfillment", mart_order_fulfillment(self.fct_order_line, self.dim_customer, self.fct_shipment))
 
     @cached_property
     def mart_daily_service_level(self) -> DataFrame:
         from lading.plans.fulfillment import mart_daily_service_level
-        return mart_daily_service_level(self.mart_order_fulfillment)
+        return self._keep("mart_daily_service_level", mart_daily_service_level(self.mart_order_fulfillment))
 
     @cached_property
     def mart_carrier_performance(self) -> DataFrame:
         from lading.plans.fulfillment import mart_carrier_performance
-        return mart_carrier_performance(self.mart_order_fulfillment)
+        return self._keep("mart_carrier_performance", mart_carrier_performance(self.mart_order_fulfillment))
 
     @cached_property
     def mart_inventory_risk(self) -> DataFrame:
         from lading.plans.inventory import mart_inventory_risk
-        return mart_inventory_risk(self.fct_inventory_snapshot, self.dim_product, self.dim_supplier)
+        return self._keep("mart_inventory_risk", mart_inventory_risk(self.fct_inventory_snapshot, self.dim_product, self.dim_supplier))
 
     @cached_property
     def mart_forecast_accuracy(self) -> DataFrame:
         from lading.plans.inventory import mart_forecast_accuracy
-        return mart_forecast_accuracy(self.fct_demand_forecast)
+        return self._keep("mart_forecast_accuracy", mart_forecast_accuracy(self.fct_demand_forecast))
 
     @cached_property
     def data_quality_report(self) -> DataFrame:
         from lading.plans.quality import data_quality_report
-        return data_quality_report(self)
+        return self._keep("data_quality_report", data_quality_report(self))
