@@ -103,7 +103,7 @@ def silver_order_lines_q(spark, sf_dir):
     # bronze as landed text: dates and numbers arrive as strings
     text = b.withColumns({c: F.col(c).cast("string") for c in
                           ("order_date", "promised_date", "units_ordered", "units_shipped", "revenue")})
-    return silver_order_lines(text, tie_break=TIE_BREAK).drop(*TIE_BREAK)
+    return silver_order_lines(text, tie_break=TIE_BREAK).drop(*TIE_BREAK, "l_orderkey", "l_linenumber")
 
 
 @register("gold_order_service")

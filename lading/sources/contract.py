@@ -39,6 +39,7 @@ MERGE_SOURCE_FROM = "1999-07-01 00:00:00"
 
 # keep-latest ordering for bronze order lines (ties broken on all payload)
 LATEST_ORDER = ("ingestion_timestamp", "l_partkey", "l_suppkey", "l_extendedprice")
+LINE_KEY = ("l_orderkey", "l_linenumber")
 
 
 def _bucket(value: Column, bounds_labels, otherwise) -> Column:
@@ -64,9 +65,9 @@ class SourceContract:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
-    def fact_table(self, name: str) -> DataFrame:
+    def fact_table(self, name: str, keys=()) -> DataFrame:
         """A fact scan (lineitem, orders): spread when it is small."""
-        return spread_small(self.table(name))
+        return spread_small(self.table(name), keys)
 
     # --- dimensions ------------------------------------------------------
     @cached_property
@@ -123,7 +124,7 @@ class SourceContract:
     @cached_property
     def order_lines_bronze(self) -> DataFrame:
         """Bronze ERP order lines: ``order_line_id`` repeats (re-deliveries)."""
-        li = self.fact_table("lineitem").select(
+        li = self.fact_table("lineitem", LINE_KEY).select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_shipdate")
         h = broadcast_if_small(self.order_headers.select(
@@ -146,13 +147,20 @@ class SourceContract:
                     "unit_price", "unit_weight_kg",
                     (shipped * F.col("unit_price")).cast("decimal(18,2)").alias("revenue"),
                     F.col("l_shipdate").alias("ingestion_timestamp"),
-                    "l_partkey", "l_suppkey", "l_extendedprice"))
+                    "l_partkey", "l_suppkey", "l_extendedprice", *LINE_KEY))
 
     @cached_property
     def order_lines(self) -> DataFrame:
         """Raw ERP extract: keep-latest bronze row per ``order_line_id``."""
-        return self._keep("raw_order_lines",
-                          keep_latest(self.order_lines_bronze, ["order_line_id"], LATEST_ORDER))
+        return self._keep("raw_order_lines", self._latest(self.order_lines_bronze))
+
+    @staticmethod
+    def _latest(bronze: DataFrame) -> DataFrame:
+        """Keep-latest per order line.  ``order_line_id`` is built injectively
+        from (l_orderkey, l_linenumber), so deduplicating on the numeric pair
+        is the same partition of rows — and matches how small scans are
+        spread, so the window needs no second shuffle."""
+        return keep_latest(bronze, LINE_KEY, LATEST_ORDER).drop(*LINE_KEY)
 
     # --- shipments -----------------------------------------------------------
     @cached_property
@@ -275,13 +283,13 @@ class SourceContract:
     def merge_target(self) -> DataFrame:
         b = self.order_lines_bronze.filter(
             F.col("ingestion_timestamp") < F.lit(MERGE_TARGET_BEFORE).cast("timestamp_ntz"))
-        return keep_latest(b, ["order_line_id"], LATEST_ORDER)
+        return self._latest(b)
 
     @cached_property
     def merge_source(self) -> DataFrame:
         b = self.order_lines_bronze.filter(
             F.col("ingestion_timestamp") >= F.lit(MERGE_SOURCE_FROM).cast("timestamp_ntz"))
-        return keep_latest(b, ["order_line_id"], LATEST_ORDER)
+        return self._latest(b)
 
     def extracts(self) -> "LazyExtracts":
         """The eight raw extracts under the reference's names (built on access)."""
