@@ -63,9 +63,8 @@ def running_rank_and_sum(df: DataFrame, partition_by: Sequence[str], order_by: S
     joined = blocked.join(broadcast_if_small(offsets), keys)
     nn = F.col("_off_nn") + F.count(value).over(running)
     total = F.coalesce(F.col("_off_s"), F.lit(0)) + F.coalesce(F.sum(value).over(running), F.lit(0))
-    return (joined
-            .withColumn(rank_name, F.col("_off_n") + F.row_number().over(inside))
-            .withColumn(sum_name, F.when(nn > 0, total))
+    return (joined.withColumns({rank_name: F.col("_off_n") + F.row_number().over(inside),
+                                sum_name: F.when(nn > 0, total)})
             .drop(*bcols, "_off_n", "_off_nn", "_off_s"))
 
 

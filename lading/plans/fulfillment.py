@@ -31,14 +31,20 @@ def order_rollup(lines: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("order_line_count")))
 
 
-def service_flags(df: DataFrame) -> DataFrame:
+def service_flag_columns() -> dict:
     """Fill rate and complete / on-time / OTIF flags (NULL conditions score 0)."""
     complete = F.col("units_shipped") >= F.col("units_ordered")
     on_time = F.col("delivery_date") <= F.col("promised_date")
-    return (df.withColumn("unit_fill_rate", ratio("units_shipped", "units_ordered"))
-            .withColumn("complete_order_flag", flag(complete))
-            .withColumn("on_time_flag", flag(on_time))
-            .withColumn("otif_flag", flag((F.col("complete_order_flag") == 1) & (F.col("on_time_flag") == 1))))
+    return {
+        "unit_fill_rate": ratio("units_shipped", "units_ordered"),
+        "complete_order_flag": flag(complete),
+        "on_time_flag": flag(on_time),
+        "otif_flag": flag(complete & on_time),
+    }
+
+
+def service_flags(df: DataFrame) -> DataFrame:
+    return df.withColumns(service_flag_columns())
 
 
 def mart_order_fulfillment(lines: DataFrame, customers: DataFrame, shipments: DataFrame) -> DataFrame:
@@ -57,20 +63,23 @@ def mart_order_fulfillment(lines: DataFrame, customers: DataFrame, shipments: Da
     cust = broadcast_if_small(customers.select("customer_id", "customer_segment", "region"))
     joined = (orders.join(ship, "order_id", "left")
               .join(cust, "customer_id"))
-    scored = (service_flags(joined)
-              .withColumn("order_lead_time_days", F.datediff("delivery_date", "order_date").cast("bigint"))
-              .withColumn("freight_cost_per_kg", ratio("freight_cost", "shipment_weight_kg"))
-              .withColumn("logistics_cost", (F.col("freight_cost") + F.col("handling_cost")
-                                             + F.col("exception_cost")).cast("decimal(38,2)")))
+    scored = joined.withColumns({
+        **service_flag_columns(),
+        "order_lead_time_days": F.datediff("delivery_date", "order_date").cast("bigint"),
+        "freight_cost_per_kg": ratio("freight_cost", "shipment_weight_kg"),
+        "logistics_cost": (F.col("freight_cost") + F.col("handling_cost")
+                           + F.col("exception_cost")).cast("decimal(38,2)"),
+    })
     history = running_rank_and_sum(
         scored, ["customer_id"], ["order_date", "order_id"], "recognized_revenue",
         "customer_order_number", "customer_lifetime_revenue",
         coarse=[F.col("order_date"), id_prefix("order_id")])
-    return (history
-            .withColumn("customer_order_number", F.col("customer_order_number").cast("bigint"))
-            .withColumn("customer_lifetime_revenue", F.col("customer_lifetime_revenue").cast("decimal(38,2)"))
-            .withColumn("logistics_cost_pct_revenue", ratio("logistics_cost", "recognized_revenue"))
-            .select(*MART_ORDER_COLUMNS))
+    return history.select(*[
+        F.col(c).cast("bigint").alias(c) if c == "customer_order_number"
+        else F.col(c).cast("decimal(38,2)").alias(c) if c == "customer_lifetime_revenue"
+        else ratio("logistics_cost", "recognized_revenue").alias(c) if c == "logistics_cost_pct_revenue"
+        else F.col(c)
+        for c in MART_ORDER_COLUMNS])
 
 
 MART_ORDER_COLUMNS = (
@@ -105,12 +114,14 @@ def mart_daily_service_level(orders: DataFrame) -> DataFrame:
     daily = daily_rollup(orders)
     by_day = Window.orderBy(F.col("order_date").asc_nulls_last())
     last30 = by_day.rowsBetween(-29, 0)
-    return (daily
-            .withColumn("prior_day_otif", F.lag("otif_rate").over(by_day))
-            .withColumn("rolling_30d_otif", round6(F.avg("otif_rate").over(last30)))
-            .withColumn("rolling_30d_revenue", F.sum("revenue").over(last30).cast("decimal(38,2)"))
-            .withColumn("unit_fill_rate", ratio("units_shipped", "units_ordered"))
-            .withColumn("day_over_day_otif_change", F.col("otif_rate") - F.col("prior_day_otif")))
+    prior = F.lag("otif_rate").over(by_day)
+    return daily.select(
+        "*",
+        prior.alias("prior_day_otif"),
+        round6(F.avg("otif_rate").over(last30)).alias("rolling_30d_otif"),
+        F.sum("revenue").over(last30).cast("decimal(38,2)").alias("rolling_30d_revenue"),
+        ratio("units_shipped", "units_ordered").alias("unit_fill_rate"),
+        (F.col("otif_rate") - prior).alias("day_over_day_otif_change"))
 
 
 def carrier_metrics(orders: DataFrame) -> DataFrame:
@@ -141,8 +152,8 @@ def mart_carrier_performance(orders: DataFrame) -> DataFrame:
     service_cost = Window.orderBy(F.col("otif_rate").desc_nulls_last(),
                                   F.col("freight_cost_per_kg").asc_nulls_last())
     lead = Window.orderBy(F.col("p90_lead_time_days").asc_nulls_last())
-    return (m.withColumn("service_cost_rank", F.dense_rank().over(service_cost).cast("bigint"))
-            .withColumn("lead_time_percentile", F.percent_rank().over(lead)))
+    return m.select("*", F.dense_rank().over(service_cost).cast("bigint").alias("service_cost_rank"),
+                    F.percent_rank().over(lead).alias("lead_time_percentile"))
 
 
 def service_mart_rolling(lines: DataFrame, shipments: DataFrame, block_rows: int = 10_000) -> DataFrame:
@@ -165,7 +176,7 @@ def service_mart_rolling(lines: DataFrame, shipments: DataFrame, block_rows: int
     positioned = global_positions(scored, "order_date", "order_id")
     rolled = rolling_by_position(positioned, "_pos", "otif_flag", 29, "rolling_30_order_otif",
                                  block_rows=block_rows)
-    return (rolled
-            .withColumn("rolling_30_order_otif", round6("rolling_30_order_otif"))
-            .withColumn("freight_cost_per_kg", ratio("freight_cost", "shipment_weight_kg"))
-            .drop("_pos"))
+    return rolled.withColumns({
+        "rolling_30_order_otif": round6("rolling_30_order_otif"),
+        "freight_cost_per_kg": ratio("freight_cost", "shipment_weight_kg"),
+    }).drop("_pos")

@@ -24,8 +24,12 @@ def register(name: str):
     return deco
 
 
-def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse.from_testdata(spark, sf_dir, materialize=True)
+def _wh(spark: SparkSession, sf_dir: str, also=()) -> Warehouse:
+    """Warehouse over the derived extracts; tables read by several consumers
+    of one query are materialised once (``Warehouse.SHARED`` plus ``also``)."""
+    wh = Warehouse.from_testdata(spark, sf_dir, materialize=True)
+    wh._names = Warehouse.SHARED | frozenset(also)
+    return wh
 
 
 def _mart(attr: str) -> Query:
