@@ -194,10 +194,16 @@ class SourceContract:
                     .cast("decimal(18,2)").alias("exception_cost")))
 
     # --- demand grid, inventory, forecast, activity ----------------------------
+    @staticmethod
+    def _in_grid_year() -> Column:
+        """``year(order_date) = 2000`` as a range, so it is pushed to the scan."""
+        return F.col("order_date").between(F.make_date(F.lit(GRID_YEAR), F.lit(1), F.lit(1)),
+                                           F.make_date(F.lit(GRID_YEAR), F.lit(12), F.lit(31)))
+
     @cached_property
     def monthly_demand(self) -> DataFrame:
         return (self.order_lines
-                .filter(F.year("order_date") == GRID_YEAR)
+                .filter(self._in_grid_year())
                 .groupBy(F.month("order_date").alias("mi"), "warehouse", "sku")
                 .agg(F.sum("units_ordered").alias("units")))
 
@@ -251,7 +257,7 @@ class SourceContract:
     @cached_property
     def warehouse_activity(self) -> DataFrame:
         """Monthly units shipped and labor hours per warehouse (L4)."""
-        lines = self.order_lines.filter(F.year("order_date") == GRID_YEAR)
+        lines = self.order_lines.filter(self._in_grid_year())
         month = F.make_date(F.year("order_date"), F.month("order_date"), F.lit(1))
         units = F.sum("units_shipped")
         return (lines.groupBy(month.alias("activity_date"), "warehouse")
