@@ -80,7 +80,7 @@ def quality_checks(raw_lines: DataFrame, lines: DataFrame, shipments: DataFrame,
 
 def data_quality_report(wh: "Warehouse") -> DataFrame:
     return quality_checks(wh.raw["erp_order_lines"], wh.fct_order_line, wh.fct_shipment,
-                          wh.mart_order_fulfillment, wh.mart_carrier_performance,
+                          wh.order_facts, wh.mart_carrier_performance,
                           wh.mart_forecast_accuracy)
 
 

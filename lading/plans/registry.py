@@ -163,14 +163,14 @@ def quality_gate_q(spark, sf_dir):
 @register("build_summary")
 def build_summary_q(spark, sf_dir):
     from lading.plans.quality import build_summary
-    return build_summary(_wh(spark, sf_dir).mart_order_fulfillment)
+    return build_summary(_wh(spark, sf_dir).order_facts)
 
 
 @register("export_checks")
 def export_checks_q(spark, sf_dir):
     from lading.plans.quality import export_checks
     wh = _wh(spark, sf_dir)
-    return export_checks(wh.mart_order_fulfillment, wh.mart_carrier_performance, wh.data_quality_report)
+    return export_checks(wh.order_facts, wh.mart_carrier_performance, wh.data_quality_report)
 
 
 @register("qa_duplicate_keys")
@@ -188,7 +188,7 @@ def qa_mart_violations_q(spark, sf_dir):
 @register("qa_violation_counts")
 def qa_violation_counts_q(spark, sf_dir):
     from lading.plans.quality import violation_counts
-    return violation_counts(_wh(spark, sf_dir).mart_order_fulfillment)
+    return violation_counts(_wh(spark, sf_dir).order_facts)
 
 
 @register("order_weight")
@@ -210,7 +210,7 @@ def warehouse_activity_q(spark, sf_dir):
 def carrier_lead_time_approx_q(spark, sf_dir):
     """Approximate percentiles (engine-specific: rows-only check)."""
     from pyspark.sql import functions as F
-    m = _wh(spark, sf_dir).mart_order_fulfillment.filter(F.col("carrier").isNotNull())
+    m = _wh(spark, sf_dir).order_facts.filter(F.col("carrier").isNotNull())
     lead = F.col("order_lead_time_days")
     return m.groupBy("carrier").agg(F.percentile_approx(lead, 0.5).alias("median_lead_time_days"),
                                     F.percentile_approx(lead, 0.9).alias("p90_lead_time_days"))

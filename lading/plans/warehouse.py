@@ -79,6 +79,15 @@ class Warehouse:
         from lading.plans.calendar import dim_date
         return self._keep("dim_date", dim_date(self.fct_order_line, self.fct_shipment))
 
+    @cached_property
+    def order_facts(self) -> DataFrame:
+        """Orders for rollups that need no customer history: the materialised
+        order mart when the build wrote it, else the mart without history."""
+        if self._m is not None and "mart_order_fulfillment" in self._names:
+            return self.mart_order_fulfillment
+        from lading.plans.fulfillment import order_facts
+        return order_facts(self.fct_order_line, self.dim_customer, self.fct_shipment)
+
     @cached_property
     def mart_order_fulfillment(self) -> DataFrame:
         from lading.plans.fulfillment import mart_order_fulfillment
@@ -87,12 +96,12 @@ class Warehouse:
     @cached_property
     def mart_daily_service_level(self) -> DataFrame:
         from lading.plans.fulfillment import mart_daily_service_level
-        return self._keep("mart_daily_service_level", mart_daily_service_level(self.mart_order_fulfillment))
+        return self._keep("mart_daily_service_level", mart_daily_service_level(self.order_facts))
 
     @cached_property
     def mart_carrier_performance(self) -> DataFrame:
         from lading.plans.fulfillment import mart_carrier_performance
-        return self._keep("mart_carrier_performance", mart_carrier_performance(self.mart_order_fulfillment))
+        return self._keep("mart_carrier_performance", mart_carrier_performance(self.order_facts))
 
     @cached_property
     def mart_inventory_risk(self) -> DataFrame:
