@@ -27,10 +27,17 @@ def nest_items(lines: DataFrame, keys: Sequence[str], item: Column, unique_col:
     keys = list(keys)
     counts = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > max_items)
-    tagged = lines.join(broadcast_if_small(hot), keys, "left")
+    hot_side = broadcast_if_small(hot)
+    tagged = lines.join(hot_side, keys, "left")
     chunk = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(F.col(unique_col)), F.ceil(F.col("_n") / max_items)))
-    return (tagged.withColumn("_chunk", chunk)
+    tagged = tagged.withColumn("_chunk", chunk)
+    if hot_side is hot:
+        # Shuffle join on ``keys``: its output already satisfies the grouping
+        # below, so Spark would aggregate a hot group in one task.  Spread the
+        # chunks explicitly.
+        tagged = tagged.repartition(*keys, "_chunk")
+    return (tagged
             .groupBy(*keys, "_chunk")
             .agg(F.array_sort(F.collect_list(item)).alias(items_name))
             .drop("_chunk"))

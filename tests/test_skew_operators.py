@@ -71,3 +71,23 @@ def test_keep_latest_reduces_before_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert sorted(out.collect()) == [(0, 999), (1, 997), (2, 998)]
+
+
+def test_nest_items_without_broadcast_spreads_chunks(spark):
+    """With the hot list too large to broadcast, chunks are still shuffled apart."""
+    from lading.functions import joins
+    from lading.plans.nested import nested_orders, unnest_items
+    rows = [(f"L{i}", "HOT" if i % 2 else f"O{i % 7}", "C1", dt.date(2025, 1, 1), f"S{i % 5}", 1, Decimal(1))
+            for i in range(400)]
+    lines = spark.createDataFrame(rows, "order_line_id string, order_id string, customer_id string, "
+                                        "order_date date, sku string, units_ordered int, revenue decimal(18,2)")
+    old = joins.DEFAULT_BROADCAST_BYTES
+    joins.DEFAULT_BROADCAST_BYTES = -1
+    try:
+        nested = nested_orders(lines, max_items=25)
+        plan = nested._jdf.queryExecution().executedPlan().toString()
+        assert "_chunk" in plan and "hashpartitioning(order_id" in plan
+        assert nested.filter("order_id = 'HOT'").count() == 8
+        assert unnest_items(nested).count() == 400
+    finally:
+        joins.DEFAULT_BROADCAST_BYTES = old
