@@ -7,143 +7,142 @@ from oracle.ctes import CTES, with_ctes
 
 ORACLE: dict[str, str] = {}
 
-
-def table(name: str, cte_name: str | None = None) -> None:
-    ORACLE[name] = with_ctes(f"select * from {cte_name or name}", cte_name or name)
-
-
 for _n in ("dim_customer", "dim_supplier", "dim_product", "fct_order_line", "fct_shipment",
            "fct_inventory_snapshot", "fct_demand_forecast", "mart_order_fulfillment",
            "mart_daily_service_level", "mart_carrier_performance", "mart_inventory_risk",
            "mart_forecast_accuracy"):
-    table(_n)
+    ORACLE[_n] = with_ctes(f"select * from {_n}", _n)
 
+# Order-grain service rows, ranked over every order by (date, id), with the
+# 0/1 OTIF averaged over the current and 29 previous orders.
 ORACLE["rolling_30_order_otif"] = with_ctes("""
-with orders as (
- select order_id, customer_id, warehouse, min(order_date) order_date, max(promised_date) promised_date,
-        cast(sum(units_ordered) as bigint) units_ordered, cast(sum(units_shipped) as bigint) units_shipped,
-        cast(sum(revenue) as decimal(38,2)) revenue
- from fct_order_line group by 1, 2, 3
-), scored as (
- select o.*, s.carrier, s.delivery_date, s.freight_cost, s.shipment_weight_kg,
-        units_shipped::double / nullif(units_ordered, 0) unit_fill_rate,
-        case when units_shipped >= units_ordered then 1 else 0 end complete_order_flag,
-        case when s.delivery_date <= o.promised_date then 1 else 0 end on_time_flag
- from orders o left join fct_shipment s using (order_id)
-)
-select *, case when complete_order_flag = 1 and on_time_flag = 1 then 1 else 0 end otif_flag,
-       round(avg(case when complete_order_flag = 1 and on_time_flag = 1 then 1 else 0 end)
-             over (order by order_date, order_id rows between 29 preceding and current row), 6) rolling_30_order_otif,
-       freight_cost::double / nullif(shipment_weight_kg::double, 0) freight_cost_per_kg
-from scored""", "fct_order_line", "fct_shipment")
-
+select t.*, round(avg(otif_flag) over last_30_orders, 6) as rolling_30_order_otif,
+       freight_cost::double / nullif(shipment_weight_kg::double, 0) as freight_cost_per_kg
+from (
+    select o.*, s.carrier, s.delivery_date, s.freight_cost, s.shipment_weight_kg,
+           o.units_shipped::double / nullif(o.units_ordered::double, 0) as unit_fill_rate,
+           coalesce(o.units_shipped >= o.units_ordered, false)::integer as complete_order_flag,
+           coalesce(s.delivery_date <= o.promised_date, false)::integer as on_time_flag,
+           coalesce(o.units_shipped >= o.units_ordered and s.delivery_date <= o.promised_date, false)::integer
+               as otif_flag
+    from (select order_id, customer_id, warehouse, min(order_date) as order_date,
+                 max(promised_date) as promised_date, sum(units_ordered)::bigint as units_ordered,
+                 sum(units_shipped)::bigint as units_shipped, sum(revenue)::decimal(38,2) as revenue
+          from fct_order_line group by order_id, customer_id, warehouse) o
+    left join fct_shipment s on s.order_id = o.order_id
+) t
+window last_30_orders as (order by order_date, order_id rows between 29 preceding and current row)""",
+                                            "fct_order_line", "fct_shipment")
+
+# Calendar: every day from the first order date to the last delivery date.
 ORACLE["dim_date"] = with_ctes("""
-with recursive date_spine(calendar_date) as (
-    select min(order_date) from fct_order_line
-    union all
-    select cast(calendar_date + interval 1 day as date) from date_spine
-    where calendar_date < (select max(delivery_date) from fct_shipment)
-)
-select calendar_date,
-       extract(year from calendar_date)::integer as calendar_year,
-       extract(quarter from calendar_date)::integer as calendar_quarter,
-       extract(month from calendar_date)::integer as calendar_month,
-       strftime(calendar_date, '%Y-%m') as year_month,
-       extract(week from calendar_date)::integer as calendar_week,
-       dayname(calendar_date) as day_name,
-       case when dayofweek(calendar_date) in (0, 6) then true else false end as is_weekend
-from date_spine""", "fct_order_line", "fct_shipment")
-
+select d as calendar_date, year(d)::integer as calendar_year, quarter(d)::integer as calendar_quarter,
+       month(d)::integer as calendar_month, strftime(d, '%Y-%m') as year_month,
+       weekofyear(d)::integer as calendar_week, dayname(d) as day_name,
+       isodow(d) in (6, 7) as is_weekend
+from (select unnest(generate_series(lo, greatest(lo, coalesce(hi, lo)), interval 1 day))::date as d
+      from (select min(order_date) as lo from fct_order_line),
+           (select max(delivery_date) as hi from fct_shipment))""", "fct_order_line", "fct_shipment")
+
+# Cohort = a customer's first active month; age = month boundaries since it.
 ORACLE["cohort_revenue"] = with_ctes("""
-with customer_months as (
-    select customer_id, cast(date_trunc('month', order_date) as date) activity_month, sum(revenue) revenue
-    from fct_order_line group by 1, 2
-), cohorts as (
-    select *, min(activity_month) over (partition by customer_id) cohort_month from customer_months
+with monthly as (
+    select customer_id, date_trunc('month', order_date)::date as activity_month, sum(revenue) as revenue
+    from fct_order_line group by customer_id, date_trunc('month', order_date)::date
+), firsts as (
+    select customer_id, min(activity_month) as cohort_month from monthly group by customer_id
 )
-select cohort_month, cast(date_diff('month', cohort_month, activity_month) as integer) months_since_first_order,
-       count(distinct customer_id) active_customers, cast(sum(revenue) as decimal(38,2)) cohort_revenue
-from cohorts group by 1, 2 order by 1, 2""", "fct_order_line")
+select f.cohort_month,
+       ((year(m.activity_month) - year(f.cohort_month)) * 12
+        + month(m.activity_month) - month(f.cohort_month))::integer as months_since_first_order,
+       count(distinct m.customer_id) as active_customers, sum(m.revenue)::decimal(38,2) as cohort_revenue
+from monthly m join firsts f on f.customer_id = m.customer_id
+group by 1, 2 order by 1, 2""", "fct_order_line")
 
 _NESTED = """
-with nested_orders as (
+with nested as (
     select order_id, customer_id, order_date,
-           array_agg({'sku': sku, 'quantity': units_ordered, 'extended_price': revenue} order by sku) items
-    from fct_order_line group by 1, 2, 3
+           list({'sku': sku, 'quantity': units_ordered, 'extended_price': revenue} order by sku) as items
+    from fct_order_line group by order_id, customer_id, order_date
 )"""
 
 ORACLE["nested_order_items"] = with_ctes(_NESTED + """
-select order_id, customer_id, order_date, item.sku as sku, item.quantity as quantity,
-       item.extended_price as extended_price
-from (select order_id, customer_id, order_date, unnest(items) as item from nested_orders) t""", "fct_order_line")
+select order_id, customer_id, order_date, it.sku as sku, it.quantity as quantity,
+       it.extended_price as extended_price
+from (select order_id, customer_id, order_date, unnest(items) as it from nested) x""", "fct_order_line")
 
 ORACLE["nested_orders"] = with_ctes(_NESTED + """
-select order_id, customer_id, order_date, cast(len(items) as bigint) item_count,
-       items[1].sku first_sku, items[-1].sku last_sku
-from nested_orders""", "fct_order_line")
+select order_id, customer_id, order_date, len(items)::bigint as item_count,
+       items[1].sku as first_sku, items[len(items)].sku as last_sku
+from nested""", "fct_order_line")
 
 ORACLE["order_events_flatten"] = with_ctes("""
-select order_id, max(ingestion_timestamp) over (partition by order_id) event_timestamp, sku,
-       cast(units_ordered as decimal(38,0)) quantity, cast(revenue as decimal(18,2)) extended_price
+select order_id, max(ingestion_timestamp) over (partition by order_id) as event_timestamp, sku,
+       units_ordered::decimal(38,0) as quantity, revenue::decimal(18,2) as extended_price
 from lines
-where case when cast(substr(order_id, 2) as bigint) % 3 < 2 then 'order_created' else 'order_updated' end
-      = 'order_created'""", "lines")
+where cast(substr(order_id, 2) as bigint) % 3 < 2""", "lines")
 
 ORACLE["stg_order_lines"] = with_ctes("""
-select * exclude (rn, l_partkey, l_suppkey, l_extendedprice) from (
-    select trim(order_line_id) order_line_id, trim(order_id) order_id, trim(customer_id) customer_id,
-           trim(warehouse) warehouse, try_cast(order_date as date) order_date,
-           try_cast(promised_date as date) promised_date, trim(sku) sku,
-           try_cast(units_ordered as decimal(38,0)) units_ordered,
-           try_cast(units_shipped as decimal(38,0)) units_shipped,
-           try_cast(revenue as decimal(18,2)) revenue, ingestion_timestamp, l_partkey, l_suppkey, l_extendedprice,
+select order_line_id, order_id, customer_id, warehouse, order_date, promised_date, sku,
+       units_ordered, units_shipped, revenue, ingestion_timestamp
+from (
+    select trim(order_line_id) as order_line_id, trim(order_id) as order_id, trim(customer_id) as customer_id,
+           trim(warehouse) as warehouse, try_cast(order_date as date) as order_date,
+           try_cast(promised_date as date) as promised_date, trim(sku) as sku,
+           try_cast(units_ordered as decimal(38,0)) as units_ordered,
+           try_cast(units_shipped as decimal(38,0)) as units_shipped,
+           try_cast(revenue as decimal(18,2)) as revenue, ingestion_timestamp,
            row_number() over (partition by trim(order_line_id)
-                              order by ingestion_timestamp desc, l_partkey desc, l_suppkey desc, l_extendedprice desc) rn
+                              order by ingestion_timestamp desc, l_partkey desc, l_suppkey desc,
+                                       l_extendedprice desc) as pick
     from src_stg_dirty) t
-where rn = 1""", "src_stg_dirty")
+where pick = 1""", "src_stg_dirty")
 
 ORACLE["silver_order_lines"] = with_ctes("""
 select * exclude (l_partkey, l_suppkey, l_extendedprice) from lines where order_line_id is not null""", "lines")
 
+# Gold flags propagate NULL (boolean cast), unlike the marts.
 ORACLE["gold_order_service"] = with_ctes("""
-with orders as (
-    select order_id, customer_id, warehouse, min(order_date) order_date, max(promised_date) promised_date,
-           cast(sum(units_ordered) as bigint) units_ordered, cast(sum(units_shipped) as bigint) units_shipped,
-           cast(sum(revenue) as decimal(38,2)) revenue
-    from fct_order_line group by 1, 2, 3
-)
 select o.*, s.shipment_id, s.carrier, s.ship_date, s.delivery_date, s.shipment_weight_kg, s.freight_cost,
        s.handling_cost, s.exception_cost,
-       units_shipped::double / nullif(units_ordered, 0) unit_fill_rate,
-       cast(units_shipped >= units_ordered as integer) complete_order_flag,
-       cast(s.delivery_date <= o.promised_date as integer) on_time_flag,
-       cast(units_shipped >= units_ordered and s.delivery_date <= o.promised_date as integer) otif_flag
-from orders o left join fct_shipment s using (order_id)""", "fct_order_line", "fct_shipment")
+       o.units_shipped::double / nullif(o.units_ordered::double, 0) as unit_fill_rate,
+       (o.units_shipped >= o.units_ordered)::integer as complete_order_flag,
+       (s.delivery_date <= o.promised_date)::integer as on_time_flag,
+       (o.units_shipped >= o.units_ordered and s.delivery_date <= o.promised_date)::integer as otif_flag
+from (select order_id, customer_id, warehouse, min(order_date) as order_date,
+             max(promised_date) as promised_date, sum(units_ordered)::bigint as units_ordered,
+             sum(units_shipped)::bigint as units_shipped, sum(revenue)::decimal(38,2) as revenue
+      from fct_order_line group by order_id, customer_id, warehouse) o
+left join fct_shipment s on s.order_id = o.order_id""", "fct_order_line", "fct_shipment")
 
 ORACLE["quality_summary"] = with_ctes("""
-select count(*) row_count, count(distinct order_line_id) distinct_order_line_ids,
-       cast(sum(cast(order_line_id is null as integer)) as bigint) null_order_line_ids,
-       cast(sum(cast(units_shipped > units_ordered as integer)) as bigint) over_shipped_rows
+select count(*) as row_count, count(distinct order_line_id) as distinct_order_line_ids,
+       count(*) filter (where order_line_id is null) as null_order_line_ids,
+       count(*) filter (where units_shipped > units_ordered) as over_shipped_rows
 from src_erp_order_lines""", "src_erp_order_lines")
 
-_MERGE_COLS = "order_line_id, order_id, customer_id, order_date, promised_date, sku, units_ordered, units_shipped, revenue"
+_MERGE_COLS = ("order_line_id", "order_id", "customer_id", "order_date", "promised_date", "sku",
+               "units_ordered", "units_shipped", "revenue")
+_UPDATED = ("units_shipped", "revenue")
 
 
 def _merge_sql(conditional: bool) -> str:
-    changed = ("(coalesce(t.units_shipped <> s.units_shipped, false) or coalesce(t.revenue <> s.revenue, false))"
-               if conditional else "true")
-    upd = f"(t.order_line_id is not null and s.order_line_id is not null and {changed})"
-    cols = []
-    for c in _MERGE_COLS.split(", "):
-        if c in ("units_shipped", "revenue"):
-            cols.append(f"case when t.order_line_id is null or {upd} then s.{c} else t.{c} end as {c}")
-        else:
-            cols.append(f"case when t.order_line_id is null then s.{c} else t.{c} end as {c}")
+    both = "t.order_line_id is not null and s.order_line_id is not null"
+    if conditional:
+        # a NULL on either side is not a change
+        change = " or ".join(f"coalesce(t.{c} <> s.{c}, false)" for c in _UPDATED)
+        update = f"({both} and ({change}))"
+    else:
+        update = f"({both})"
+    cols = [f"case when t.order_line_id is null {'or ' + update if c in _UPDATED else ''} "
+            f"then s.{c} else t.{c} end as {c}" for c in _MERGE_COLS]
+    sel = ", ".join(_MERGE_COLS)
     return with_ctes(f"""
 select {', '.join(cols)},
-       case when t.order_line_id is null then 'inserted' when {upd} then 'updated' else 'unchanged' end merge_action
-from (select {_MERGE_COLS} from merge_target) t
-full outer join (select {_MERGE_COLS} from merge_source) s on t.order_line_id = s.order_line_id""",
+       case when t.order_line_id is null then 'inserted' when {update} then 'updated' else 'unchanged' end
+           as merge_action
+from (select {sel} from merge_target) t
+full outer join (select {sel} from merge_source) s on t.order_line_id = s.order_line_id""",
                      "merge_target", "merge_source")
 
 
@@ -151,96 +150,89 @@ ORACLE["merge_conditional"] = _merge_sql(True)
 ORACLE["merge_upsert"] = _merge_sql(False)
 
 
-def _quality_sql(raw: str) -> str:
+def _report_sql(raw: str) -> str:
+    """Nine checks from per-relation statistics (one scan each)."""
     return f"""
-select 'order_line_key_unique' check_name, round(count(*)::double, 2) actual_value,
-       round(count(distinct order_line_id)::double, 2) expected_value,
-       case when count(*) = count(distinct order_line_id) then 'PASS' else 'FAIL' end status
-from fct_order_line
-union all
-select 'shipment_order_unique', count(*), count(distinct order_id),
-       case when count(*) = count(distinct order_id) then 'PASS' else 'FAIL' end
-from fct_shipment
-union all
-select 'source_to_fact_order_line_count', (select count(*) from {raw}), (select count(*) from fct_order_line),
-       case when (select count(*) from {raw}) = (select count(*) from fct_order_line) then 'PASS' else 'FAIL' end
-union all
-select 'source_to_fact_revenue_reconciliation',
-       round((select sum(revenue) from {raw})::double, 2), round((select sum(revenue) from fct_order_line)::double, 2),
-       case when abs((select sum(revenue) from {raw}) - (select sum(revenue) from fct_order_line)) < 0.01
-            then 'PASS' else 'FAIL' end
-union all
-select 'mart_order_grain_unique', count(*), count(distinct order_id),
-       case when count(*) = count(distinct order_id) then 'PASS' else 'FAIL' end
-from mart_order_fulfillment
-union all
-select 'unit_fill_rate_range', count(*) filter (where unit_fill_rate between 0 and 1), count(*),
-       case when count(*) filter (where unit_fill_rate between 0 and 1) = count(*) then 'PASS' else 'FAIL' end
-from mart_order_fulfillment
-union all
-select 'otif_not_above_components',
-       count(*) filter (where otif_flag <= on_time_flag and otif_flag <= complete_order_flag), count(*),
-       case when count(*) filter (where otif_flag <= on_time_flag and otif_flag <= complete_order_flag) = count(*)
-            then 'PASS' else 'FAIL' end
-from mart_order_fulfillment
-union all
-select 'carrier_mart_non_empty', count(*), 1, case when count(*) >= 1 then 'PASS' else 'FAIL' end
-from mart_carrier_performance
-union all
-select 'forecast_accuracy_reasonable', count(*) filter (where forecast_accuracy between -1 and 1), count(*),
-       case when count(*) filter (where forecast_accuracy between -1 and 1) = count(*) then 'PASS' else 'FAIL' end
-from mart_forecast_accuracy"""
-
-
-_Q_DEPS = ("lines", "fct_order_line", "fct_shipment", "mart_order_fulfillment", "mart_carrier_performance",
-           "mart_forecast_accuracy")
-ORACLE["quality_report"] = with_ctes(_quality_sql("lines"), *_Q_DEPS)
+with line_stats as (select count(*) as n, count(distinct order_line_id) as d, sum(revenue) as rev
+                    from fct_order_line),
+     raw_stats as (select count(*) as n, sum(revenue) as rev from {raw}),
+     ship_stats as (select count(*) as n, count(distinct order_id) as d from fct_shipment),
+     order_stats as (select count(*) as n, count(distinct order_id) as d,
+                            count(*) filter (where unit_fill_rate between 0 and 1) as fill_ok,
+                            count(*) filter (where otif_flag <= on_time_flag
+                                             and otif_flag <= complete_order_flag) as otif_ok
+                     from order_facts),
+     carrier_stats as (select count(*) as n from mart_carrier_performance),
+     forecast_stats as (select count(*) as n,
+                               count(*) filter (where forecast_accuracy between -1 and 1) as ok
+                        from mart_forecast_accuracy),
+     checks(check_name, actual_value, expected_value, passed) as (
+        select 'order_line_key_unique', n::double, d::double, n = d from line_stats
+        union all select 'shipment_order_unique', n::double, d::double, n = d from ship_stats
+        union all select 'source_to_fact_order_line_count', r.n::double, l.n::double, r.n = l.n
+                  from raw_stats r, line_stats l
+        union all select 'source_to_fact_revenue_reconciliation', r.rev::double, l.rev::double,
+                         abs(r.rev - l.rev) < 0.01 from raw_stats r, line_stats l
+        union all select 'mart_order_grain_unique', n::double, d::double, n = d from order_stats
+        union all select 'unit_fill_rate_range', fill_ok::double, n::double, fill_ok = n from order_stats
+        union all select 'otif_not_above_components', otif_ok::double, n::double, otif_ok = n from order_stats
+        union all select 'carrier_mart_non_empty', n::double, 1::double, n >= 1 from carrier_stats
+        union all select 'forecast_accuracy_reasonable', ok::double, n::double, ok = n from forecast_stats
+     )
+select check_name, round(actual_value, 2) as actual_value, round(expected_value, 2) as expected_value,
+       case when passed then 'PASS' else 'FAIL' end as status
+from checks"""
+
+
+_REPORT_DEPS = ("lines", "fct_order_line", "fct_shipment", "order_facts", "mart_carrier_performance",
+                "mart_forecast_accuracy")
+ORACLE["quality_report"] = with_ctes(_report_sql("lines"), *_REPORT_DEPS)
+# Bronze (repeating keys) published as the clean fact: the failing checks.
 ORACLE["quality_gate"] = with_ctes(
-    f"select * from ({_quality_sql('src_erp_order_lines')}) q where status <> 'PASS'",
-    "src_erp_order_lines", *_Q_DEPS,
+    f"select * from ({_report_sql('src_erp_order_lines')}) q where status <> 'PASS'",
+    "src_erp_order_lines", *_REPORT_DEPS,
     overrides={"fct_order_line": CTES["fct_order_line"][0].replace("from lines", "from src_erp_order_lines")})
 
 ORACLE["build_summary"] = with_ctes("""
-select count(*) orders, round(avg(unit_fill_rate) * 100, 2) fill_pct, round(avg(otif_flag) * 100, 2) otif_pct,
-       cast(round(sum(recognized_revenue), 2) as decimal(38,2)) revenue
-from mart_order_fulfillment""", "mart_order_fulfillment")
+select count(*) as orders, round(100 * avg(unit_fill_rate), 2) as fill_pct, round(100 * avg(otif_flag), 2) as otif_pct,
+       round(sum(recognized_revenue), 2)::decimal(38,2) as revenue
+from order_facts""", "order_facts")
 
 ORACLE["export_checks"] = with_ctes(f"""
-with o as (
-    select count(*) n, count(distinct order_id) d,
-           count(*) filter (where unit_fill_rate between 0 and 1) fill_ok,
-           count(*) filter (where otif_flag <= on_time_flag and otif_flag <= complete_order_flag) otif_ok
-    from mart_order_fulfillment
-), c as (select count(*) cn from mart_carrier_performance),
-q as (select count(*) qn, count(*) filter (where status = 'PASS') qp from ({_quality_sql('lines')}) r)
-select 'order_output_non_empty' check_name, n > 0 passed, cast(n as varchar) detail from o
-union all select 'order_id_unique', n = d, cast(d as varchar) from o
-union all select 'service_metrics_in_range', fill_ok = n, 'fill rate' from o
-union all select 'otif_logic', otif_ok = n, 'OTIF components' from o
-union all select 'carrier_output_non_empty', cn > 0, cast(cn as varchar) from c
-union all select 'warehouse_quality_report', qp = qn, cast(qp as varchar) from q""", *_Q_DEPS)
+with o as (select count(*) as n, count(distinct order_id) as d,
+                  count(*) filter (where unit_fill_rate between 0 and 1) as fill_ok,
+                  count(*) filter (where otif_flag <= on_time_flag and otif_flag <= complete_order_flag) as otif_ok
+           from order_facts),
+     c as (select count(*) as n from mart_carrier_performance),
+     q as (select count(*) as n, count(*) filter (where status = 'PASS') as passed
+           from ({_report_sql('lines')}) r)
+select 'order_output_non_empty' as check_name, o.n > 0 as passed, o.n::varchar as detail from o
+union all select 'order_id_unique', o.n = o.d, o.d::varchar from o
+union all select 'service_metrics_in_range', o.fill_ok = o.n, 'fill rate' from o
+union all select 'otif_logic', o.otif_ok = o.n, 'OTIF components' from o
+union all select 'carrier_output_non_empty', c.n > 0, c.n::varchar from c
+union all select 'warehouse_quality_report', q.passed = q.n, q.passed::varchar from q""", *_REPORT_DEPS)
 
 ORACLE["qa_duplicate_keys"] = with_ctes("""
-select order_line_id, count(*) row_count from src_erp_order_lines group by 1 having count(*) > 1""",
-                                        "src_erp_order_lines")
+select order_line_id, count(*) as row_count from src_erp_order_lines
+group by order_line_id having count(*) > 1""", "src_erp_order_lines")
 
 ORACLE["qa_mart_violations"] = with_ctes("""
 select * from mart_order_fulfillment
-where unit_fill_rate not between 0 and 1 or otif_flag > on_time_flag or otif_flag > complete_order_flag""",
+where not (unit_fill_rate between 0 and 1) or otif_flag > on_time_flag or otif_flag > complete_order_flag""",
                                          "mart_order_fulfillment")
 
 ORACLE["qa_violation_counts"] = with_ctes("""
-select count(*) filter (where unit_fill_rate not between 0 and 1) invalid_fill_rates,
-       count(*) filter (where otif_flag > on_time_flag) invalid_otif_on_time,
-       count(*) filter (where otif_flag > complete_order_flag) invalid_otif_complete
-from mart_order_fulfillment""", "mart_order_fulfillment")
+select count(*) filter (where not (unit_fill_rate between 0 and 1)) as invalid_fill_rates,
+       count(*) filter (where otif_flag > on_time_flag) as invalid_otif_on_time,
+       count(*) filter (where otif_flag > complete_order_flag) as invalid_otif_complete
+from order_facts""", "order_facts")
 
 ORACLE["order_weight"] = with_ctes("""
-select order_id, cast(sum(units_shipped * unit_weight_kg) as decimal(18,3)) kg from lines group by order_id""",
-                                   "lines")
+select order_id, sum(units_shipped * unit_weight_kg)::decimal(18,3) as kg from lines group by order_id""", "lines")
 
 ORACLE["demand_grid"] = with_ctes("""
-select snapshot_date, warehouse, sku, cast(monthly_demand as bigint) monthly_demand, avg_daily
+select snapshot_date, warehouse, sku, monthly_demand::bigint as monthly_demand, avg_daily
 from src_demand_grid""", "src_demand_grid")
 
 ORACLE["warehouse_activity"] = with_ctes("select * from src_warehouse_activity", "src_warehouse_activity")
@@ -256,8 +248,8 @@ ORACLE["fact_pruned_read"] = with_ctes(
     "fct_order_line")
 ORACLE["fact_bucketed"] = with_ctes("""
 select order_id, customer_id, warehouse, min(order_date) as order_date, max(promised_date) as promised_date,
-       cast(sum(units_ordered) as bigint) as units_ordered, cast(sum(units_shipped) as bigint) as units_shipped,
-       cast(sum(revenue) as decimal(38,2)) as recognized_revenue,
-       cast(sum(units_shipped * unit_weight_kg) as decimal(38,3)) as calculated_shipped_weight_kg,
+       sum(units_ordered)::bigint as units_ordered, sum(units_shipped)::bigint as units_shipped,
+       sum(revenue)::decimal(38,2) as recognized_revenue,
+       sum(units_shipped * unit_weight_kg)::decimal(38,3) as calculated_shipped_weight_kg,
        count(*) as order_line_count
-from fct_order_line group by 1, 2, 3""", "fct_order_line")
+from fct_order_line group by order_id, customer_id, warehouse""", "fct_order_line")
