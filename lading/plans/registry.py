@@ -24,17 +24,23 @@ def register(name: str):
     return deco
 
 
-def _wh(spark: SparkSession, sf_dir: str, also=()) -> Warehouse:
-    """Warehouse over the derived extracts; tables read by several consumers
-    of one query are materialised once (``Warehouse.SHARED`` plus ``also``)."""
-    wh = Warehouse.from_testdata(spark, sf_dir, materialize=True)
-    wh._names = Warehouse.SHARED | frozenset(also)
-    return wh
+def _wh(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Warehouse:
+    """Warehouse over the derived extracts.  With ``materialize``, tables that
+    several consumers of one query read (raw order lines, shipments,
+    customers) are written once; queries reading the order lines once plan
+    straight through instead."""
+    return Warehouse.from_testdata(spark, sf_dir, materialize=materialize)
+
+
+# queries whose plan reads the order lines (and each dimension) only once
+SINGLE_READ = {"dim_customer", "dim_supplier", "dim_product", "fct_order_line", "fct_shipment",
+               "fct_inventory_snapshot", "fct_demand_forecast", "mart_inventory_risk",
+               "mart_forecast_accuracy"}
 
 
 def _mart(attr: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(_wh(spark, sf_dir), attr)
+        return getattr(_wh(spark, sf_dir, attr not in SINGLE_READ), attr)
     run.__name__ = attr
     return run
 
@@ -64,7 +70,7 @@ def dim_date_q(spark, sf_dir):
 @register("cohort_revenue")
 def cohort_revenue_q(spark, sf_dir):
     from lading.plans.cohorts import cohort_revenue
-    return cohort_revenue(_wh(spark, sf_dir).fct_order_line)
+    return cohort_revenue(_wh(spark, sf_dir, False).fct_order_line)
 
 
 @register("nested_order_items")
@@ -87,8 +93,9 @@ def nested_orders_q(spark, sf_dir):
 
 @register("order_events_flatten")
 def order_events_flatten_q(spark, sf_dir):
+    from lading.operators.materialize import Materializer
     from lading.plans.nested import flatten_order_events, order_events
-    c = SourceContract(spark, sf_dir)
+    c = SourceContract(spark, sf_dir, Materializer(spark))   # lines feed counts, items and stamps
     return flatten_order_events(order_events(c.order_lines))
 
 
