@@ -86,12 +86,13 @@ class Warehouse:
         if self._m is not None and "mart_order_fulfillment" in self._names:
             return self.mart_order_fulfillment
         from lading.plans.fulfillment import order_facts
-        return order_facts(self.fct_order_line, self.dim_customer, self.fct_shipment)
+        return self._keep("order_facts", order_facts(self.fct_order_line, self.dim_customer, self.fct_shipment))
 
     @cached_property
     def mart_order_fulfillment(self) -> DataFrame:
-        from lading.plans.fulfillment import mart_order_fulfillment
-        return self._keep("mart_order_fulfillment", mart_order_fulfillment(self.fct_order_line, self.dim_customer, self.fct_shipment))
+        from lading.plans.fulfillment import order_facts, with_customer_history
+        facts = self._keep("order_facts", order_facts(self.fct_order_line, self.dim_customer, self.fct_shipment))
+        return self._keep("mart_order_fulfillment", with_customer_history(facts))
 
     @cached_property
     def mart_daily_service_level(self) -> DataFrame:
