@@ -4,6 +4,7 @@ and clustered facts, hash-bucketed facts, and partition-pruned reads."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +31,44 @@ def export_ordered_csv(df: DataFrame, path: str, order_by: Sequence[str],
     ordered.write.mode("overwrite").option("header", True).csv(path)
 
 
+@contextmanager
+def listing_parallelism(spark: SparkSession):
+    """Size the partition-discovery job to the cluster's cores while a
+    partitioned table is opened (the default, 10,000, launches one tiny task
+    per folder on a years-long daily layout)."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    old = spark.conf.get(key, None)
+    want = spark.sparkContext.defaultParallelism * 4
+    if old is None or int(old) > want:
+        spark.conf.set(key, str(want))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
 
 
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
+def write_tasks(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Writer tasks for a layout: every core at least, one per ``target_bytes``
+    of estimated input beyond that.  Explicit, because AQE would otherwise
+    coalesce a small range shuffle into one or two writer tasks."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = estimated_bytes(df)
+    by_size = -(-size // target_bytes) if size else 0
+    return int(max(cores, min(by_size, 1_000_000)))
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str, cluster_cols: Sequence[str] = (),
-                      max_records_per_file: int = 5_000_000) -> None:
+                      max_records_per_file: int = 5_000_000, tasks: int | None = None) -> None:
     """``partition by date cluster by (...)``.
 
     Rows are range-partitioned on (partition column, cluster columns) — a
@@ -43,7 +76,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, cluster_cols
     of one — sorted within each task, and written with one folder per date.
     """
     keys = [partition_col, *cluster_cols]
-    (df.repartitionByRange(*keys)
+    (df.repartitionByRange(tasks or write_tasks(df), *keys)
      .sortWithinPartitions(*keys)
      .write.mode("overwrite")
      .option("maxRecordsPerFile", max_records_per_file)
@@ -105,10 +138,13 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType, parti
     rng = col.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     if not globs:
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).option("basePath", base).parquet(*globs).filter(rng)
-    return df.select(*schema.fieldNames())
+    with listing_parallelism(spark):
+        df = spark.read.schema(schema).option("basePath", base).parquet(*globs)
+    return df.filter(rng).select(*schema.fieldNames())
 
 
 def read_partitioned_all(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The whole partitioned table, in the table's column order."""
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    with listing_parallelism(spark):
+        df = spark.read.schema(schema).parquet(path)
+    return df.select(*schema.fieldNames())
