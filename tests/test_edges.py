@@ -223,3 +223,27 @@ def test_quality_summary_counts(spark):
                                "order_line_id string, units_ordered int, units_shipped int")
     r = quality_summary(df).collect()[0]
     assert (r["row_count"], r["distinct_order_line_ids"], r["null_order_line_ids"], r["over_shipped_rows"]) == (3, 1, 1, 1)
+
+
+def test_grain_breaks_are_reported_not_masked(spark):
+    """H1: a second shipment and a split-warehouse order duplicate order rows;
+    the mart keeps them and the grain checks fail."""
+    from lading.plans.fulfillment import mart_carrier_performance, mart_order_fulfillment
+    from lading.plans.inventory import mart_forecast_accuracy
+    from lading.plans.quality import quality_checks
+    lines = lines_df(spark, [line("L1", "O1", "C1", D(2025, 1, 1), D(2025, 1, 3), 2, 2),
+                             line("L2", "O2", "C1", D(2025, 1, 1), D(2025, 1, 3), 2, 2, wh="WH-NORTH"),
+                             line("L3", "O2", "C1", D(2025, 1, 1), D(2025, 1, 3), 2, 2, wh="WH-SOUTH")])
+    cust = spark.createDataFrame([("C1", "SMB", "North")], "customer_id string, customer_segment string, region string")
+    s = ("CarrierA", "WH-NORTH", D(2025, 1, 1), D(2025, 1, 2), D(2025, 1, 3), Decimal("1.000"),
+         Decimal("1.00"), Decimal("1.00"), Decimal("0.00"), True)
+    ship = ship_df(spark, [("S1", "O1") + s, ("S1b", "O1") + s])
+    mart = mart_order_fulfillment(lines, cust, ship)
+    assert mart.count() == 4                       # O1 twice (two shipments), O2 twice (two warehouses)
+    fc = spark.createDataFrame([(D(2000, 1, 1), "WH", "S1", 5, 5)],
+                               "forecast_month date, warehouse string, sku string, forecast_units int, actual_units int")
+    report = {r["check_name"]: r["status"] for r in quality_checks(
+        lines, lines, ship, mart, mart_carrier_performance(mart), mart_forecast_accuracy(fc)).collect()}
+    assert report["shipment_order_unique"] == "FAIL"
+    assert report["mart_order_grain_unique"] == "FAIL"
+    assert report["order_line_key_unique"] == "PASS"
