@@ -24,19 +24,12 @@ def register(name: str):
     return deco
 
 
-def _wh(spark: SparkSession, sf_dir: str, materialize: bool = True, also=()) -> Warehouse:
+def _wh(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Warehouse:
     """Warehouse over the derived extracts.  With ``materialize``, tables that
     several consumers of one query read (raw order lines, shipments,
-    customers, plus ``also``) are written once; queries reading the order
-    lines once plan straight through instead."""
-    wh = Warehouse.from_testdata(spark, sf_dir, materialize=materialize)
-    wh._names = Warehouse.SHARED | frozenset(also)
-    return wh
-
-
-# Writing the order facts once (read by two branches of the history step)
-# measured slower at sf0.1 than the duplicated branch; left off.
-FACTS_TWICE: set[str] = set()
+    customers) are written once; queries that read the order lines once plan
+    straight through instead (measured faster)."""
+    return Warehouse.from_testdata(spark, sf_dir, materialize=materialize)
 
 
 # queries whose plan reads the order lines (and each dimension) only once
@@ -47,8 +40,7 @@ SINGLE_READ = {"dim_customer", "dim_supplier", "dim_product", "fct_order_line",
 
 def _mart(attr: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        also = {"order_facts"} if attr in FACTS_TWICE else ()
-        return getattr(_wh(spark, sf_dir, attr not in SINGLE_READ, also), attr)
+        return getattr(_wh(spark, sf_dir, attr not in SINGLE_READ), attr)
     run.__name__ = attr
     return run
 

@@ -37,12 +37,16 @@ class Warehouse:
         return df
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, materialize: bool = False) -> "Warehouse":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, materialize: bool = False,
+                      keep=None) -> "Warehouse":
+        """Warehouse over the extracts derived from the driver's tables.  With
+        ``materialize``, the raw order lines and the ``keep`` tables (default
+        ``SHARED``) are written once to the shared checkpoint folder."""
         m = None
         if materialize:
             from lading.operators.materialize import Materializer
             m = Materializer(spark)
-        return cls(SourceContract(spark, sf_dir, m).extracts(), m)
+        return cls(SourceContract(spark, sf_dir, m).extracts(), m, keep)
 
     # --- clean -----------------------------------------------------------
     @cached_property
