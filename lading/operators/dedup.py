@@ -12,6 +12,17 @@ def _desc(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).desc_nulls_last()
 
 
+def key_struct(keys: Sequence[str]) -> Column:
+    """The keys as one struct column: the dedup's partition expression.
+
+    A partitioning on some of the keys (a preceding shuffle join on one of
+    them, say) never satisfies a struct, so the dedup always gets its own
+    exchange — with the partial limit in front of it.  Spread an input with
+    ``repartition(n, key_struct(keys))`` to give it exactly that exchange.
+    """
+    return F.struct(*[F.col(k) for k in keys])
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence, rank_col: str = "_rn") -> DataFrame:
     """One row per ``keys``: the first by ``order_desc`` (descending, NULLs last).
 
@@ -22,7 +33,7 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence, rank_c
     Callers pass an ordering that is total on the payload, so the surviving
     row does not depend on task order (ties on the timestamp alone exist).
     """
-    w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in order_desc])
+    w = Window.partitionBy(key_struct(keys)).orderBy(*[_desc(c) for c in order_desc])
     return (df.withColumn(rank_col, F.row_number().over(w))
             .filter(F.col(rank_col) == 1)
             .drop(rank_col))

@@ -41,31 +41,37 @@ def running_rank_and_sum(df: DataFrame, partition_by: Sequence[str], order_by: S
     ``coarse`` are expressions of the ordering columns that are monotone
     non-decreasing in ``order_by`` (e.g. the date and an id prefix).  Ties in
     ``order_by`` must not exist (callers end it with a unique id).
+
+    The block is one struct column used both as the join key and as the
+    window partition: a partitioning on the partition key alone (which a
+    runtime broadcast of either join side can leave behind) then never
+    satisfies the window, so the rows of a hot key are always spread by block.
     """
     part = list(partition_by)
-    bcols = [f"_b{i}" for i in range(len(coarse))]
-    blocked = df.select("*", *[c.alias(n) for c, n in zip(coarse, bcols)])
-    keys = part + bcols
+    bnames = [f"_b{i}" for i in range(len(coarse))]
+    blk = F.struct(*[F.col(c) for c in part], *[c.alias(n) for c, n in zip(coarse, bnames)])
+    blocked = df.withColumn("_blk", blk)
 
-    per_block = (blocked.groupBy(*keys)
+    per_block = (blocked.groupBy("_blk")
                  .agg(F.count(F.lit(1)).alias("_n"),
                       F.count(value).alias("_nn"),
                       F.sum(value).alias("_s")))
-    prior = Window.partitionBy(*part).orderBy(*bcols).rowsBetween(_PRE, -1)
+    prior = (Window.partitionBy(*[F.col(f"_blk.{c}") for c in part])
+             .orderBy(*[F.col(f"_blk.{n}") for n in bnames]).rowsBetween(_PRE, -1))
     offsets = per_block.select(
-        *keys,
+        "_blk",
         F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off_n"),
         F.coalesce(F.sum("_nn").over(prior), F.lit(0)).alias("_off_nn"),
         F.sum("_s").over(prior).alias("_off_s"))
 
-    inside = Window.partitionBy(*keys).orderBy(*order_by)
+    inside = Window.partitionBy("_blk").orderBy(*order_by)
     running = inside.rowsBetween(_PRE, 0)
-    joined = blocked.join(broadcast_if_small(offsets), keys)
+    joined = blocked.join(broadcast_if_small(offsets), "_blk")
     nn = F.col("_off_nn") + F.count(value).over(running)
     total = F.coalesce(F.col("_off_s"), F.lit(0)) + F.coalesce(F.sum(value).over(running), F.lit(0))
     return (joined.withColumns({rank_name: F.col("_off_n") + F.row_number().over(inside),
                                 sum_name: F.when(nn > 0, total)})
-            .drop(*bcols, "_off_n", "_off_nn", "_off_s"))
+            .drop("_blk", "_off_n", "_off_nn", "_off_s"))
 
 
 def global_positions(df: DataFrame, date_col: str, id_col: str, pos_name: str = "_pos",
@@ -74,27 +80,24 @@ def global_positions(df: DataFrame, date_col: str, id_col: str, pos_name: str =
     single-partition window over the rows.
 
     Level 1: rows per date (bounded by the calendar) -> exclusive prefix.
-    Level 2: rows per (date, id prefix) -> prefix inside the date.
-    Level 3: row_number inside (date, id prefix).
+    Level 2: rows per (date, id prefix) block -> prefix inside the date.
+    Level 3: row_number inside the block (a struct key, see above).
     """
-    pfx = id_prefix(id_col, prefix_len)
-    blocked = df.withColumn("_p", pfx)
-    per_block = blocked.groupBy(date_col, "_p").agg(F.count(F.lit(1)).alias("_n"))
-    per_day = per_block.groupBy(date_col).agg(F.sum("_n").alias("_dn"))
+    blocked = df.withColumn("_blk", F.struct(F.col(date_col).alias("d"), id_prefix(id_col, prefix_len).alias("p")))
+    per_block = blocked.groupBy("_blk").agg(F.count(F.lit(1)).alias("_n"))
+    per_day = per_block.groupBy(F.col("_blk.d").alias("_d")).agg(F.sum("_n").alias("_dn"))
     day_off = per_day.select(
-        date_col,
-        F.coalesce(F.sum("_dn").over(Window.orderBy(date_col).rowsBetween(_PRE, -1)),
-                   F.lit(0)).alias("_doff"))
+        "_d", F.coalesce(F.sum("_dn").over(Window.orderBy("_d").rowsBetween(_PRE, -1)), F.lit(0)).alias("_doff"))
+    in_day = Window.partitionBy(F.col("_blk.d")).orderBy(F.col("_blk.p")).rowsBetween(_PRE, -1)
     blk_off = (per_block
-               .select(date_col, "_p",
-                       F.coalesce(F.sum("_n").over(Window.partitionBy(date_col).orderBy("_p")
-                                                   .rowsBetween(_PRE, -1)), F.lit(0)).alias("_boff"))
-               .join(broadcast_if_small(day_off), date_col)
-               .select(date_col, "_p", (F.col("_doff") + F.col("_boff")).alias("_off")))
-    w = Window.partitionBy(date_col, "_p").orderBy(id_col)
-    return (blocked.join(broadcast_if_small(blk_off), [date_col, "_p"])
+               .select("_blk", F.col("_blk.d").alias("_d"),
+                       F.coalesce(F.sum("_n").over(in_day), F.lit(0)).alias("_boff"))
+               .join(broadcast_if_small(day_off), "_d")
+               .select("_blk", (F.col("_doff") + F.col("_boff")).alias("_off")))
+    w = Window.partitionBy("_blk").orderBy(id_col)
+    return (blocked.join(broadcast_if_small(blk_off), "_blk")
             .withColumn(pos_name, F.col("_off") + F.row_number().over(w))
-            .drop("_p", "_off"))
+            .drop("_blk", "_off"))
 
 
 def rolling_by_position(df: DataFrame, pos: str, value: str, preceding: int, out: str,

@@ -27,20 +27,16 @@ def nest_items(lines: DataFrame, keys: Sequence[str], item: Column, unique_col:
     keys = list(keys)
     counts = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > max_items)
-    hot_side = broadcast_if_small(hot)
-    tagged = lines.join(hot_side, keys, "left")
+    tagged = lines.join(broadcast_if_small(hot), keys, "left")
     chunk = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(F.col(unique_col)), F.ceil(F.col("_n") / max_items)))
-    tagged = tagged.withColumn("_chunk", chunk)
-    if hot_side is hot:
-        # Shuffle join on ``keys``: its output already satisfies the grouping
-        # below, so Spark would aggregate a hot group in one task.  Spread the
-        # chunks explicitly.
-        tagged = tagged.repartition(*keys, "_chunk")
-    return (tagged
-            .groupBy(*keys, "_chunk")
+    # One struct grouping key: a partitioning on the group keys alone (left by
+    # a shuffle join, or by the input) never satisfies it, so the chunks of a
+    # hot group are always shuffled apart.
+    group = F.struct(*[F.col(k) for k in keys], chunk.alias("_chunk")).alias("_g")
+    return (tagged.groupBy(group)
             .agg(F.array_sort(F.collect_list(item)).alias(items_name))
-            .drop("_chunk"))
+            .select(*[F.col(f"_g.{k}").alias(k) for k in keys], items_name))
 
 
 def nested_orders(lines: DataFrame, max_items: int = MAX_ITEMS_PER_ROW) -> DataFrame:

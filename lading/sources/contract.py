@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lading.functions.exprs import padded_id
 from lading.functions.joins import broadcast_if_small
-from lading.operators.dedup import keep_latest
+from lading.operators.dedup import keep_latest, key_struct
 from lading.sources.tables import read_table, spread_small
 
 # --- fixed values of the derived contract --------------------------------
@@ -124,7 +124,7 @@ class SourceContract:
     @cached_property
     def order_lines_bronze(self) -> DataFrame:
         """Bronze ERP order lines: ``order_line_id`` repeats (re-deliveries)."""
-        li = self.fact_table("lineitem", LINE_KEY).select(
+        li = self.fact_table("lineitem", [key_struct(LINE_KEY)]).select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_shipdate")
         h = broadcast_if_small(self.order_headers.select(

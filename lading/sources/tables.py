@@ -18,10 +18,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_small(df: DataFrame, keys=(), max_bytes: int = SPREAD_BELOW_BYTES) -> DataFrame:
-    """Spread a small scan over all cores, hashed on ``keys`` when given (so a
-    later operator keyed on them needs no second shuffle).  Large scans are
-    returned as they are: their splits already parallelise, and their
-    per-key operators keep map-side partial aggregation / limits."""
+    """Spread a small scan over all cores, hashed on ``keys`` (column names
+    or expressions) when given, so a later operator partitioned the same way
+    needs no second shuffle.  Large scans are returned as they are: their
+    splits already parallelise, and their per-key operators keep map-side
+    partial aggregation / limits."""
     size = estimated_bytes(df)
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     if size is not None and size <= max_bytes and parallelism > 1:

@@ -74,7 +74,8 @@ def test_keep_latest_reduces_before_shuffle(spark):
 
 
 def test_nest_items_without_broadcast_spreads_chunks(spark):
-    """With the hot list too large to broadcast, chunks are still shuffled apart."""
+    """With the hot list too large to broadcast, the chunks of a hot order are
+    still aggregated in several tasks."""
     from lading.functions import joins
     from lading.plans.nested import nested_orders, unnest_items
     rows = [(f"L{i}", "HOT" if i % 2 else f"O{i % 7}", "C1", dt.date(2025, 1, 1), f"S{i % 5}", 1, Decimal(1))
@@ -83,11 +84,46 @@ def test_nest_items_without_broadcast_spreads_chunks(spark):
                                         "order_date date, sku string, units_ordered int, revenue decimal(18,2)")
     old = joins.DEFAULT_BROADCAST_BYTES
     joins.DEFAULT_BROADCAST_BYTES = -1
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old_coalesce = spark.conf.get(key)
+    spark.conf.set(key, "false")
     try:
         nested = nested_orders(lines, max_items=25)
-        plan = nested._jdf.queryExecution().executedPlan().toString()
-        assert "_chunk" in plan and "hashpartitioning(order_id" in plan
-        assert nested.filter("order_id = 'HOT'").count() == 8
+        hot = (nested.select("*", F.spark_partition_id().alias("p")).filter("order_id = 'HOT'")
+               .select("p", F.size("items").alias("n")).collect())
+        assert len(hot) == 8 and sum(r["n"] for r in hot) == 200
+        assert len({r["p"] for r in hot}) > 1
         assert unnest_items(nested).count() == 400
     finally:
         joins.DEFAULT_BROADCAST_BYTES = old
+        spark.conf.set(key, old_coalesce)
+
+
+def test_hot_customer_is_spread_over_tasks(spark):
+    """One customer with a third of all orders: the block-decomposed window
+    spreads it, where a plain per-customer window puts it in one task."""
+    from lading.operators.running import id_prefix, running_rank_and_sum
+    rows = [(f"O{i:09d}", "HOT" if i % 3 == 0 else f"C{i % 97:03d}",
+             dt.date(2025, 1, 1) + dt.timedelta(days=i % 40), Decimal(1)) for i in range(6000)]
+    orders = spark.createDataFrame(rows, "order_id string, customer_id string, order_date date, revenue decimal(18,2)")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        out = running_rank_and_sum(orders, ["customer_id"], ["order_date", "order_id"], "revenue", "rn", "cum",
+                                   coarse=[F.col("order_date"), id_prefix("order_id")])
+        # tag the task before filtering (a nondeterministic column stops the
+        # filter from being pushed below the windows)
+        def by_task(df):
+            tagged = df.select("*", F.spark_partition_id().alias("p"))
+            return (tagged.filter("customer_id = 'HOT'").groupBy("p")
+                    .agg(F.count(F.lit(1)).alias("count"), F.max("rn").alias("top")).collect())
+        hot_by_task = by_task(out)
+        plain_by_task = by_task(orders.withColumn(
+            "rn", F.row_number().over(Window.partitionBy("customer_id").orderBy("order_id"))))
+    finally:
+        spark.conf.set(key, old)
+    assert len(plain_by_task) == 1                          # the plain window: one task holds the hot key
+    assert len(hot_by_task) >= 4                            # blocks: spread over several tasks
+    assert max(r["count"] for r in hot_by_task) < 2000 * 0.6
+    assert sum(r["count"] for r in hot_by_task) == 2000
