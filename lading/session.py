@@ -21,12 +21,35 @@ DEFAULT_CONF = {
 }
 
 
+# Profile for a large cluster (~100 TB of input, ~1000 executors).  Initial
+# shuffle partitions are set high and AQE coalesces them to the advisory size
+# (sizes first, not parallelism); skewed join partitions above 5x the median
+# and 512 MB are split; scans split at 512 MB; the broadcast bound matches
+# ``lading.functions.joins`` (64 MB of estimated size).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "4000",
+    "lading.broadcast.maxBytes": str(64 * 1024 * 1024),
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "lading", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "lading", extra: dict | None = None,
+                  cluster: bool = False) -> SparkSession:
+    """Session with the jobs' defaults; ``cluster=True`` adds ``CLUSTER_CONF``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
