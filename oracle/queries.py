@@ -253,3 +253,11 @@ select order_id, customer_id, warehouse, min(order_date) as order_date, max(prom
        sum(units_shipped * unit_weight_kg)::decimal(38,3) as calculated_shipped_weight_kg,
        count(*) as order_line_count
 from fct_order_line group by order_id, customer_id, warehouse""", "fct_order_line")
+
+# Approximate percentile: lead times are small integers in long runs, so the
+# sketch's rank error (1/10,000 of the rows) cannot move the 0.5 / 0.9 value
+# off its run and it equals the exact discrete quantile.
+ORACLE["carrier_lead_time_approx"] = with_ctes("""
+select carrier, quantile_disc(order_lead_time_days, 0.5) as median_lead_time_days,
+       quantile_disc(order_lead_time_days, 0.9) as p90_lead_time_days
+from order_facts where carrier is not null group by carrier""", "order_facts")
