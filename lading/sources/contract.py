@@ -159,8 +159,9 @@ class SourceContract:
         """Keep-latest per order line.  ``order_line_id`` is built injectively
         from (l_orderkey, l_linenumber), so deduplicating on the numeric pair
         is the same partition of rows — and matches how small scans are
-        spread, so the window needs no second shuffle."""
-        return keep_latest(bronze, LINE_KEY, LATEST_ORDER).drop(*LINE_KEY)
+        spread, so the window needs no second shuffle.  The tie-break
+        columns are dropped after use (nothing downstream reads them)."""
+        return keep_latest(bronze, LINE_KEY, LATEST_ORDER).drop(*LINE_KEY, *LATEST_ORDER[1:])
 
     # --- shipments -----------------------------------------------------------
     @cached_property
