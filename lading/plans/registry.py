@@ -286,3 +286,34 @@ def fact_bucketed_q(spark, sf_dir):
     name = f"fct_order_lines_{uuid.uuid4().hex[:12]}"
     write_bucketed(f, name, _scratch(spark, name), "order_id", ["order_date"])
     return order_rollup(spark.table(name))
+
+
+@register("order_rollup")
+def order_rollup_q(spark, sf_dir):
+    """Order-grain rollup of the clean order lines."""
+    from lading.plans.fulfillment import order_rollup
+    return order_rollup(_wh(spark, sf_dir, False).fct_order_line)
+
+
+def _history(spark, sf_dir):
+    from lading.plans.fulfillment import with_customer_history
+    return with_customer_history(_wh(spark, sf_dir).order_facts)
+
+
+@register("customer_order_number")
+def customer_order_number_q(spark, sf_dir):
+    """Each order's number in its customer's history (date, then id)."""
+    return _history(spark, sf_dir).select("order_id", "customer_id", "order_date", "customer_order_number")
+
+
+@register("customer_lifetime_revenue")
+def customer_lifetime_revenue_q(spark, sf_dir):
+    """Running revenue over the customer's orders up to and including this one."""
+    return _history(spark, sf_dir).select("order_id", "customer_id", "order_date", "recognized_revenue",
+                                          "customer_lifetime_revenue")
+
+
+@register("dedup_latest_lines")
+def dedup_latest_lines_q(spark, sf_dir):
+    """Keep-latest bronze order line per key (the raw extract)."""
+    return SourceContract(spark, sf_dir).order_lines

@@ -261,3 +261,20 @@ ORACLE["carrier_lead_time_approx"] = with_ctes("""
 select carrier, quantile_disc(order_lead_time_days, 0.5) as median_lead_time_days,
        quantile_disc(order_lead_time_days, 0.9) as p90_lead_time_days
 from order_facts where carrier is not null group by carrier""", "order_facts")
+
+ORACLE["order_rollup"] = ORACLE["fact_bucketed"]
+
+ORACLE["customer_order_number"] = with_ctes("""
+select order_id, customer_id, order_date,
+       (row_number() over (partition by customer_id order by order_date, order_id))::bigint as customer_order_number
+from order_facts""", "order_facts")
+
+ORACLE["customer_lifetime_revenue"] = with_ctes("""
+select order_id, customer_id, order_date, recognized_revenue,
+       (sum(recognized_revenue) over (partition by customer_id order by order_date, order_id
+                                      rows between unbounded preceding and current row))::decimal(38,2)
+           as customer_lifetime_revenue
+from order_facts""", "order_facts")
+
+ORACLE["dedup_latest_lines"] = with_ctes(
+    "select * exclude (l_partkey, l_suppkey, l_extendedprice) from lines", "lines")
