@@ -36,7 +36,7 @@ def build_warehouse(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str
     failing check (nothing published); return the build summary."""
     out = out_dir.rstrip("/")
     wh = Warehouse(raw, Materializer(spark, f"{out}/tables"),
-                   keep=set(CLEAN) | set(MARTS) | {"data_quality_report"})
+                   keep=set(CLEAN) | set(MARTS) | {"order_facts", "data_quality_report"})
     for name in CLEAN + MARTS:
         getattr(wh, name)
     report = wh.data_quality_report
