@@ -175,9 +175,22 @@ def build_summary_q(spark, sf_dir):
 
 @register("export_checks")
 def export_checks_q(spark, sf_dir):
+    """The six checks over the *exported* CSV outputs, read back with
+    their schemas (export -> validate, as in the reference's verify chain)."""
+    from lading.operators.layout import export_ordered_csv, read_csv
+    from lading.plans.build import EXPORTS
     from lading.plans.quality import export_checks
     wh = _wh(spark, sf_dir)
-    return export_checks(wh.order_facts, wh.mart_carrier_performance, wh.data_quality_report)
+    root = _scratch(spark, "exports")
+    back = {}
+    for relation, frame in (("mart_order_fulfillment", wh.mart_order_fulfillment),
+                            ("mart_carrier_performance", wh.mart_carrier_performance),
+                            ("data_quality_report", wh.data_quality_report)):
+        folder, order_by = EXPORTS[relation]
+        export_ordered_csv(frame, f"{root}/{folder}", order_by)
+        back[relation] = read_csv(spark, f"{root}/{folder}", frame.schema)
+    return export_checks(back["mart_order_fulfillment"], back["mart_carrier_performance"],
+                         back["data_quality_report"])
 
 
 @register("qa_duplicate_keys")
