@@ -64,13 +64,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster to a shared,
-    fault-tolerant folder).  Only when it is unset — local tests — a
-    scratch folder is created and registered.
+    fault-tolerant folder).  Only when it is unset in local mode (tests) is a
+    scratch folder created and registered; on a cluster an unset value is
+    an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            # a driver-local folder is invisible to the executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(intermediate tables are written there)")
         configured = tempfile.mkdtemp(prefix="lading-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
