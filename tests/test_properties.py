@@ -70,3 +70,36 @@ def test_nest_unnest_property(spark, rows, max_items):
     want = lines.select("order_id", "customer_id", "order_date", "sku", F.col("units_ordered").alias("quantity"),
                         F.col("revenue").alias("extended_price"))
     assert sorted(map(str, flat.collect())) == sorted(map(str, want.collect()))
+
+
+VAL = st.one_of(st.none(), st.integers(min_value=0, max_value=3))
+
+
+@SETTINGS
+@given(target=st.dictionaries(st.integers(0, 30), st.tuples(VAL, VAL, VAL), max_size=25),
+       source=st.dictionaries(st.integers(0, 30), st.tuples(VAL, VAL, VAL), max_size=25),
+       conditional=st.booleans())
+def test_merge_property(spark, target, source, conditional):
+    """merge_into equals the MERGE rules applied row by row in Python: matched
+    rows update (a, b) when any differs (NULL is no difference) or always;
+    unmatched source rows insert; target-only rows stay."""
+    from lading.operators.merge import merge_into
+    schema = "k int, a int, b int, c int"
+    t = spark.createDataFrame([(k, *v) for k, v in target.items()], schema)
+    s = spark.createDataFrame([(k, *v) for k, v in source.items()], schema)
+    got = {r["k"]: (r["a"], r["b"], r["c"], r["merge_action"])
+           for r in merge_into(t, s, "k", ["k", "a", "b", "c"], ["a", "b"], conditional).collect()}
+    want = {}
+    for k in set(target) | set(source):
+        if k not in source:
+            want[k] = (*target[k], "unchanged")
+        elif k not in target:
+            want[k] = (*source[k], "inserted")
+        else:
+            (ta, tb, tc), (sa, sb, _) = target[k], source[k]
+            changed = any(x is not None and y is not None and x != y for x, y in ((ta, sa), (tb, sb)))
+            if changed or not conditional:
+                want[k] = (sa, sb, tc, "updated")
+            else:
+                want[k] = (ta, tb, tc, "unchanged")
+    assert got == want
