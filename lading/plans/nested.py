@@ -58,28 +58,25 @@ def nested_order_items(lines: DataFrame, max_items: int = MAX_ITEMS_PER_ROW) ->
 
 
 # --- semi-structured events --------------------------------------------------
-# Fixed rule for the derived event stream: orders whose numeric id is not a
-# multiple-of-3 remainder 2 are 'order_created' (two in three), else 'order_updated'.
+# Fixed rule for the derived event stream: an open order (TPC-H status 'O')
+# emits 'order_created', any other status 'order_updated'.
 CREATED, UPDATED = "order_created", "order_updated"
+OPEN_STATUS = "O"
 
 
-def event_type_of(order_id: Column) -> Column:
-    n = F.substring(order_id, 2, 1 << 20).cast("bigint")
-    return F.when(n % 3 < 2, F.lit(CREATED)).otherwise(F.lit(UPDATED))
-
-
-def order_events(lines: DataFrame, max_items: int = MAX_ITEMS_PER_ROW) -> DataFrame:
+def order_events(lines: DataFrame, order_status: DataFrame, max_items: int = MAX_ITEMS_PER_ROW) -> DataFrame:
     """One JSON ``event_payload`` per order (per chunk for huge orders),
     with order_id, event_timestamp (latest ingestion of its lines),
-    event_type and an items list."""
+    event_type (from the order's status) and an items list."""
     item = F.struct(F.col("sku"), F.col("units_ordered").alias("quantity"),
                     F.col("revenue").alias("extended_price"))
     per_order = nest_items(lines, ["order_id"], item, "order_line_id", max_items)
     stamps = lines.groupBy("order_id").agg(F.max("ingestion_timestamp").alias("event_timestamp"))
-    return (per_order.join(stamps, "order_id")
+    kind = F.when(F.col("order_status") == OPEN_STATUS, F.lit(CREATED)).otherwise(F.lit(UPDATED))
+    status = broadcast_if_small(order_status.select("order_id", kind.alias("event_type")))
+    return (per_order.join(stamps, "order_id").join(status, "order_id")
             .select(F.to_json(F.struct(
-                F.col("order_id"), F.col("event_timestamp"),
-                event_type_of(F.col("order_id")).alias("event_type"),
+                F.col("order_id"), F.col("event_timestamp"), F.col("event_type"),
                 F.col("items"))).alias("event_payload")))
 
 

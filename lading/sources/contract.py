@@ -117,6 +117,7 @@ class SourceContract:
             padded_id("C", "o_custkey", 7).alias("customer_id"),
             _bucket(wh, [(35, "WH-NORTH"), (78, "WH-CENTRAL")], "WH-SOUTH").alias("warehouse"),
             F.col("o_orderdate").cast("date").alias("order_date"),
+            F.col("o_orderstatus").alias("order_status"),
             _bucket(sd, [(10, 2), (40, 3), (86, 5)], 7).cast("int").alias("service_days"),
             _bucket(dl, [(4, -1), (70, 0), (81, 1), (89, 2), (94, 3)], 5).cast("int").alias("delay_days"))
 

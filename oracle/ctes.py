@@ -43,7 +43,7 @@ from part""")
 cte("src_order_headers", f"""
 select o_orderkey, {pad('O', 'o_orderkey', 9)} order_id, {pad('C', 'o_custkey', 7)} customer_id,
        case when (o_orderkey*37) % 103 < 35 then 'WH-NORTH' when (o_orderkey*37) % 103 < 78 then 'WH-CENTRAL' else 'WH-SOUTH' end warehouse,
-       cast(o_orderdate as date) order_date,
+       cast(o_orderdate as date) order_date, o_orderstatus order_status,
        cast(case when (o_orderkey*53) % 101 < 10 then 2 when (o_orderkey*53) % 101 < 40 then 3
                  when (o_orderkey*53) % 101 < 86 then 5 else 7 end as integer) service_days,
        cast(case when (o_orderkey*71) % 97 < 4 then -1 when (o_orderkey*71) % 97 < 70 then 0

@@ -76,11 +76,12 @@ select order_id, customer_id, order_date, len(items)::bigint as item_count,
        items[1].sku as first_sku, items[len(items)].sku as last_sku
 from nested""", "fct_order_line")
 
+# Events of open orders ('order_created'), one row per item.
 ORACLE["order_events_flatten"] = with_ctes("""
-select order_id, max(ingestion_timestamp) over (partition by order_id) as event_timestamp, sku,
-       units_ordered::decimal(38,0) as quantity, revenue::decimal(18,2) as extended_price
-from lines
-where cast(substr(order_id, 2) as bigint) % 3 < 2""", "lines")
+select l.order_id, max(l.ingestion_timestamp) over (partition by l.order_id) as event_timestamp, l.sku,
+       l.units_ordered::decimal(38,0) as quantity, l.revenue::decimal(18,2) as extended_price
+from lines l join src_order_headers h on h.order_id = l.order_id
+where h.order_status = 'O'""", "lines", "src_order_headers")
 
 ORACLE["stg_order_lines"] = with_ctes("""
 select order_line_id, order_id, customer_id, warehouse, order_date, promised_date, sku,
