@@ -56,3 +56,28 @@ def test_extract_registry_fails_on_missing(spark, tmp_path):
     from lading.sources.extracts import read_extracts
     with pytest.raises(FileNotFoundError):
         read_extracts(spark, str(tmp_path / "nothing"))
+
+
+def test_extract_inference_fallback_reads_the_same_rows(spark, tmp_path):
+    """A1: full-file inference (``samplingRatio=1``) reads what the declared schema reads."""
+    from lading.sources.contract import SourceContract
+    from lading.sources.extracts import read_extract, write_extracts
+    d = str(tmp_path / "src")
+    write_extracts({"suppliers": SourceContract(spark, SF_SMALL).suppliers}, d)
+    declared = read_extract(spark, d, "suppliers")
+    inferred = read_extract(spark, d, "suppliers", infer=True)
+    assert inferred.columns == declared.columns
+    assert dict(inferred.dtypes)["base_lead_time_days"] == "int"
+    assert sorted(map(tuple, inferred.collect())) == sorted(map(tuple, declared.collect()))
+
+
+def test_partitioned_read_restores_listing_conf(spark, fact, tmp_path):
+    from lading.operators.layout import read_partitioned_all, write_partitioned, write_tasks
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key, None)
+    path = str(tmp_path / "p")
+    assert write_tasks(fact) >= spark.sparkContext.defaultParallelism
+    part = fact.filter("order_date < date'1993-01-01'")
+    write_partitioned(part, path, "order_date")
+    assert read_partitioned_all(spark, path, fact.schema).count() == part.count()
+    assert spark.conf.get(key, None) == before
