@@ -96,7 +96,10 @@ def order_events_flatten_q(spark, sf_dir):
     from lading.operators.materialize import Materializer
     from lading.plans.nested import flatten_order_events, order_events
     c = SourceContract(spark, sf_dir, Materializer(spark))   # lines feed counts, items and stamps
-    return flatten_order_events(order_events(c.order_lines, c.order_headers.select("order_id", "order_status")))
+    from lading.sources.events import read_order_events, write_order_events
+    landed = _scratch(spark, "order_events")
+    write_order_events(order_events(c.order_lines, c.order_headers.select("order_id", "order_status")), landed)
+    return flatten_order_events(read_order_events(spark, landed))
 
 
 @register("stg_order_lines")
