@@ -127,3 +127,23 @@ def test_hot_customer_is_spread_over_tasks(spark):
     assert len(hot_by_task) >= 4                            # blocks: spread over several tasks
     assert max(r["count"] for r in hot_by_task) < 2000 * 0.6
     assert sum(r["count"] for r in hot_by_task) == 2000
+
+
+def test_order_mart_with_a_hot_customer_equals_plain_history(spark):
+    """J1 end to end with one customer owning a third of all orders: the
+    block-decomposed history equals the plain per-customer window."""
+    from lading.plans.fulfillment import order_facts, with_customer_history
+    from lading.plans.warehouse import Warehouse
+    from tests.conftest import SF_SMALL
+    wh = Warehouse.from_testdata(spark, SF_SMALL)
+    hot_id = F.when(F.abs(F.xxhash64("order_id")) % 3 == 0, F.lit("C0000001")).otherwise(F.col("customer_id"))
+    lines = wh.fct_order_line.withColumn("customer_id", hot_id)
+    facts = order_facts(lines, wh.dim_customer, wh.fct_shipment)
+    got = with_customer_history(facts).select("order_id", "customer_order_number", "customer_lifetime_revenue")
+    w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
+    want = facts.select("order_id", F.row_number().over(w).cast("bigint").alias("customer_order_number"),
+                        F.sum("recognized_revenue").over(w.rowsBetween(Window.unboundedPreceding, 0))
+                        .cast("decimal(38,2)").alias("customer_lifetime_revenue"))
+    hot = facts.filter("customer_id = 'C0000001'").count()
+    assert hot * 4 > facts.count()                     # the hot customer holds about a third
+    assert sorted(got.collect()) == sorted(want.collect())
