@@ -93,10 +93,11 @@ def nested_orders_q(spark, sf_dir):
 
 @register("order_events_flatten")
 def order_events_flatten_q(spark, sf_dir):
+    """Order events landed as JSON lines, read back, filtered and flattened."""
     from lading.operators.materialize import Materializer
     from lading.plans.nested import flatten_order_events, order_events
-    c = SourceContract(spark, sf_dir, Materializer(spark))   # lines feed counts, items and stamps
     from lading.sources.events import read_order_events, write_order_events
+    c = SourceContract(spark, sf_dir, Materializer(spark))   # lines feed counts, items and stamps
     landed = _scratch(spark, "order_events")
     write_order_events(order_events(c.order_lines, c.order_headers.select("order_id", "order_status")), landed)
     return flatten_order_events(read_order_events(spark, landed))
