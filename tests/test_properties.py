@@ -103,3 +103,19 @@ def test_merge_property(spark, target, source, conditional):
             else:
                 want[k] = (ta, tb, tc, "unchanged")
     assert got == want
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 6), st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 50)),
+                     min_size=1, max_size=60, unique_by=lambda r: (r[0], r[2])))
+def test_keep_latest_property(spark, rows):
+    """keep_latest = per key, the row first by (ts desc NULLs last, tie desc)."""
+    from lading.operators.dedup import keep_latest
+    df = spark.createDataFrame(rows, "k int, ts int, tie int")
+    got = {r["k"]: (r["ts"], r["tie"]) for r in keep_latest(df, ["k"], ["ts", "tie"]).collect()}
+    want = {}
+    for k, ts, tie in rows:
+        rank = (ts is not None, ts if ts is not None else 0, tie)
+        if k not in want or rank > want[k][0]:
+            want[k] = (rank, (ts, tie))
+    assert got == {k: v for k, (_, v) in want.items()}
