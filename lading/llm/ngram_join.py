@@ -18,8 +18,10 @@ Two documents link when 100 * |intersection| >= ``percent`` * |union|.
   pairs.  Candidates outside the size bound, or whose parity bitmaps differ
   in more bits than the size-derived bound on the symmetric difference
   allows, are discarded.
-* Overlaps of the remaining candidates are counted exactly, in blocks of one
-  leader and at most ``BLOCK_ROWS`` rows.  After that, columns whose members
+* Overlaps of the remaining candidates are counted in blocks of one leader
+  and at most ``BLOCK_ROWS`` rows: first over one eighth of the columns, which
+  discards candidates whose remaining columns cannot reach the bound, then
+  exactly.  After that, columns whose members
   are still in several components give their cross-component pairs, which go
   through the same bounds and counts, so no link that matters for the
   components is lost.
@@ -55,7 +57,7 @@ BLOCK_ROWS = 256
 BITMAP_WORDS = 4
 _LOW32 = np.uint64(0xFFFFFFFF)
 
-RECORD = ("kind int, s long, k long, n int, score int, doc_id long, "
+RECORD = ("kind int, s long, k long, n int, r int, score int, doc_id long, "
           + ", ".join(f"b{i} long" for i in range(BITMAP_WORDS)))
 
 
@@ -143,7 +145,7 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
     entry of the restricted matrix whose column has several rows; kind 2,
     leader candidates of the columns that are not hot."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
-    fields = "block int, s binary, k binary, n binary, score binary, doc_id binary, bitmap binary"
+    fields = "block int, s binary, k binary, n binary, r binary, score binary, doc_id binary, bitmap binary"
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts = shared.value
@@ -152,7 +154,7 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
         turn = 0
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
-            S, K, N, SC, HOTS = [], [], [], [], []
+            S, K, N, R, SC, HOTS = [], [], [], [], [], []
             node, n_of, bitmap, seen = [], [], [], set()
             for values in _sets(batch.column(1), size):
                 n = len(values)
@@ -176,16 +178,17 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
                 HOTS.append(rank[chosen] > 0)
                 K.append(np.full(first, name, dtype=np.int64))
                 N.append(np.full(first, n, dtype=np.int32))
+                R.append(np.arange(first, dtype=np.int32))
                 SC.append(np.full(first, 1000 * n_hot // n, dtype=np.int32))
             out: list[tuple] = []
             if S:
-                s, k, n, sc, is_hot = map(np.concatenate, (S, K, N, SC, HOTS))
+                s, k, n, r, sc, is_hot = map(np.concatenate, (S, K, N, R, SC, HOTS))
                 block = _block_of(s, blocks)
                 # a hot column needs no count: its rows pass through, spread by node
                 block[is_hot] = blocks + (k[is_hot].view(np.uint64) % np.uint64(blocks)).astype(np.int64)
                 order, cut = _cut_by_block(block, 2 * blocks)
-                s, k, n, sc = s[order], k[order], n[order], sc[order]
-                out += [(b, s[x:y].tobytes(), k[x:y].tobytes(), n[x:y].tobytes(), sc[x:y].tobytes(), None, None)
+                s, k, n, r, sc = s[order], k[order], n[order], r[order], sc[order]
+                out += [(b, *(v[x:y].tobytes() for v in (s, k, n, r, sc)), None, None)
                         for b, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
             if node:
                 turn += 1
@@ -193,17 +196,17 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
                 plain = ids.fill_null(0).to_numpy(zero_copy_only=False)
                 packed = np.stack([plain, valid.astype(np.int64)])
                 out.append((2 * blocks + (abs(node[0]) + turn) % blocks, b"", np.array(node, np.int64).tobytes(),
-                            np.array(n_of, np.int32).tobytes(), b"", packed.tobytes(), np.stack(bitmap).tobytes()))
+                            np.array(n_of, np.int32).tobytes(), b"", b"", packed.tobytes(), np.stack(bitmap).tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in out], pa.int32()), *(pa.array([r[i] for r in out], pa.binary())
-                                                                  for i in range(1, 7))],
-                    ["block", "s", "k", "n", "score", "doc_id", "bitmap"])
+                    [pa.array([row[0] for row in out], pa.int32()),
+                     *(pa.array([row[i] for row in out], pa.binary()) for i in range(1, 8))],
+                    ["block", "s", "k", "n", "r", "score", "doc_id", "bitmap"])
 
-    def records(kind, s, k, n, score, doc_id=None, bitmap=None) -> pa.Table:
+    def records(kind, s, k, n, r, score, doc_id=None, bitmap=None) -> pa.Table:
         m = len(k)
         cols = {"kind": pa.array(np.full(m, kind, np.int32)), "s": pa.array(s.view(np.int64)) if len(s) else pa.nulls(m, pa.int64()),
-                "k": pa.array(k), "n": pa.array(n), "score": pa.array(score) if len(score) else pa.nulls(m, pa.int32()),
+                "k": pa.array(k), "n": pa.array(n), "r": pa.array(r) if len(r) else pa.nulls(m, pa.int32()), "score": pa.array(score) if len(score) else pa.nulls(m, pa.int32()),
                 "doc_id": doc_id if doc_id is not None else pa.nulls(m, pa.int64())}
         for i in range(BITMAP_WORDS):
             cols[f"b{i}"] = pa.array(np.ascontiguousarray(bitmap[:, i])) if bitmap is not None else pa.nulls(m, pa.int64())
@@ -218,27 +221,26 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
             ids = np.concatenate([np.frombuffer(x.as_py(), np.int64).reshape(2, -1) for x in table["doc_id"]], axis=1)
             bitmap = join(table, np.int64, "bitmap").reshape(-1, BITMAP_WORDS)
             return records(0, np.zeros(0, np.uint64), join(table, np.int64, "k"), join(table, np.int32, "n"),
-                           np.zeros(0, np.int32), pa.array(ids[0], mask=ids[1] == 0), bitmap)
+                           np.zeros(0, np.int32), np.zeros(0, np.int32), pa.array(ids[0], mask=ids[1] == 0), bitmap)
         s, k = join(table, np.uint64, "s"), join(table, np.int64, "k")
-        n, score = join(table, np.int32, "n"), join(table, np.int32, "score")
+        n, r, score = (join(table, np.int32, c) for c in ("n", "r", "score"))
         if block >= blocks:
-            return records(1, s, k, n, score)
+            return records(1, s, k, n, r, score)
         order = np.lexsort((k, s))
-        s, k, n, score = s[order], k[order], n[order], score[order]
+        s, k, n, r, score = s[order], k[order], n[order], r[order], score[order]
         new = np.concatenate([[True], (s[1:] != s[:-1]) | (k[1:] != k[:-1])])
-        s, k, n, score = s[new], k[new], n[new], score[new]
+        s, k, n, r, score = s[new], k[new], n[new], r[new], score[new]
         start = np.concatenate([[True], s[1:] != s[:-1]])
         alone = start & np.concatenate([start[1:], [True]])
-        s, k, n, score, start = s[~alone], k[~alone], n[~alone], score[~alone], start[~alone]
+        s, k, n, r, score, start = (v[~alone] for v in (s, k, n, r, score, start))
         if not len(s):
-            return records(1, s, k, n, score)
+            return records(1, s, k, n, r, score)
         lead = np.flatnonzero(start)[np.cumsum(start) - 1]      # the smallest node of each column
         small, large = np.minimum(n, n[lead]), np.maximum(n, n[lead])
         fit = ~start & (100 * small.astype(np.int64) >= percent * large.astype(np.int64))
         pairs = np.unique(np.stack([k[lead][fit], k[fit]], axis=1), axis=0) if fit.any() else np.zeros((0, 2), np.int64)
-        led = records(2, pairs[:, 0].copy().view(np.uint64), pairs[:, 1].copy(), np.zeros(len(pairs), np.int32),
-                      np.zeros(len(pairs), np.int32))
-        return pa.concat_tables([records(1, s, k, n, score), led])
+        led = records(2, pairs[:, 0].copy().view(np.uint64), pairs[:, 1].copy(), *[np.zeros(len(pairs), np.int32)] * 3)
+        return pa.concat_tables([records(1, s, k, n, r, score), led])
 
     met = (docs.select(id_col, text_col).mapInArrow(entries, fields)
            .groupBy("block").applyInArrow(meet, RECORD))
@@ -256,30 +258,37 @@ def _within_bounds(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFram
             .select("a", "b"))
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int,
-           percent: int, keep: Materializer, name: str) -> DataFrame:
-    """The candidates (a, b) whose exact overlap makes a link.  ``a`` is the
-    leader: a block holds one leader and at most about BLOCK_ROWS others."""
+def _counted(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int, part: int,
+             keep: Materializer, name: str) -> DataFrame:
+    """The candidates (a, b) that survive counting the overlap in the columns
+    of the lowest 1/``part`` of the hash range.  The columns not counted add
+    at most the smaller of the two rests; with ``part`` 1 the count is exact.
+    ``a`` is the leader: a block holds one leader and at most about
+    ``BLOCK_ROWS`` others, and each set is shuffled once per block."""
     pairs = keep(f"{name}_pairs", pairs)
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("parts"))
     dealt = (pairs.join(degree, "a")
              .select("a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("parts"))).alias("g")))
-    wanted = dealt.select("g", F.col("a").alias("k")).union(dealt.select("g", F.col("b").alias("k"))).distinct()
-    firsts = nodes.join(wanted.select("k").distinct(), "k", "left_semi").select(F.col("doc_id").alias("first"))
+    wanted = keep(f"{name}_wanted", dealt.select("g", F.col("a").alias("k"))
+                  .union(dealt.select("g", F.col("b").alias("k"))).distinct())
+    firsts = keep(f"{name}_firsts", nodes.join(wanted.select("k").distinct(), "k", "left_semi")
+                  .select(F.col("doc_id").alias("first")))
+    edge = np.uint64(((1 << 64) - 1) // part)
 
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, sets = [], []
+            names, sizes, sets = [], [], []
             for values in _sets(batch.column(0), size):
                 names.append(_node(values))
-                sets.append(values.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["k", "values"])
-
-    firsts = broadcast_if_small(keep(f"{name}_firsts", firsts))
-    sets = (docs.join(firsts, docs[id_col] == firsts["first"], "left_semi").select(text_col)
-            .mapInArrow(full, "k long, values binary"))
-    rows = (sets.join(wanted, "k").dropDuplicates(["g", "k"])
-            .select("g", F.lit(0).alias("kind"), "k", F.lit(0).cast("long").alias("b"), "values")
+                sizes.append(len(values))
+                sets.append(values[:np.searchsorted(values, edge, side="right")].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()),
+                                              pa.array(sets, pa.binary())], ["k", "n", "values"])
+
+    sets = (docs.join(broadcast_if_small(firsts), docs["doc_id"] == firsts["first"], "left_semi").select("text")
+            .mapInArrow(cut, "k long, n long, values binary"))
+    rows = (sets.join(broadcast_if_small(wanted), "k")
+            .select("g", F.lit(0).alias("kind"), "k", F.col("n").alias("b"), "values")
             .union(dealt.select("g", F.lit(1), F.col("a"), "b", F.lit(None).cast("binary"))))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,19 +298,29 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, tex
             for g, kind, k, b, values in zip(*(c.to_pylist() for c in batch.columns)):
                 if g != group:
                     group, held = g, {}
-                if kind == 0:
-                    held[k] = np.frombuffer(values, np.uint64)
+                if kind == 0:                       # b is the size of the whole set
+                    held[k] = np.frombuffer(values, np.uint64), b
                     continue
-                x, y = held[k], held[b]
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                both = int(np.count_nonzero(x[at] == y))
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                (x, nx), (y, ny) = held[k], held[b]
+                both = 0
+                if len(x) and len(y):
+                    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                    both = int(np.count_nonzero(x[at] == y))
+                most = both + min(nx - len(x), ny - len(y))
+                if 100 * most >= percent * (nx + ny - most):
                     a_out.append(k)
                     b_out.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
 
-    sorted_rows = rows.repartition("g").sortWithinPartitions("g", "kind")
-    return keep(f"{name}_links", sorted_rows.mapInArrow(verify, "a long, b long"))
+    return keep(f"{name}_left", rows.repartition("g").sortWithinPartitions("g", "kind").mapInArrow(verify, "a long, b long"))
+
+
+def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int,
+           keep: Materializer, name: str) -> DataFrame:
+    """The candidates that are links: counted over one eighth of the columns,
+    which discards most, and the rest over all columns."""
+    some = _counted(_within_bounds(pairs, nodes, percent), nodes, docs, size, percent, 8, keep, f"{name}_8")
+    return _counted(some, nodes, docs, size, percent, 1, keep, f"{name}_1")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
@@ -319,25 +338,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = rec.where("kind = 0")
     nodes = keep("nodes", rows.where("n > 0").groupBy("k").agg(
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), *[F.max(f"b{i}").alias(f"b{i}") for i in range(BITMAP_WORDS)]))
-    entries = rec.where("kind = 1").select("s", "k", "n", "score")
+    entries = rec.where("kind = 1").select("s", "k", "n", "r", "score")
     # leaders of hot columns: the member with the largest hot share
     lead = entries.groupBy("s").agg(F.max(F.struct("score", "k", "n")).alias("lead"), F.count(F.lit(1)).alias("members"))
     starred = (entries.where("score > 0").join(lead.where(f"members > {HOT_DF} or lead.score > 0"), "s")
                .where(f"lead.k <> k and 100 * least(n, lead.n) >= {percent} * greatest(n, lead.n)")
                .select(F.col("lead.k").alias("a"), F.col("k").alias("b")))
     stars = rec.where("kind = 2").select(F.col("s").alias("a"), F.col("k").alias("b")).union(starred).distinct()
-    first = _links(_within_bounds(stars, nodes, percent), nodes, docs, "doc_id", "text", size, percent, keep, "star")
+    first = _links(stars, nodes, docs, size, percent, keep, "star")
     comp = components(first, keep, "star_comp")
     # columns whose members are still apart: their cross-component pairs
-    placed = (entries.select("s", "k", "n").join(comp.withColumnRenamed("node", "k"), "k", "left")
-              .select("s", "k", "n", F.coalesce("label", "k").alias("c")))
+    placed = (entries.select("s", "k", "n", "r").join(comp.withColumnRenamed("node", "k"), "k", "left")
+              .select("s", "k", "n", "r", F.coalesce("label", "k").alias("c")))
     placed = keep("placed", placed)
     apart = placed.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s")
     open_ = placed.join(apart, "s", "left_semi")
     one, two = open_.alias("x"), open_.alias("y")
-    cross = (one.join(two, F.expr(f"x.s = y.s and x.k < y.k and x.c <> y.c and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"))
+    # in the first column that two linked rows share, neither row has more
+    # columns before it than the least overlap leaves room for
+    room = f"ceil({percent} * (x.n + y.n) / {100 + percent}.0D - 1e-9) <= least(x.n - x.r, y.n - y.r)"
+    cross = (one.join(two, F.expr(f"x.s = y.s and x.k < y.k and x.c <> y.c and {room} "
+                                  f"and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"))
              .select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct())
-    second = _links(_within_bounds(cross, nodes, percent), nodes, docs, "doc_id", "text", size, percent, keep, "cross")
+    second = _links(cross, nodes, docs, size, percent, keep, "cross")
     links = first.union(second)
     comp = components(links, keep, "comp")
     labelled = nodes.join(comp.withColumnRenamed("node", "k"), "k", "left").select(

@@ -36,3 +36,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lading.llm.ngram_join import jaccard_components
     return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@register("op1_benchmark_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.decontaminate import contamination
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
