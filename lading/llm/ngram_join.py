@@ -55,6 +55,7 @@ MAX_HOT = 1 << 21
 ENTRIES_PER_BLOCK = 1 << 20
 BLOCK_ROWS = 256
 BITMAP_WORDS = 4
+FLUSH = 1 << 19             # entries that a task holds before it sends them on
 _LOW32 = np.uint64(0xFFFFFFFF)
 
 RECORD = ("kind int, s long, k long, n int, r int, score int, doc_id long, "
@@ -97,22 +98,30 @@ def _hot_columns(docs: DataFrame, text_col: str, size: int, blocks: int, keep: M
     """Names (block, lower hash half) of the most frequent columns, with
     their counts, at most ``MAX_HOT`` of them: uint64 array (name, count)."""
 
+    def counted(sets: list[np.ndarray]) -> pa.RecordBatch:
+        values, times = distinct_counts(np.concatenate(sets))
+        order, cut = _cut_by_block(_block_of(values, blocks), blocks)
+        low, times = (values[order] & _LOW32).astype(np.uint32), times[order].astype(np.uint32)
+        return pa.RecordBatch.from_arrays([
+            pa.array(range(blocks), pa.int32()),
+            pa.array([low[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
+            pa.array([times[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
+        ], ["block", "low", "times"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[int, np.ndarray] = {}
+            seen, held, n = set(), [], 0
             for values in _sets(batch.column(0), size):
-                if len(values):
-                    seen[_node(values)] = values
-            if not seen:
-                continue
-            values, times = distinct_counts(np.concatenate(list(seen.values())))
-            order, cut = _cut_by_block(_block_of(values, blocks), blocks)
-            low, times = (values[order] & _LOW32).astype(np.uint32), times[order].astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(range(blocks), pa.int32()),
-                pa.array([low[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
-                pa.array([times[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
-            ], ["block", "low", "times"])
+                name = _node(values)
+                if len(values) and name not in seen:
+                    seen.add(name)
+                    held.append(values)
+                    n += len(values)
+                if n >= FLUSH:
+                    yield counted(held)
+                    held, n = [], 0
+            if held:
+                yield counted(held)
 
     def frequent(table: pa.Table) -> pa.Table:
         low = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["low"]])
@@ -147,6 +156,22 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
     shared = docs.sparkSession.sparkContext.broadcast(hot)
     fields = "block int, s binary, k binary, n binary, r binary, score binary, doc_id binary, bitmap binary"
 
+    def packed(held: list[tuple]) -> list[tuple]:
+        s, k, n, r, sc, is_hot = map(np.concatenate, zip(*held))
+        block = _block_of(s, blocks)
+        # a hot column needs no count: its rows pass through, spread by node
+        block[is_hot] = blocks + (k[is_hot].view(np.uint64) % np.uint64(blocks)).astype(np.int64)
+        order, cut = _cut_by_block(block, 2 * blocks)
+        parts = [v[order] for v in (s, k, n, r, sc)]
+        return [(b, *(v[x:y].tobytes() for v in parts), None, None)
+                for b, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([row[0] for row in rows], pa.int32()),
+             *(pa.array([row[i] for row in rows], pa.binary()) for i in range(1, 8))],
+            ["block", "s", "k", "n", "r", "score", "doc_id", "bitmap"])
+
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts = shared.value
         maybe = np.zeros(1 << 20, dtype=bool)
@@ -154,7 +179,7 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
         turn = 0
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
-            S, K, N, R, SC, HOTS = [], [], [], [], [], []
+            held, waiting = [], 0
             node, n_of, bitmap, seen = [], [], [], set()
             for values in _sets(batch.column(1), size):
                 n = len(values)
@@ -174,34 +199,21 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
                     rank[look] = np.where(names[at] == column, counts[at], 0)
                 n_hot = int(np.count_nonzero(rank))
                 chosen = np.arange(first) if n_hot == 0 else np.argsort(rank, kind="stable")[:first]
-                S.append(values[chosen])
-                HOTS.append(rank[chosen] > 0)
-                K.append(np.full(first, name, dtype=np.int64))
-                N.append(np.full(first, n, dtype=np.int32))
-                R.append(np.arange(first, dtype=np.int32))
-                SC.append(np.full(first, 1000 * n_hot // n, dtype=np.int32))
-            out: list[tuple] = []
-            if S:
-                s, k, n, r, sc, is_hot = map(np.concatenate, (S, K, N, R, SC, HOTS))
-                block = _block_of(s, blocks)
-                # a hot column needs no count: its rows pass through, spread by node
-                block[is_hot] = blocks + (k[is_hot].view(np.uint64) % np.uint64(blocks)).astype(np.int64)
-                order, cut = _cut_by_block(block, 2 * blocks)
-                s, k, n, r, sc = s[order], k[order], n[order], r[order], sc[order]
-                out += [(b, *(v[x:y].tobytes() for v in (s, k, n, r, sc)), None, None)
-                        for b, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+                held.append((values[chosen], np.full(first, name, dtype=np.int64), np.full(first, n, dtype=np.int32),
+                             np.arange(first, dtype=np.int32), np.full(first, 1000 * n_hot // n, dtype=np.int32),
+                             rank[chosen] > 0))
+                waiting += first
+                if waiting >= FLUSH:
+                    yield sent(packed(held))
+                    held, waiting = [], 0
+            if held:
+                yield sent(packed(held))
             if node:
                 turn += 1
-                valid = np.array([v is not None for v in ids.to_pylist()])
-                plain = ids.fill_null(0).to_numpy(zero_copy_only=False)
-                packed = np.stack([plain, valid.astype(np.int64)])
-                out.append((2 * blocks + (abs(node[0]) + turn) % blocks, b"", np.array(node, np.int64).tobytes(),
-                            np.array(n_of, np.int32).tobytes(), b"", b"", packed.tobytes(), np.stack(bitmap).tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[0] for row in out], pa.int32()),
-                     *(pa.array([row[i] for row in out], pa.binary()) for i in range(1, 8))],
-                    ["block", "s", "k", "n", "r", "score", "doc_id", "bitmap"])
+                known = np.array([v is not None for v in ids.to_pylist()])
+                both = np.stack([ids.fill_null(0).to_numpy(zero_copy_only=False), known.astype(np.int64)])
+                yield sent([(2 * blocks + (abs(node[0]) + turn) % blocks, b"", np.array(node, np.int64).tobytes(),
+                             np.array(n_of, np.int32).tobytes(), b"", b"", both.tobytes(), np.stack(bitmap).tobytes())])
 
     def records(kind, s, k, n, r, score, doc_id=None, bitmap=None) -> pa.Table:
         m = len(k)
