@@ -1,8 +1,10 @@
-"""Corpus pipeline: quality rules, near-duplicate join (and, next, decontamination, PII, packing).
+"""Corpus pipeline: quality rules, near-duplicate join, benchmark
+decontamination, PII surrogates, sequence packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``.  All stages
-but the last return the columns of ``documents``.
+but the last return the columns of ``documents``; the last returns the packed
+pieces of the documents that are left.
 """
 
 from __future__ import annotations
@@ -11,18 +13,41 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lading.llm import quality_rules as _rules
+from lading.llm import decontaminate, ngram_join, packing, pii, quality_rules
 from lading.session import scratch_path
 from lading.sources.tables import read_table
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that pass the default policy (operator 9)."""
-    return _rules.filter_documents(docs, _rules.POLICIES["default"])
+    return quality_rules.filter_documents(docs, quality_rules.POLICIES["default"])
 
 
-STAGES = [("quality_rules", rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of the n-gram join (operator 2)."""
+    return ngram_join.one_per_group(docs)
 
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark passage (operator 1)."""
+    return decontaminate.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data in the texts (operator 8)."""
+    return pii.replace_documents(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the documents into training sequences (operator 3)."""
+    return packing.packed_sequences(docs)
+
+
+STAGES = [("quality_rules", rules), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("pii", surrogates), ("packing", sequences)]
+
+#: edit search, keyed surrogates and packing have no SQL form; tests/llm holds
+#: the pipeline against plain Python
 ORACLE_SQL = None
 
 

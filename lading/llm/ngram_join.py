@@ -382,3 +382,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return (rows.join(named, "k", "left")
             .select(F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("k").alias("node"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+                  percent: int = PERCENT) -> DataFrame:
+    """The documents without those that link, directly or over others, to a
+    document with a smaller id; of rows with one id, one stays."""
+    keep = Materializer(docs.sparkSession, scratch_path(docs.sparkSession, f"groups-{uuid.uuid4().hex[:12]}"))
+    placed = keep("placed_documents", jaccard_components(docs, id_col, text_col, size, percent))
+    drop = keep("dropped", placed.where(f"{id_col} <> component_id").select(F.col(id_col).alias("drop_id")).distinct())
+    repeated = keep("repeated", placed.groupBy(id_col).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+                    .select(F.col(id_col).alias("again_id")))
+    stay = docs.join(broadcast_if_small(drop), docs[id_col] == F.col("drop_id"), "left_anti")
+    if repeated.isEmpty():
+        return stay
+    again = broadcast_if_small(repeated)
+    return (stay.join(again, stay[id_col] == F.col("again_id"), "left_anti")
+            .unionByName(stay.join(again, stay[id_col] == F.col("again_id"), "left_semi").dropDuplicates([id_col])))

@@ -42,3 +42,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lading.llm.decontaminate import contamination
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op8_pii_surrogates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.pii import ROW, pseudonymise
+    return (pseudonymise(read_table(spark, sf_dir, "documents"))
+            .select(F.col(ROW)["doc_id"].alias("doc_id"), "text", "n_entities", "entities"))
+
+
+@register("op3_best_fit_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.packing import packed_sequences
+    return packed_sequences(read_table(spark, sf_dir, "documents"))
