@@ -272,10 +272,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         ids.append(batch.column(0)[lo + i].as_py())
         if not items:
             continue
-        asked_for = spark.sparkContext.broadcast((item_classes(items, max_share, target_recall), items, ids))
+        classes = [vars(c) for c in item_classes(items, max_share, target_recall)]
+        asked_for = spark.sparkContext.broadcast((classes, items, ids))
 
         def search(batches: Iterator[pa.RecordBatch], asked_for=asked_for) -> Iterator[pa.RecordBatch]:
             classes, items, ids = asked_for.value
+            classes = [ItemClass(**c) for c in classes]
             for batch in batches:
                 got = []
                 for lo, hi, buf, off in slices(batch.column(1), _SLICE):

@@ -55,3 +55,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lading.llm.packing import packed_sequences
     return packed_sequences(read_table(spark, sf_dir, "documents"))
+
+
+@register("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.substring_dedup import removed_spans
+    return removed_spans(read_table(spark, sf_dir, "documents"))
+
+
+@register("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.quality_classifier import scores
+    held_out = "crc32(cast(cast(doc_id as string) as binary)) % 5 = 0"
+    found = scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), f"not ({held_out})")
+    return found.select("doc_id", F.expr(held_out).alias("held_out"), "score",
+                        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.rowmap import ROW
+    from lading.llm.token_counts import token_counts
+    return token_counts(read_table(spark, sf_dir, "documents")).select(F.col(ROW)["doc_id"].alias("doc_id"), "n_words", "n_tokens")
