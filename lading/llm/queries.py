@@ -77,3 +77,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lading.llm.rowmap import ROW
     from lading.llm.token_counts import token_counts
     return token_counts(read_table(spark, sf_dir, "documents")).select(F.col(ROW)["doc_id"].alias("doc_id"), "n_words", "n_tokens")
+
+
+@register("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.secret_scan import scan
+    return scan(read_table(spark, sf_dir, "documents"))
+
+
+@register("op6_lm_scoring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.lm_scoring import scores
+    return scores(read_table(spark, sf_dir, "documents"), "crc32(cast(cast(doc_id as string) as binary)) % 5 = 1")
