@@ -21,12 +21,17 @@ ignored.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lading.operators.materialize import Materializer
+from lading.session import scratch_path
+
 MIN_LENGTH = 12
 TRAINING_ROWS = 20_000
 TREES, DEPTH, SEED = 24, 6, 4
@@ -51,12 +56,12 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     words = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
              .where(F.col("text").rlike("[0-9]"))           # most texts end here
              .select("doc_id", F.split(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), " ").alias("w")))
-    near = F.transform("w", lambda x, i: F.struct(
+    # neighbours are read for the few matching words only
+    near = F.transform("w", lambda x, i: F.when(x.rlike("[0-9]") & x.rlike(KEY_RUN), F.struct(
         i.alias("word_no"), x.alias("word"),
-        F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1)).alias("before"), F.get("w", i + 1).alias("after")))
-    found = (words.select("doc_id", F.explode(F.filter(
-        near, lambda s: s["word"].rlike(KEY_RUN) & s["word"].rlike("[0-9]"))).alias("c"))
-        .select("doc_id", "c.*").withColumn("value", F.regexp_extract("word", f"({KEY_RUN})", 1)))
+        F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1)).alias("before"), F.get("w", i + 1).alias("after"))))
+    found = (words.select("doc_id", F.explode(F.filter(near, lambda s: s.isNotNull())).alias("c"))
+             .select("doc_id", "c.*").withColumn("value", F.regexp_extract("word", f"({KEY_RUN})", 1)))
     found = found.where(F.col("value").rlike("[0-9]") | F.col("word").rlike("@"))
     value = F.col("value")
     context = F.concat_ws(" ", "before", F.regexp_extract("word", rf"^(.*?){KEY_RUN}", 1))
@@ -81,7 +86,9 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_
          training_rows: int = TRAINING_ROWS) -> DataFrame:
     """One row per candidate: id, word number, masked value, length, the
     forest's ``score`` and the verdict ``is_secret``."""
-    found = candidates(docs, id_col, text_col)
+    spark = docs.sparkSession
+    keep = Materializer(spark, scratch_path(spark, f"secrets-{uuid.uuid4().hex[:12]}"))
+    found = keep("candidates", candidates(docs, id_col, text_col))     # texts are read once; the forest reads these rows
     by_context = (F.when(F.col("other_shape"), 0.0)
                   .when((F.col("assigned") == 1) & (F.col("named") == 1) & (F.col("harmless") == 0), 1.0)
                   .when(F.col("harmless") == 1, 0.0))
@@ -89,8 +96,8 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_
         labelled = found.withColumn("label", by_context)
     else:
         labelled = found.join(findings.select("value", F.col("is_secret").cast("double").alias("label")), "value")
-    labelled = (labelled.where("label is not null").select("value", "label", *FEATURES).distinct()
-                .orderBy(F.xxhash64("value", *FEATURES)).limit(training_rows))
+    labelled = keep("labelled", labelled.where("label is not null").select("value", "label", *FEATURES).distinct()
+                    .orderBy(F.xxhash64("value", *FEATURES)).limit(training_rows))
     hidden = labelled.withColumns({c: F.lit(0.0) for c in CONTEXT})
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     rows = assembler.transform(labelled.unionByName(hidden)).select("label", "features")
