@@ -12,22 +12,20 @@ from pyspark.sql import types as T
 
 from lading.functions.joins import estimated_bytes
 
-SINGLE_FILE_MAX_BYTES = 256 * 1024 * 1024
-
 
 def export_ordered_csv(df: DataFrame, path: str, order_by: Sequence[str],
-                       single_file_max_bytes: int = SINGLE_FILE_MAX_BYTES) -> None:
-    """A5: ``copy (select ... order by ...) to csv``.
+                       single_file: bool = False) -> None:
+    """A5: ``copy (select ... order by ...) to csv`` (NULLs last).
 
     ``orderBy`` is a range shuffle: part files are ordered and their
-    concatenation is the ordered relation.  Only a mart whose estimated size
-    is under ``single_file_max_bytes`` is coalesced into one file (coalesce
-    keeps partition order).
+    concatenation is the ordered relation, whatever its size.  A caller that
+    knows its relation to be small may ask for a ``single_file``; the sort
+    still runs in parallel and only the write is one task.
     """
-    ordered = df.orderBy(*order_by)
-    size = estimated_bytes(df)
-    if size is not None and size <= single_file_max_bytes:
-        ordered = ordered.coalesce(1)
+    ordered = df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    if single_file:
+        # a checkpointed range sort, then the ordered parts in one writer
+        ordered = ordered.checkpoint().coalesce(1)
     ordered.write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -60,11 +58,13 @@ TARGET_FILE_BYTES = 256 * 1024 * 1024
 def write_tasks(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Writer tasks for a layout: every core at least, one per ``target_bytes``
     of estimated input beyond that.  Explicit, because AQE would otherwise
-    coalesce a small range shuffle into one or two writer tasks."""
+    coalesce a small range shuffle into one or two writer tasks.  The estimate
+    of a join is the product of its inputs: pass a materialised frame (as the
+    callers here do) or an explicit task count."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = estimated_bytes(df)
     by_size = -(-size // target_bytes) if size else 0
-    return int(max(cores, min(by_size, 1_000_000)))
+    return int(max(cores, by_size))
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, cluster_cols: Sequence[str] = (),
@@ -89,10 +89,12 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, sort_cols: Se
     """Hash distribution on ``key`` (``distkey`` / ``distribution=hash``).
 
     Bucketed Parquet: later joins and aggregations on ``key`` with the same
-    bucket count need no shuffle of this side.
+    bucket count need no shuffle of this side.  Rows are hashed on the key
+    into as many tasks as buckets first, so each bucket is one file.  All
+    rows of one key are one bucket: that is what bucketing means.
     """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    w = df.write.mode("overwrite").option("path", path).bucketBy(n, key)
+    w = df.repartition(n, key).write.mode("overwrite").option("path", path).bucketBy(n, key)
     if sort_cols:
         w = w.sortBy(*sort_cols)
     w.saveAsTable(table)

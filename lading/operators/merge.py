@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UPDATED, INSERTED, UNCHANGED = "updated", "inserted", "unchanged"
@@ -32,14 +32,19 @@ def merge_into(target: DataFrame, source: DataFrame, key: str, columns: Sequence
     * matched otherwise, or target-only: keep the target row;
     * source-only: insert with ``updated_at``.
     ``merge_action`` tells which branch produced the row.  The source must be
-    unique per key (deduplicate first); ``assert_unique_keys`` checks it.
+    unique per key (deduplicate first): a repeated key fails the job when it
+    runs.  The check counts rows per key on the partitioning that the join
+    needs anyway, so it adds no shuffle.
     """
     ts = run_ts if run_ts is not None else F.current_timestamp()
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in columns],
                       (F.col("updated_at") if "updated_at" in target.columns
                        else F.lit(None).cast("timestamp")).alias("t_updated_at"),
                       F.lit(True).alias("_in_t"))
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in columns], F.lit(True).alias("_in_s"))
+    repeated = (F.count(F.lit(1)).over(Window.partitionBy(key)) > 1) & F.col(key).isNotNull()
+    failed = F.raise_error(F.concat(F.lit(f"merge source repeats {key}="), F.col(key).cast("string")))
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in columns],
+                      F.when(repeated, failed.cast("boolean")).otherwise(F.lit(True)).alias("_in_s"))
     j = t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
     matched = F.col("_in_t").isNotNull() & F.col("_in_s").isNotNull()
     src_only = F.col("_in_t").isNull()

@@ -7,11 +7,13 @@ job.  The operators here decompose the ordered sequence into *blocks* — a
 monotone coarsening of the order key — so that:
 
 1. per-block counts/sums are a partially aggregated group-by (small output);
-2. block offsets are an exclusive prefix over the block table (bounded:
-   one row per block, not per input row);
+2. block offsets are an exclusive prefix over the block table (one row per
+   block; how far that is below one row per input row depends on the
+   coarsening);
 3. the rows are shuffled by block and ranked inside the block, plus offset.
 
-Results equal the plain window exactly (integer counts, exact decimals).
+NULL order keys sort last, as in the warehouses.  Results equal the plain
+window exactly (integer counts, exact decimals).
 """
 
 from __future__ import annotations
@@ -57,14 +59,14 @@ def running_rank_and_sum(df: DataFrame, partition_by: Sequence[str], order_by: S
                       F.count(value).alias("_nn"),
                       F.sum(value).alias("_s")))
     prior = (Window.partitionBy(*[F.col(f"_blk.{c}") for c in part])
-             .orderBy(*[F.col(f"_blk.{n}") for n in bnames]).rowsBetween(_PRE, -1))
+             .orderBy(*[F.col(f"_blk.{n}").asc_nulls_last() for n in bnames]).rowsBetween(_PRE, -1))
     offsets = per_block.select(
         "_blk",
         F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off_n"),
         F.coalesce(F.sum("_nn").over(prior), F.lit(0)).alias("_off_nn"),
         F.sum("_s").over(prior).alias("_off_s"))
 
-    inside = Window.partitionBy("_blk").orderBy(*order_by)
+    inside = Window.partitionBy("_blk").orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     running = inside.rowsBetween(_PRE, 0)
     joined = blocked.join(broadcast_if_small(offsets), "_blk")
     nn = F.col("_off_nn") + F.count(value).over(running)
@@ -87,14 +89,14 @@ def global_positions(df: DataFrame, date_col: str, id_col: str, pos_name: str =
     per_block = blocked.groupBy("_blk").agg(F.count(F.lit(1)).alias("_n"))
     per_day = per_block.groupBy(F.col("_blk.d").alias("_d")).agg(F.sum("_n").alias("_dn"))
     day_off = per_day.select(
-        "_d", F.coalesce(F.sum("_dn").over(Window.orderBy("_d").rowsBetween(_PRE, -1)), F.lit(0)).alias("_doff"))
-    in_day = Window.partitionBy(F.col("_blk.d")).orderBy(F.col("_blk.p")).rowsBetween(_PRE, -1)
+        "_d", F.coalesce(F.sum("_dn").over(Window.orderBy(F.col("_d").asc_nulls_last()).rowsBetween(_PRE, -1)), F.lit(0)).alias("_doff"))
+    in_day = Window.partitionBy(F.col("_blk.d")).orderBy(F.col("_blk.p").asc_nulls_last()).rowsBetween(_PRE, -1)
     blk_off = (per_block
-               .select("_blk", F.col("_blk.d").alias("_d"),
+               .select("_blk", F.col("_blk.d").alias("_bd"),
                        F.coalesce(F.sum("_n").over(in_day), F.lit(0)).alias("_boff"))
-               .join(broadcast_if_small(day_off), "_d")
+               .join(broadcast_if_small(day_off), F.col("_bd").eqNullSafe(F.col("_d")))
                .select("_blk", (F.col("_doff") + F.col("_boff")).alias("_off")))
-    w = Window.partitionBy("_blk").orderBy(id_col)
+    w = Window.partitionBy("_blk").orderBy(F.col(id_col).asc_nulls_last())
     return (blocked.join(broadcast_if_small(blk_off), "_blk")
             .withColumn(pos_name, F.col("_off") + F.row_number().over(w))
             .drop("_blk", "_off"))

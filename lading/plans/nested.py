@@ -9,42 +9,41 @@ from pyspark.sql import functions as F
 
 from lading.functions.joins import broadcast_if_small
 
-# An order with more items than this is nested into several rows (chunks)
-# instead of one array, so no single group is collected whole into one task.
-MAX_ITEMS_PER_ROW = 10_000
+# Fixed number of parts that every group's items are collected in before the
+# parts of a group meet.
+PARTS = 16
 
 
 def nest_items(lines: DataFrame, keys: Sequence[str], item: Column, unique_col: str,
-               max_items: int = MAX_ITEMS_PER_ROW, items_name: str = "items") -> DataFrame:
-    """``array_agg(item order by item) group by keys``, with hot groups split.
-
-    Group sizes are counted first (partial aggregation, one row per group);
-    groups above ``max_items`` are salted by a hash of ``unique_col`` into
-    ``ceil(n / max_items)`` chunks.  Ordinary groups stay one row.  The hot
-    group list is joined by broadcast only under the size bound.  Unnesting
-    the result gives exactly the input items.
+               items_name: str = "items", parts: int = PARTS, **per_group: Column) -> DataFrame:
+    """``array_agg(item order by item) group by keys``: one row per group.
+
+    Two levels, whatever the group's size: items are collected per (group,
+    part) - the part is a hash of ``unique_col``, so the rows of a hot group
+    are read by several tasks - and the parts of a group are then joined end
+    to end and sorted once.  ``per_group`` names extra ``max`` aggregates.
+    Only the finished array of a group is in one task: it is one row of the
+    result.
     """
     keys = list(keys)
-    counts = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > max_items)
-    tagged = lines.join(broadcast_if_small(hot), keys, "left")
-    chunk = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(F.col(unique_col)), F.ceil(F.col("_n") / max_items)))
+    part = F.pmod(F.xxhash64(F.col(unique_col)), F.lit(parts))
     # One struct grouping key: a partitioning on the group keys alone (left by
-    # a shuffle join, or by the input) never satisfies it, so the chunks of a
+    # a shuffle join, or by the input) never satisfies it, so the parts of a
     # hot group are always shuffled apart.
-    group = F.struct(*[F.col(k) for k in keys], chunk.alias("_chunk")).alias("_g")
-    return (tagged.groupBy(group)
-            .agg(F.array_sort(F.collect_list(item)).alias(items_name))
-            .select(*[F.col(f"_g.{k}").alias(k) for k in keys], items_name))
+    group = F.struct(*[F.col(k) for k in keys], part.alias("_part")).alias("_g")
+    level = lines.groupBy(group).agg(F.collect_list(item).alias(items_name),
+                                     *[F.max(c).alias(n) for n, c in per_group.items()])
+    return (level.groupBy(*[F.col(f"_g.{k}").alias(k) for k in keys])
+            .agg(F.array_sort(F.flatten(F.collect_list(items_name))).alias(items_name),
+                 *[F.max(n).alias(n) for n in per_group]))
 
 
-def nested_orders(lines: DataFrame, max_items: int = MAX_ITEMS_PER_ROW) -> DataFrame:
+def nested_orders(lines: DataFrame) -> DataFrame:
     """Order header with ``items ARRAY<STRUCT<sku, quantity, extended_price>>``
     sorted by SKU (struct ordering is field by field, SKU first)."""
     item = F.struct(F.col("sku"), F.col("units_ordered").alias("quantity"),
                     F.col("revenue").alias("extended_price"))
-    return nest_items(lines, ["order_id", "customer_id", "order_date"], item, "order_line_id", max_items)
+    return nest_items(lines, ["order_id", "customer_id", "order_date"], item, "order_line_id")
 
 
 def unnest_items(nested: DataFrame) -> DataFrame:
@@ -52,9 +51,9 @@ def unnest_items(nested: DataFrame) -> DataFrame:
     return nested.select("order_id", "customer_id", "order_date", F.inline("items"))
 
 
-def nested_order_items(lines: DataFrame, max_items: int = MAX_ITEMS_PER_ROW) -> DataFrame:
+def nested_order_items(lines: DataFrame) -> DataFrame:
     """Nest then unnest (the BigQuery round trip)."""
-    return unnest_items(nested_orders(lines, max_items))
+    return unnest_items(nested_orders(lines))
 
 
 # --- semi-structured events --------------------------------------------------
@@ -64,17 +63,16 @@ CREATED, UPDATED = "order_created", "order_updated"
 OPEN_STATUS = "O"
 
 
-def order_events(lines: DataFrame, order_status: DataFrame, max_items: int = MAX_ITEMS_PER_ROW) -> DataFrame:
-    """One JSON ``event_payload`` per order (per chunk for huge orders),
-    with order_id, event_timestamp (latest ingestion of its lines),
+def order_events(lines: DataFrame, order_status: DataFrame) -> DataFrame:
+    """One JSON ``event_payload`` per order, with order_id, event_timestamp (latest ingestion of its lines),
     event_type (from the order's status) and an items list."""
     item = F.struct(F.col("sku"), F.col("units_ordered").alias("quantity"),
                     F.col("revenue").alias("extended_price"))
-    per_order = nest_items(lines, ["order_id"], item, "order_line_id", max_items)
-    stamps = lines.groupBy("order_id").agg(F.max("ingestion_timestamp").alias("event_timestamp"))
+    per_order = nest_items(lines, ["order_id"], item, "order_line_id",
+                           event_timestamp=F.col("ingestion_timestamp"))
     kind = F.when(F.col("order_status") == OPEN_STATUS, F.lit(CREATED)).otherwise(F.lit(UPDATED))
     status = broadcast_if_small(order_status.select("order_id", kind.alias("event_type")))
-    return (per_order.join(stamps, "order_id").join(status, "order_id")
+    return (per_order.join(status, "order_id")
             .select(F.to_json(F.struct(
                 F.col("order_id"), F.col("event_timestamp"), F.col("event_type"),
                 F.col("items"))).alias("event_payload")))

@@ -59,6 +59,17 @@ def rolling_30_order_otif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return service_mart_rolling(wh.fct_order_line, wh.fct_shipment)
 
 
+@register("rolling_30_order_otif_staged")
+def rolling_30_order_otif_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J8 over the tolerant staging, whose dates may be NULL (ordered last)."""
+    from lading.operators.materialize import Materializer
+    from lading.plans.fulfillment import service_mart_rolling
+    from lading.plans.lakehouse import stg_order_lines
+    m = Materializer(spark)
+    staged = stg_order_lines(SourceContract(spark, sf_dir).order_lines_dirty, tie_break=TIE_BREAK, with_warehouse=True)
+    return service_mart_rolling(m("stg_order_lines", staged), _wh(spark, sf_dir).fct_shipment)
+
+
 TIE_BREAK = ("l_partkey", "l_suppkey", "l_extendedprice")
 
 
@@ -216,6 +227,30 @@ def qa_violation_counts_q(spark, sf_dir):
     return violation_counts(_wh(spark, sf_dir).order_facts)
 
 
+def _skewed_flags(spark, sf_dir):
+    """An order mart that breaks its rules: OTIF ignores the delivery, the
+    fill rate is inverted (for the checks to find something)."""
+    from pyspark.sql import functions as F
+    from lading.functions.exprs import ratio
+    return (_wh(spark, sf_dir, False).order_facts
+            .select("order_id", ratio("units_ordered", "units_shipped").alias("unit_fill_rate"), "on_time_flag",
+                    "complete_order_flag", F.col("complete_order_flag").alias("otif_flag")))
+
+
+@register("qa_mart_violations_found")
+def qa_mart_violations_found_q(spark, sf_dir):
+    """K14 on a mart with violations."""
+    from lading.plans.quality import mart_violations
+    return mart_violations(_skewed_flags(spark, sf_dir))
+
+
+@register("qa_violation_counts_found")
+def qa_violation_counts_found_q(spark, sf_dir):
+    """K15 on a mart with violations."""
+    from lading.plans.quality import violation_counts
+    return violation_counts(_skewed_flags(spark, sf_dir))
+
+
 @register("order_weight")
 def order_weight_q(spark, sf_dir):
     return SourceContract(spark, sf_dir).order_weights

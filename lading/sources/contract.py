@@ -29,10 +29,7 @@ from lading.sources.tables import read_table, spread_small
 # carrier:         (o_orderkey*29) % 100  -> <30 CarrierA, <58 CarrierB, <82 CarrierC, else CarrierD
 # shipped in full: (l_orderkey*13 + l_linenumber*7 + l_partkey) % 100 < 94
 # supplier tier:   s_suppkey % 20 -> <11 Low, <17 Medium, else High
-# demand grid:     the twelve months of 2000 x (WH-NORTH 0, WH-CENTRAL 1, WH-SOUTH 2) x SKU
-WAREHOUSES = ("WH-NORTH", "WH-CENTRAL", "WH-SOUTH")
-GRID_YEAR = 2000
-MONTH_DAYS_2000 = (31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
+# demand grid:     first to last order month x warehouses of the orders (numbered by name) x SKU
 # merge fixture windows on ingestion_timestamp
 MERGE_TARGET_BEFORE = "2000-01-01 00:00:00"
 MERGE_SOURCE_FROM = "1999-07-01 00:00:00"
@@ -196,41 +193,38 @@ class SourceContract:
                     .cast("decimal(18,2)").alias("exception_cost")))
 
     # --- demand grid, inventory, forecast, activity ----------------------------
-    @staticmethod
-    def _in_grid_year() -> Column:
-        """``year(order_date) = 2000`` as a range, so it is pushed to the scan."""
-        return F.col("order_date").between(F.make_date(F.lit(GRID_YEAR), F.lit(1), F.lit(1)),
-                                           F.make_date(F.lit(GRID_YEAR), F.lit(12), F.lit(31)))
-
     @cached_property
     def monthly_demand(self) -> DataFrame:
         return (self.order_lines
-                .filter(self._in_grid_year())
-                .groupBy(F.month("order_date").alias("mi"), "warehouse", "sku")
+                .groupBy(F.trunc("order_date", "month").alias("snapshot_date"), "warehouse", "sku")
                 .agg(F.sum("units_ordered").alias("units")))
 
     @cached_property
     def demand_grid(self) -> DataFrame:
         """Dense month x warehouse x SKU grid; missing demand is 0 (L3).
 
-        The 36 (month, warehouse) cells are a fixed literal array exploded per
-        product: a generator, not a cross join, so output grows linearly with
-        the product table.
+        Months run from the first to the last order month and warehouses are
+        those of the orders: one aggregated row (bounded by the calendar and
+        the warehouse count), exploded per product.  That is a generator, not
+        a cross join, so output grows linearly with the product table.  Month
+        and warehouse are functions of the order, so the bronze lines give
+        the same bounds as the deduplicated ones.
         """
-        cells = F.array(*[
-            F.struct(F.make_date(F.lit(GRID_YEAR), F.lit(mi), F.lit(1)).alias("snapshot_date"),
-                     F.lit(mi).alias("mi"), F.lit(nd).alias("nd"),
-                     F.lit(wh).alias("warehouse"), F.lit(wi).alias("wi"))
-            for mi, nd in enumerate(MONTH_DAYS_2000, start=1)
-            for wi, wh in enumerate(WAREHOUSES)])
+        bounds = (self.order_lines_bronze
+                  .select(F.struct(F.trunc(F.min("order_date"), "month").alias("first"),
+                                   F.trunc(F.max("order_date"), "month").alias("last"),
+                                   F.array_sort(F.collect_set("warehouse")).alias("warehouses")))
+                  .scalar())
+        months = F.sequence(bounds["first"], bounds["last"], F.expr("interval 1 month"))
         grid = (self.products.select("sku", "p_partkey", "unit_price")
-                .select("*", F.inline(cells)))
-        d = self.monthly_demand
+                .select("*", F.explode(months).alias("snapshot_date"))
+                .select("*", F.posexplode(bounds["warehouses"]).alias("wi", "warehouse")))
         units = F.coalesce(F.col("units"), F.lit(0).cast("bigint"))
-        return (grid.join(d, ["mi", "warehouse", "sku"], "left")
-                .select("snapshot_date", "warehouse", "sku", "p_partkey", "unit_price", "mi", "wi",
+        return (grid.join(self.monthly_demand, ["snapshot_date", "warehouse", "sku"], "left")
+                .select("snapshot_date", "warehouse", "sku", "p_partkey", "unit_price",
+                        F.month("snapshot_date").alias("mi"), "wi",
                         units.alias("monthly_demand"),
-                        (units.cast("double") / F.col("nd")).alias("avg_daily")))
+                        (units.cast("double") / F.dayofmonth(F.last_day("snapshot_date"))).alias("avg_daily")))
 
     @cached_property
     def inventory(self) -> DataFrame:
@@ -259,10 +253,8 @@ class SourceContract:
     @cached_property
     def warehouse_activity(self) -> DataFrame:
         """Monthly units shipped and labor hours per warehouse (L4)."""
-        lines = self.order_lines.filter(self._in_grid_year())
-        month = F.make_date(F.year("order_date"), F.month("order_date"), F.lit(1))
         units = F.sum("units_shipped")
-        return (lines.groupBy(month.alias("activity_date"), "warehouse")
+        return (self.order_lines.groupBy(F.trunc("order_date", "month").alias("activity_date"), "warehouse")
                 .agg(units.cast("bigint").alias("units_processed"),
                      F.greatest(F.lit(80.0), units.cast("double") / 26)
                      .cast("decimal(18,2)").alias("labor_hours")))

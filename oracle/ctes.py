@@ -90,17 +90,17 @@ join (select order_id, cast(sum(units_shipped * unit_weight_kg) as decimal(18,3)
       from lines group by order_id) w on h.order_id = w.order_id""", "src_order_headers", "lines")
 
 cte("src_demand_grid", """
-select m.month_start snapshot_date, w.warehouse, p.sku, p.p_partkey, p.unit_price, m.mi, w.wi,
-       coalesce(d.units, 0) monthly_demand, cast(coalesce(d.units, 0) as double) / m.nd avg_daily
-from (values (date '2000-01-01', 1, 31), (date '2000-02-01', 2, 29), (date '2000-03-01', 3, 31),
-             (date '2000-04-01', 4, 30), (date '2000-05-01', 5, 31), (date '2000-06-01', 6, 30),
-             (date '2000-07-01', 7, 31), (date '2000-08-01', 8, 31), (date '2000-09-01', 9, 30),
-             (date '2000-10-01', 10, 31), (date '2000-11-01', 11, 30), (date '2000-12-01', 12, 31)) m(month_start, mi, nd)
-cross join (select 'WH-NORTH' warehouse, 0 wi union all select 'WH-CENTRAL', 1 union all select 'WH-SOUTH', 2) w
+select m.month_start snapshot_date, w.warehouse, p.sku, p.p_partkey, p.unit_price, month(m.month_start) mi, w.wi,
+       coalesce(d.units, 0) monthly_demand,
+       cast(coalesce(d.units, 0) as double) / day(last_day(m.month_start)) avg_daily
+from (select cast(unnest(generate_series(date_trunc('month', min(order_date)), date_trunc('month', max(order_date)),
+                                         interval 1 month)) as date) month_start from lines) m
+cross join (select warehouse, row_number() over (order by warehouse) - 1 wi
+            from (select distinct warehouse from lines) names) w
 cross join src_products p
 left join (select year(order_date) y, month(order_date) mo, warehouse, sku, sum(units_ordered) units
            from lines group by year(order_date), month(order_date), warehouse, sku) d
-  on d.y = 2000 and d.mo = m.mi and d.warehouse = w.warehouse and d.sku = p.sku""", "src_products", "lines")
+  on d.y = year(m.month_start) and d.mo = month(m.month_start) and d.warehouse = w.warehouse and d.sku = p.sku""", "src_products", "lines")
 
 cte("src_inventory", """
 select snapshot_date, warehouse, sku, average_daily_demand, on_hand_units,
@@ -120,7 +120,7 @@ cte("src_warehouse_activity", """
 select make_date(cast(year(order_date) as integer), cast(month(order_date) as integer), 1) activity_date, warehouse,
        cast(sum(units_shipped) as bigint) units_processed,
        cast(greatest(cast(80 as double), cast(sum(units_shipped) as double) / 26) as decimal(18,2)) labor_hours
-from lines where year(order_date) = 2000
+from lines
 group by make_date(cast(year(order_date) as integer), cast(month(order_date) as integer), 1), warehouse""", "lines")
 
 cte("src_stg_dirty", """

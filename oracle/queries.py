@@ -15,7 +15,8 @@ for _n in ("dim_customer", "dim_supplier", "dim_product", "fct_order_line", "fct
 
 # Order-grain service rows, ranked over every order by (date, id), with the
 # 0/1 OTIF averaged over the current and 29 previous orders.
-ORACLE["rolling_30_order_otif"] = with_ctes("""
+def _rolling_sql(lines: str) -> str:
+    return f"""
 select t.*, round(avg(otif_flag) over last_30_orders, 6) as rolling_30_order_otif,
        freight_cost::double / nullif(shipment_weight_kg::double, 0) as freight_cost_per_kg
 from (
@@ -28,11 +29,13 @@ from (
     from (select order_id, customer_id, warehouse, min(order_date) as order_date,
                  max(promised_date) as promised_date, sum(units_ordered)::bigint as units_ordered,
                  sum(units_shipped)::bigint as units_shipped, sum(revenue)::decimal(38,2) as revenue
-          from fct_order_line group by order_id, customer_id, warehouse) o
+          from {lines} group by order_id, customer_id, warehouse) o
     left join fct_shipment s on s.order_id = o.order_id
 ) t
-window last_30_orders as (order by order_date, order_id rows between 29 preceding and current row)""",
-                                            "fct_order_line", "fct_shipment")
+window last_30_orders as (order by order_date, order_id rows between 29 preceding and current row)"""
+
+
+ORACLE["rolling_30_order_otif"] = with_ctes(_rolling_sql("fct_order_line"), "fct_order_line", "fct_shipment")
 
 # Calendar: every day from the first order date to the last delivery date.
 ORACLE["dim_date"] = with_ctes("""
@@ -83,7 +86,7 @@ select l.order_id, max(l.ingestion_timestamp) over (partition by l.order_id) as
 from lines l join src_order_headers h on h.order_id = l.order_id
 where h.order_status = 'O'""", "lines", "src_order_headers")
 
-ORACLE["stg_order_lines"] = with_ctes("""
+_STAGED = """
 select order_line_id, order_id, customer_id, warehouse, order_date, promised_date, sku,
        units_ordered, units_shipped, revenue, ingestion_timestamp
 from (
@@ -97,7 +100,10 @@ from (
                               order by ingestion_timestamp desc, l_partkey desc, l_suppkey desc,
                                        l_extendedprice desc) as pick
     from src_stg_dirty) t
-where pick = 1""", "src_stg_dirty")
+where pick = 1"""
+ORACLE["stg_order_lines"] = with_ctes(_STAGED, "src_stg_dirty")
+ORACLE["rolling_30_order_otif_staged"] = with_ctes(_rolling_sql(f"({_STAGED}) staged"), "src_stg_dirty", "fct_shipment")
+
 
 ORACLE["silver_order_lines"] = with_ctes("""
 select * exclude (l_partkey, l_suppkey, l_extendedprice) from lines where order_line_id is not null""", "lines")
@@ -229,6 +235,18 @@ select count(*) filter (where not (unit_fill_rate between 0 and 1)) as invalid_f
        count(*) filter (where otif_flag > complete_order_flag) as invalid_otif_complete
 from order_facts""", "order_facts")
 
+# the same rules over a mart whose OTIF ignores the delivery and whose fill rate is inverted
+_BROKEN = """(select order_id, units_ordered::double / nullif(units_shipped::double, 0) as unit_fill_rate, on_time_flag,
+       complete_order_flag, complete_order_flag as otif_flag from order_facts) broken"""
+ORACLE["qa_mart_violations_found"] = with_ctes(f"""
+select * from {_BROKEN}
+where not (unit_fill_rate between 0 and 1) or otif_flag > on_time_flag or otif_flag > complete_order_flag""", "order_facts")
+ORACLE["qa_violation_counts_found"] = with_ctes(f"""
+select count(*) filter (where not (unit_fill_rate between 0 and 1)) as invalid_fill_rates,
+       count(*) filter (where otif_flag > on_time_flag) as invalid_otif_on_time,
+       count(*) filter (where otif_flag > complete_order_flag) as invalid_otif_complete
+from {_BROKEN}""", "order_facts")
+
 ORACLE["order_weight"] = with_ctes("""
 select order_id, sum(units_shipped * unit_weight_kg)::decimal(18,3) as kg from lines group by order_id""", "lines")
 

@@ -61,7 +61,7 @@ def test_failing_gate_publishes_nothing(spark, tmp_path):
 def test_build_from_csv_extracts(spark, tmp_path):
     """A1/A2 end to end: the eight extracts as header CSV files, scanned back
     with declared schemas, build the same order mart as the direct derivation."""
-    from lading.plans.build import build_warehouse
+    from lading.plans.build import build_warehouse, read_current
     from lading.plans.warehouse import Warehouse
     from lading.sources.contract import SourceContract
     from lading.sources.extracts import EXTRACTS, read_extracts, write_extracts
@@ -72,5 +72,22 @@ def test_build_from_csv_extracts(spark, tmp_path):
     summary = build_warehouse(spark, raw, str(tmp_path / "wh"), publish=False)
     direct = Warehouse.from_testdata(spark, SF_SMALL).mart_order_fulfillment
     assert summary["orders"] == direct.count()
-    got = spark.read.parquet(str(tmp_path / "wh/tables/mart_order_fulfillment"))
+    got = read_current(spark, str(tmp_path / "wh"), "mart_order_fulfillment")
     assert sorted(got.collect()) == sorted(direct.select(*got.columns).collect())
+
+
+def test_failing_build_leaves_the_good_tables(spark, tmp_path):
+    from lading.plans.build import CLEAN, MARTS, build_warehouse, current_run, read_current
+    from lading.plans.quality import QualityGateError
+    from lading.sources.contract import SourceContract
+    c = SourceContract(spark, SF_SMALL)
+    out = str(tmp_path / "wh")
+    build_warehouse(spark, c.extracts(), out)
+    run = current_run(spark, out)
+    sizes = {t: read_current(spark, out, t).count() for t in CLEAN + MARTS}
+    raw = c.extracts()
+    raw["erp_order_lines"] = c.order_lines_bronze
+    with pytest.raises(QualityGateError):
+        build_warehouse(spark, raw, out)
+    assert current_run(spark, out) == run
+    assert {t: read_current(spark, out, t).count() for t in CLEAN + MARTS} == sizes

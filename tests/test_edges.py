@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 D = dt.date
 
@@ -247,3 +248,19 @@ def test_grain_breaks_are_reported_not_masked(spark):
     assert report["shipment_order_unique"] == "FAIL"
     assert report["mart_order_grain_unique"] == "FAIL"
     assert report["order_line_key_unique"] == "PASS"
+
+
+def test_grid_counts_every_ordered_unit(spark):
+    from lading.sources.contract import SourceContract
+    from tests.conftest import SF_SMALL
+    c = SourceContract(spark, SF_SMALL)
+    grid = c.demand_grid.agg(F.sum("monthly_demand")).first()[0]
+    assert grid == c.order_lines.agg(F.sum("units_ordered")).first()[0] > 0
+
+
+def test_merge_source_with_a_repeated_key_fails(spark):
+    from lading.operators.merge import merge_into
+    t = spark.createDataFrame([("a", 1)], "k string, v int")
+    s = spark.createDataFrame([("a", 2), ("a", 3)], "k string, v int")
+    with pytest.raises(Exception, match="merge source repeats k=a"):
+        merge_into(t, s, "k", ("k", "v"), ("v",), conditional=True).collect()

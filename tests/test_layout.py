@@ -81,3 +81,10 @@ def test_partitioned_read_restores_listing_conf(spark, fact, tmp_path):
     write_partitioned(part, path, "order_date")
     assert read_partitioned_all(spark, path, fact.schema).count() == part.count()
     assert spark.conf.get(key, None) == before
+
+
+def test_bucketed_write_makes_at_most_one_file_per_bucket(spark, fact, tmp_path):
+    from lading.operators.layout import write_bucketed
+    name = f"fct_{uuid.uuid4().hex[:8]}"
+    write_bucketed(fact.repartition(8), name, str(tmp_path / name), "order_id", buckets=16)
+    assert len(list((tmp_path / name).glob("*.parquet"))) <= 16

@@ -59,14 +59,14 @@ def test_global_rolling_property(spark, rows, block, frame):
 
 
 @SETTINGS
-@given(rows=st.lists(ROW, min_size=1, max_size=120), max_items=st.integers(min_value=1, max_value=12))
-def test_nest_unnest_property(spark, rows, max_items):
+@given(rows=st.lists(ROW, min_size=1, max_size=120))
+def test_nest_unnest_property(spark, rows):
     from lading.plans.nested import nested_orders, unnest_items
     df = _frame(spark, rows)
     lines = df.select(F.col("order_id").alias("order_line_id"), F.col("customer_id").alias("order_id"),
                       F.lit("C").alias("customer_id"), "order_date", F.lit("S").alias("sku"),
                       F.col("otif_flag").alias("units_ordered"), "revenue")
-    flat = unnest_items(nested_orders(lines, max_items=max_items))
+    flat = unnest_items(nested_orders(lines))
     want = lines.select("order_id", "customer_id", "order_date", "sku", F.col("units_ordered").alias("quantity"),
                         F.col("revenue").alias("extended_price"))
     assert sorted(map(str, flat.collect())) == sorted(map(str, want.collect()))

@@ -46,22 +46,25 @@ def test_global_rolling_equals_plain_window(orders, block_rows):
     assert sorted(got.select("order_id", "_pos", "r").collect()) == sorted(want.collect())
 
 
-def test_nest_items_splits_hot_groups_and_round_trips(spark):
+def test_nest_items_one_row_per_group_with_a_hot_one(spark):
+    """A hot order (25,000 lines) is still one row with all its items, sorted."""
     from lading.plans.nested import nested_orders, unnest_items
-    rows = [(f"L{i}", "HOT" if i % 3 == 0 else f"O{i % 50}", "C1", dt.date(2025, 1, 1), f"S{i % 17}", i % 9,
-             Decimal(i) / 10) for i in range(900)]
-    lines = spark.createDataFrame(rows, "order_line_id string, order_id string, customer_id string, "
-                                        "order_date date, sku string, units_ordered int, revenue decimal(18,2)")
-    nested = nested_orders(lines, max_items=40)
-    sizes = {}
-    for r in nested.select("order_id", F.size("items").alias("n")).collect():
-        sizes.setdefault(r["order_id"], []).append(r["n"])
-    assert len(sizes["HOT"]) == 8 and sum(sizes["HOT"]) == 300           # 300 items in ceil(300/40) chunks
-    assert all(len(v) == 1 for k, v in sizes.items() if k != "HOT")      # ordinary orders stay one row
+    lines = spark.range(75_000).select(
+        F.concat(F.lit("L"), "id").alias("order_line_id"),
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("O"), F.col("id") % 50)).alias("order_id"),
+        F.lit("C1").alias("customer_id"), F.lit(dt.date(2025, 1, 1)).alias("order_date"),
+        F.concat(F.lit("S"), F.col("id") % 17).alias("sku"), (F.col("id") % 9).cast("int").alias("units_ordered"),
+        (F.col("id") / 10).cast("decimal(18,2)").alias("revenue"))
+    nested = nested_orders(lines)
+    rows = nested.select("order_id", F.size("items").alias("n"),
+                         (F.col("items") == F.array_sort("items")).alias("in_order")).collect()
+    sizes = {r["order_id"]: r["n"] for r in rows}
+    assert len(rows) == len(sizes) == 51 and sizes["HOT"] == 25_000
+    assert all(r["in_order"] for r in rows)
     flat = unnest_items(nested).select("order_id", "sku", "quantity", "extended_price")
     want = lines.select("order_id", "sku", F.col("units_ordered").alias("quantity"),
                         F.col("revenue").alias("extended_price"))
-    assert sorted(flat.collect()) == sorted(want.collect())
+    assert flat.exceptAll(want).count() == 0 and flat.count() == 75_000
 
 
 def test_keep_latest_reduces_before_shuffle(spark):
@@ -73,32 +76,6 @@ def test_keep_latest_reduces_before_shuffle(spark):
     assert sorted(out.collect()) == [(0, 999), (1, 997), (2, 998)]
 
 
-def test_nest_items_without_broadcast_spreads_chunks(spark):
-    """With the hot list too large to broadcast, the chunks of a hot order are
-    still aggregated in several tasks."""
-    from lading.functions import joins
-    from lading.plans.nested import nested_orders, unnest_items
-    rows = [(f"L{i}", "HOT" if i % 2 else f"O{i % 7}", "C1", dt.date(2025, 1, 1), f"S{i % 5}", 1, Decimal(1))
-            for i in range(400)]
-    lines = spark.createDataFrame(rows, "order_line_id string, order_id string, customer_id string, "
-                                        "order_date date, sku string, units_ordered int, revenue decimal(18,2)")
-    old = joins.DEFAULT_BROADCAST_BYTES
-    joins.DEFAULT_BROADCAST_BYTES = -1
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    old_coalesce = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        nested = nested_orders(lines, max_items=25)
-        hot = (nested.select("*", F.spark_partition_id().alias("p")).filter("order_id = 'HOT'")
-               .select("p", F.size("items").alias("n")).collect())
-        assert len(hot) == 8 and sum(r["n"] for r in hot) == 200
-        assert len({r["p"] for r in hot}) > 1
-        assert unnest_items(nested).count() == 400
-    finally:
-        joins.DEFAULT_BROADCAST_BYTES = old
-        spark.conf.set(key, old_coalesce)
-
-
 def test_hot_customer_is_spread_over_tasks(spark):
     """One customer with a third of all orders: the block-decomposed window
     spreads it, where a plain per-customer window puts it in one task."""
@@ -147,3 +124,13 @@ def test_order_mart_with_a_hot_customer_equals_plain_history(spark):
     hot = facts.filter("customer_id = 'C0000001'").count()
     assert hot * 4 > facts.count()                     # the hot customer holds about a third
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_orders_without_a_date_come_last_and_stay(spark):
+    from lading.operators.running import global_positions, running_rank_and_sum
+    df = spark.createDataFrame([("O1", "C", None, 1), ("O2", "C", dt.date(2025, 1, 2), 2), ("O3", "C", dt.date(2025, 1, 1), 3),
+                                ("O4", "C", None, 4)], "order_id string, customer_id string, order_date date, v long")
+    pos = {r["order_id"]: r["_pos"] for r in global_positions(df, "order_date", "order_id").collect()}
+    assert pos == {"O3": 1, "O2": 2, "O1": 3, "O4": 4}
+    run = running_rank_and_sum(df, ["customer_id"], ["order_date", "order_id"], "v", "rn", "s", coarse=[F.col("order_date")])
+    assert {r["order_id"]: (r["rn"], r["s"]) for r in run.collect()} == {"O3": (1, 3), "O2": (2, 5), "O1": (3, 6), "O4": (4, 10)}
