@@ -29,7 +29,7 @@ from lading.sources.tables import read_table, spread_small
 # carrier:         (o_orderkey*29) % 100  -> <30 CarrierA, <58 CarrierB, <82 CarrierC, else CarrierD
 # shipped in full: (l_orderkey*13 + l_linenumber*7 + l_partkey) % 100 < 94
 # supplier tier:   s_suppkey % 20 -> <11 Low, <17 Medium, else High
-# demand grid:     first to last order month x warehouses of the orders (numbered by name) x SKU
+# demand grid:     months in which a warehouse has orders (warehouses numbered by name) x SKU
 # merge fixture windows on ingestion_timestamp
 MERGE_TARGET_BEFORE = "2000-01-01 00:00:00"
 MERGE_SOURCE_FROM = "1999-07-01 00:00:00"
@@ -201,24 +201,22 @@ class SourceContract:
 
     @cached_property
     def demand_grid(self) -> DataFrame:
-        """Dense month x warehouse x SKU grid; missing demand is 0 (L3).
-
-        Months run from the first to the last order month and warehouses are
-        those of the orders: one aggregated row (bounded by the calendar and
-        the warehouse count), exploded per product.  That is a generator, not
-        a cross join, so output grows linearly with the product table.  Month
-        and warehouse are functions of the order, so the bronze lines give
-        the same bounds as the deduplicated ones.
+        """Dense (month, warehouse) x SKU grid; missing demand is 0 (L3).
+
+        The cells are the months in which a warehouse has orders, from the
+        data: one aggregated array (bounded by the calendar and the warehouse
+        count), exploded per product.  That is a generator, not a cross join,
+        so output grows linearly with the product table.  Month and warehouse
+        are functions of the order, so the bronze lines give the same cells
+        as the deduplicated ones.
         """
-        bounds = (self.order_lines_bronze
-                  .select(F.struct(F.trunc(F.min("order_date"), "month").alias("first"),
-                                   F.trunc(F.max("order_date"), "month").alias("last"),
-                                   F.array_sort(F.collect_set("warehouse")).alias("warehouses")))
-                  .scalar())
-        months = F.sequence(bounds["first"], bounds["last"], F.expr("interval 1 month"))
+        cell = F.struct(F.trunc("order_date", "month").alias("snapshot_date"), "warehouse")
+        bounds = self.order_lines_bronze.select(F.struct(
+            F.collect_set(cell).alias("cells"),
+            F.array_sort(F.collect_set("warehouse")).alias("warehouses"))).scalar()
         grid = (self.products.select("sku", "p_partkey", "unit_price")
-                .select("*", F.explode(months).alias("snapshot_date"))
-                .select("*", F.posexplode(bounds["warehouses"]).alias("wi", "warehouse")))
+                .select("*", F.inline(bounds["cells"]))
+                .withColumn("wi", (F.array_position(bounds["warehouses"], F.col("warehouse")) - 1).cast("int")))
         units = F.coalesce(F.col("units"), F.lit(0).cast("bigint"))
         return (grid.join(self.monthly_demand, ["snapshot_date", "warehouse", "sku"], "left")
                 .select("snapshot_date", "warehouse", "sku", "p_partkey", "unit_price",

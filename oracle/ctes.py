@@ -93,10 +93,9 @@ cte("src_demand_grid", """
 select m.month_start snapshot_date, w.warehouse, p.sku, p.p_partkey, p.unit_price, month(m.month_start) mi, w.wi,
        coalesce(d.units, 0) monthly_demand,
        cast(coalesce(d.units, 0) as double) / day(last_day(m.month_start)) avg_daily
-from (select cast(unnest(generate_series(date_trunc('month', min(order_date)), date_trunc('month', max(order_date)),
-                                         interval 1 month)) as date) month_start from lines) m
-cross join (select warehouse, row_number() over (order by warehouse) - 1 wi
-            from (select distinct warehouse from lines) names) w
+from (select distinct cast(date_trunc('month', order_date) as date) month_start, warehouse from lines) m
+join (select warehouse, row_number() over (order by warehouse) - 1 wi
+      from (select distinct warehouse from lines) names) w on w.warehouse = m.warehouse
 cross join src_products p
 left join (select year(order_date) y, month(order_date) mo, warehouse, sku, sum(units_ordered) units
            from lines group by year(order_date), month(order_date), warehouse, sku) d
