@@ -139,3 +139,23 @@ def test_empty_tables(spark):
     assert packing.packed_sequences(none).count() == 0
     assert substring_dedup.removed_spans(none).count() == 0
     assert ngram_join.jaccard_components(none).count() == 0
+
+
+def test_lm_scoring_from_tables_equals_the_model_and_scores_each_id_once():
+    import numpy as np
+    from lading.llm import lm_scoring as lm
+    rng = np.random.default_rng(1)
+    w = lm.first_weights(rng.integers(1, 1000, lm.CLASSES).astype(float))
+    w["pos"] = rng.normal(0, 1, lm.WINDOW).astype(np.float32)
+    cuts = np.concatenate([[0], np.cumsum([1, 2, 32, 33, 48, 49, 700])])
+    classes = rng.integers(0, lm.CLASSES, cuts[-1])
+    row, x, y, pos = lm.windows(classes, cuts)
+    assert sorted(pos[y >= 0].tolist()) == list(range(cuts[-1]))
+    own = np.zeros(len(cuts) - 1)
+    np.add.at(own, row[np.nonzero(y >= 0)[0]],
+              np.take_along_axis(lm.log_softmax(lm.forward(w, x)[-1] @ w["U"] + w["b"]), np.maximum(y, 0)[..., None], 2)[..., 0][y >= 0])
+    got, later = np.zeros(len(cuts) - 1), np.concatenate([[False], row[1:] == row[:-1]])
+    for chosen, since in ((~later, 0), (later, lm.WINDOW // 2)):
+        r, lp = lm.log_probs(lm.score_tables(w), x[chosen], y[chosen], since)
+        np.add.at(got, row[chosen][r], lp)
+    assert np.allclose(own, got, rtol=1e-4)
