@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Default bound for a broadcast side, in bytes of the optimizer's size
-# estimate.  The estimate comes from file sizes and projected row widths; it
-# is an upper bound for scans and conservative for aggregates.
+# estimate.  The estimate comes from file sizes and projected row widths.  It is
+# on-disk size for scans, which dictionary encoding can make several times
+# smaller than the rows in memory: the bound leaves room for that.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 CONF_KEY = "lading.broadcast.maxBytes"
 

@@ -1,9 +1,10 @@
 """Quality report, publication gate, build summary and QA listings.
 
-Each check table is scanned once: all counts over one relation come from a
-single global aggregate (partial per task, one row to merge), and values
-from other relations enter as uncorrelated scalar subqueries.  The report is
-the union of one-row frames; nothing but the (bounded) list of failing
+All counts over one relation come from one global aggregate (partial per task,
+one row to merge), and values from other relations enter as uncorrelated scalar
+subqueries.  The report is the union of one-row frames; column pruning makes
+the branches differ, so Spark may compute a relation once per branch unless it
+was written before.  Nothing but the (bounded) list of failing
 check names ever reaches the driver.
 """
 
