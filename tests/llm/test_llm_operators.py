@@ -2,11 +2,12 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from lading.llm import decontaminate, ngram_join, packing, pii, quality_rules, substring_dedup, token_counts
+from lading.llm import decontaminate, lm_scoring, ngram_join, packing, pii, quality_rules, substring_dedup, token_counts
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -141,21 +142,99 @@ def test_empty_tables(spark):
     assert ngram_join.jaccard_components(none).count() == 0
 
 
-def test_lm_scoring_from_tables_equals_the_model_and_scores_each_id_once():
-    import numpy as np
-    from lading.llm import lm_scoring as lm
-    rng = np.random.default_rng(1)
-    w = lm.first_weights(rng.integers(1, 1000, lm.CLASSES).astype(float))
-    w["pos"] = rng.normal(0, 1, lm.WINDOW).astype(np.float32)
-    cuts = np.concatenate([[0], np.cumsum([1, 2, 32, 33, 48, 49, 700])])
-    classes = rng.integers(0, lm.CLASSES, cuts[-1])
-    row, x, y, pos = lm.windows(classes, cuts)
-    assert sorted(pos[y >= 0].tolist()) == list(range(cuts[-1]))
-    own = np.zeros(len(cuts) - 1)
-    np.add.at(own, row[np.nonzero(y >= 0)[0]],
-              np.take_along_axis(lm.log_softmax(lm.forward(w, x)[-1] @ w["U"] + w["b"]), np.maximum(y, 0)[..., None], 2)[..., 0][y >= 0])
-    got, later = np.zeros(len(cuts) - 1), np.concatenate([[False], row[1:] == row[:-1]])
-    for chosen, since in ((~later, 0), (later, lm.WINDOW // 2)):
-        r, lp = lm.log_probs(lm.score_tables(w), x[chosen], y[chosen], since)
-        np.add.at(got, row[chosen][r], lp)
-    assert np.allclose(own, got, rtol=1e-4)
+def _lm_model(rng, docs=60):
+    cuts = np.concatenate([[0], np.cumsum([1, 2, 32, 33, 48, 49, *rng.integers(1, 90, docs)])])
+    seq = rng.integers(0, 40, cuts[-1])
+    seq[cuts[1:] - 1] = lm_scoring.END
+    keys, counts = np.unique(lm_scoring.run_keys(seq, cuts)[1], return_counts=True)
+    pairs = keys & ((np.uint64(1) << np.uint64(34)) - np.uint64(1))
+    keys2, counts2 = lm_scoring._summed(pairs, counts)
+    runs = lm_scoring.Runs(np.concatenate([keys | lm_scoring._THREE, keys2]), np.concatenate([counts, counts2]),
+                           np.bincount(seq, minlength=lm_scoring.IDS))
+    class_of = np.minimum(np.arange(lm_scoring.IDS), lm_scoring.CLASSES - 1).astype(np.int32)
+    w = lm_scoring.first_weights()
+    for k in w:
+        w[k] = w[k] + rng.normal(0, 0.2, w[k].shape).astype(np.float32)
+    return seq, cuts, runs, class_of, w
+
+
+def test_run_counts_match_plain_python():
+    seq, cuts, runs, _, _ = _lm_model(np.random.default_rng(2))
+    end, two, three = lm_scoring.END, {}, {}
+    rows = [seq[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])]
+    for r in rows:
+        for k, y in enumerate(r):
+            one, before = (r[k - 1] if k else end), (r[k - 2] if k > 1 else end)
+            two.setdefault(one, []).append(y)
+            three.setdefault((before, one), []).append(y)
+    got, k = runs.experts(seq, cuts)[0], 0
+    for r in rows:
+        for i, y in enumerate(r):
+            one, before = (r[i - 1] if i else end), (r[i - 2] if i > 1 else end)
+            p = (np.sum(seq == y) + 0.5) / (len(seq) + 0.5 * lm_scoring.IDS)
+            for after in (two[one], three[before, one]):
+                p = (after.count(y) + len(set(after)) * p) / (len(after) + len(set(after)))
+            assert got[k, 2] == pytest.approx(p, rel=1e-4)
+            k += 1
+
+
+def test_attention_gradients_match_differences():
+    rng = np.random.default_rng(3)
+    seq, cuts, runs, class_of, w = _lm_model(rng)
+    _, _, pos, scored = lm_scoring.windows(cuts)
+    examples = (*lm_scoring.Batch(runs, class_of, seq, cuts, own=True)[pos], scored)
+    w = {k: v.astype(float) for k, v in w.items()}
+    grad, _ = lm_scoring.gradients(w, *examples)
+    for k in w:
+        i = np.unravel_index(np.argmax(np.abs(grad[k])), w[k].shape)
+        near = []
+        for step in (1e-4, -1e-4):
+            moved = {a: v.copy() for a, v in w.items()}
+            moved[k][i] += step
+            near.append(lm_scoring.gradients(moved, *examples)[1])
+        assert grad[k][i] == pytest.approx((near[0] - near[1]) / 2e-4, rel=1e-3)
+
+
+def test_lm_scores_are_the_models_each_id_once_and_sum_to_one():
+    seq, cuts, runs, class_of, w = _lm_model(np.random.default_rng(1))
+    batch, tables = lm_scoring.Batch(runs, class_of, seq, cuts), lm_scoring.score_tables(w)
+    _, turn, pos, scored = lm_scoring.windows(cuts)
+    assert sorted(pos[scored].tolist()) == list(range(cuts[-1]))
+    for chosen, since in ((turn == 0, 0), (turn > 0, lm_scoring.WINDOW // 2)):
+        fast = lm_scoring.probabilities(tables, batch, pos[chosen], since)
+        for n, window in enumerate(pos[chosen]):
+            ask = scored[chosen][n]
+            for j in np.flatnonzero(ask)[::7]:
+                one = np.zeros((1, lm_scoring.WINDOW), bool)
+                one[0, j] = True
+                loss = lm_scoring.gradients(w, *batch[window[None, :]], one)[1]
+                assert np.exp(-loss) == pytest.approx(fast[n, j - since], rel=1e-3)
+    # every id that could come third: probabilities add up to one
+    total = 0.0
+    for y in [*range(40), lm_scoring.END]:
+        own, ends = np.array([3, 4, y]), np.array([0, 3])
+        total += lm_scoring.probabilities(tables, lm_scoring.Batch(runs, class_of, own, ends), lm_scoring.windows(ends)[2], 0)[0, 2]
+    unseen = (lm_scoring.IDS - 41) * float(lm_scoring.probabilities(
+        tables, lm_scoring.Batch(runs, class_of, np.array([3, 4, 777]), np.array([0, 3])), lm_scoring.windows(np.array([0, 3]))[2], 0)[0, 2])
+    assert total + unseen == pytest.approx(1, rel=1e-3)
+
+
+def test_lm_scoring_counts_and_held_out_rows(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdeio") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 200))) for _ in range(120)]
+    texts += [None, "", " \n ", "ÄRGER über\u00a0x Ünd", "q" * 5000, texts[0], texts[0]]
+    docs = spark.createDataFrame([(i, t, "n") for i, t in enumerate(texts)], "doc_id long, text string, score string")
+    got = {r["doc_id"]: r for r in lm_scoring.scores(docs, "doc_id % 4 = 1").collect()}
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = [[*WORD.findall((t or "").translate(lower)), None] for t in texts]
+    train = Counter(w for i, ws in enumerate(words) if i % 4 != 1 for w in ws)
+    n, v = sum(train.values()), len(train)
+    for i, ws in enumerate(words):
+        r = got[i]
+        own = sum(np.log10((train[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)
+        assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (i % 4 == 1, len(ws), n)
+        assert r["n_known"] == sum(train[w] > 0 for w in ws) and r["base_score"] == pytest.approx(own)
+        assert r["score"] < 0
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert lm_scoring.scores(none, "doc_id % 4 = 1").count() == 0
