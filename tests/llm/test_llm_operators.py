@@ -209,6 +209,8 @@ def test_lm_scores_are_the_models_each_id_once_and_sum_to_one():
                 one[0, j] = True
                 loss = lm_scoring.gradients(w, *batch[window[None, :]], one)[1]
                 assert np.exp(-loss) == pytest.approx(fast[n, j - since], rel=1e-3)
+    alone = lm_scoring.Batch(runs, class_of, np.array([777]), np.array([0, 1]))      # the pointer meets nothing
+    assert 0 < lm_scoring.probabilities(tables, alone, lm_scoring.windows(np.array([0, 1]))[2], 0)[0, 0] < 1
     # every id that could come third: probabilities add up to one
     total = 0.0
     for y in [*range(40), lm_scoring.END]:
