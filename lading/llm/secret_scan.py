@@ -77,7 +77,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "assigned": context.rlike(r"[=:]\s*[\"']?$").cast("double"),
         "named": context.rlike(SECRET_NAMES).cast("double"),
         "harmless": context.rlike(HARMLESS_NAMES).cast("double"),
-        "other_shape": (F.col("word").rlike(r"@[A-Za-z0-9-]+\.") | value.rlike(r"^[0-9-]{12,23}$")
+        "other_shape": (F.col("word").rlike(r"@[A-Za-z0-9-]+\.") | value.rlike(r"^\+?[0-9-]{11,23}$")
                         | F.col("word").rlike(r"^\W*\d{1,3}(\.\d{1,3}){3}\W*$")),
     })
 
