@@ -7,16 +7,20 @@ within ``max_share`` of the item's word count in word edit distance
 digits, lower-cased, so punctuation, bars and stars between words do not
 hide a passage.
 
-* Windows: for a class of items of similar length L, a window of L words
+* Pieces: items of ``2 * PIECE_WORDS`` words and more are cut into pieces of
+  ``PIECE_WORDS`` words and up.  Of the pieces of an item within the distance
+  at least one is within the distance itself, so a found piece leads to the
+  item and the share of found items is not below that of pieces.
+* Windows: for a class of pieces of similar length L, a window of L words
   starts at every word.  A window with more words unknown to the class than
   edits are allowed cannot match and is not embedded.
 * CGK: a walk of 2L steps over the window's words; at each step a random bit
   of the current word decides whether to move on.  Small edit distance
   becomes small Hamming distance between the two walks.
 * Bit sampling: each repetition samples ``SAMPLED`` steps of its walk; the
-  words seen there are the key.  The number of repetitions comes from the
-  collision rate measured on edited copies of the class's own items
-  (``target_recall`` at the largest allowed distance).
+  words seen there are the key.  Repetitions are added until the share of
+  edited copies of the class's own pieces, at the largest allowed distance,
+  that collide in one of them reaches ``target_recall``.
 * Every candidate is checked exactly with a bit-parallel edit search around
   its window.
 
@@ -46,7 +50,8 @@ MAX_SHARE = 0.2
 MIN_WORDS = 8
 TARGET_RECALL = 0.95
 SAMPLED = 3
-MAX_REPEATS = 64
+PIECE_WORDS = 24
+LEAST_REPEATS = 4
 BLOCK_BYTES = 16 << 20
 CLASS_RATIO = 1.25
 _SLICE = 1 << 20
@@ -74,12 +79,12 @@ def plain_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 @dataclass
 class ItemClass:
-    """Items of similar length, their allowed edits and their LSH keys."""
+    """Pieces of similar length, their allowed edits and their LSH keys."""
 
     size: int
     edits: int
     vocabulary: np.ndarray
-    keys: list = field(default_factory=list)     # per repetition: (sorted keys, item numbers)
+    keys: list = field(default_factory=list)     # per repetition: (sorted keys, piece numbers)
 
 
 def walk_keys(words: np.ndarray, at: np.ndarray, stop: np.ndarray, size: int, repeat: int) -> np.ndarray:
@@ -146,38 +151,50 @@ def _edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarr
     return np.array(out, dtype=np.uint64)
 
 
-def _collision_rate(items: list[np.ndarray], size: int, share: float, trials: int = 256, repeats: int = 16) -> float:
-    """Share of (edited copy, repetition) whose key equals the item's, at the
-    largest allowed number of edits."""
+def item_pieces(items: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The pieces the items are found by, the item of each and its first word there."""
+    pieces, item, first = [], [], []
+    for i, words in enumerate(items):
+        n = max(1, len(words) // PIECE_WORDS)
+        for k in range(n):
+            a, b = k * len(words) // n, (k + 1) * len(words) // n
+            pieces.append(words[a:b])
+            item.append(i)
+            first.append(a)
+    return pieces, np.array(item, dtype=np.int64), np.array(first, dtype=np.int64)
+
+
+def _own_keys(pieces: list[np.ndarray], size: int, repeat: int) -> np.ndarray:
+    stop = np.cumsum([len(p) for p in pieces])
+    return walk_keys(np.concatenate(pieces), stop - [len(p) for p in pieces], stop, size, repeat)
+
+
+def _repeats_for(pieces: list[np.ndarray], size: int, share: float, recall: float, trials: int = 256) -> int:
+    """Repetitions until the target share of edited copies, at the largest
+    allowed number of edits, has met its piece's key."""
     rng = np.random.default_rng(size)
-    pairs = [(items[i % len(items)], _edited(items[i % len(items)], int(share * len(items[i % len(items)])), rng))
-             for i in range(trials)]
-    keys = []
-    for side in range(2):
-        cat = np.concatenate([p[side] for p in pairs])
-        stop = np.cumsum([len(p[side]) for p in pairs])
-        at = stop - [len(p[side]) for p in pairs]
-        keys.append([walk_keys(cat, at, stop, size, r) for r in range(repeats)])
-    return float(np.mean([a == b for a, b in zip(*keys)]))
-
-
-def item_classes(items: list[np.ndarray], share: float, recall: float) -> list[ItemClass]:
-    """Classes of items whose lengths are within CLASS_RATIO, with the keys of
+    own = [pieces[i % len(pieces)] for i in rng.permutation(max(trials, len(pieces)))[:trials]]
+    edited = [_edited(p, int(share * len(p)), rng) for p in own]
+    met, repeats = np.zeros(trials, dtype=bool), 0
+    while met.mean() < recall:
+        met |= _own_keys(own, size, repeats) == _own_keys(edited, size, repeats)
+        repeats += 1
+    return max(LEAST_REPEATS, repeats)
+
+
+def item_classes(pieces: list[np.ndarray], share: float, recall: float) -> list[ItemClass]:
+    """Classes of pieces whose lengths are within CLASS_RATIO, with the keys of
     as many repetitions as the target recall needs."""
-    by_length = sorted(range(len(items)), key=lambda i: len(items[i]))
+    by_length = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
     classes: list[ItemClass] = []
     while by_length:
-        size = len(items[by_length[0]])
-        members = [i for i in by_length if len(items[i]) <= size * CLASS_RATIO]
+        size = len(pieces[by_length[0]])
+        members = [i for i in by_length if len(pieces[i]) <= size * CLASS_RATIO]
         by_length = by_length[len(members):]
-        rate = _collision_rate([items[i] for i in members], size, share)
-        repeats = int(min(MAX_REPEATS, np.ceil(np.log(1 - recall) / np.log1p(-min(max(rate, 1e-3), 0.999)))))
-        cat = np.concatenate([items[i] for i in members])
-        stop = np.cumsum([len(items[i]) for i in members])
-        at = stop - [len(items[i]) for i in members]
-        made = ItemClass(size, max(int(share * len(items[i])) for i in members), np.unique(cat))
-        for r in range(max(4, repeats)):
-            keys = walk_keys(cat, at, stop, size, r)
+        own = [pieces[i] for i in members]
+        made = ItemClass(size, max(int(share * len(p)) for p in own), np.unique(np.concatenate(own)))
+        for r in range(_repeats_for(own, size, share, recall)):
+            keys = _own_keys(own, size, r)
             order = np.argsort(keys)
             made.keys.append((keys[order], np.array(members)[order]))
         classes.append(made)
@@ -185,7 +202,7 @@ def item_classes(items: list[np.ndarray], share: float, recall: float) -> list[I
 
 
 def _candidates(words: np.ndarray, cuts: np.ndarray, classes: list[ItemClass]) -> np.ndarray:
-    """(window start, item number) pairs whose keys collide in some repetition."""
+    """(window start, piece number) pairs whose keys collide in some repetition."""
     found = []
     row_end = np.repeat(cuts[1:], np.diff(cuts))
     for c in classes:
@@ -200,7 +217,7 @@ def _candidates(words: np.ndarray, cuts: np.ndarray, classes: list[ItemClass]) -
             mine = walk_keys(words, at, row_end[at], c.size, r)
             lo, hi = np.searchsorted(keys, mine, side="left"), np.searchsorted(keys, mine, side="right")
             hit = np.flatnonzero(hi > lo)
-            while len(hit):                          # items with equal keys
+            while len(hit):                          # pieces with equal keys
                 found.append(np.stack([at[hit], numbers[lo[hit]]], axis=1))
                 lo[hit] += 1
                 hit = hit[lo[hit] < hi[hit]]
@@ -218,7 +235,7 @@ def _member(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     return out
 
 
-def _matches(buf, off, classes, items, ids, share):
+def _matches(buf, off, classes, items, ids, piece_item, piece_first, share):
     """Exactly checked matches of a run of texts: (row, item id, first and end
     character, edits, item words), the best one per row and item."""
     starts, ends, rows, words = plain_words(buf, off)
@@ -226,15 +243,17 @@ def _matches(buf, off, classes, items, ids, share):
     best: dict[tuple[int, int], tuple] = {}
     done: dict[tuple[int, int], int] = {}
     points = None
-    for at, number in _candidates(words, cuts, classes).tolist():
-        row = int(rows[at])
+    at, piece = _candidates(words, cuts, classes).T
+    # where the item of the piece would start, in order for every row and item
+    asked = np.unique(np.stack([rows[at], piece_item[piece], at - piece_first[piece]], axis=1), axis=0)
+    for row, number, at in asked.tolist():
         item = items[number]
         m, slack = len(item), int(share * len(item))
-        if done.get((row, number), -1) >= at:         # inside the stretch just searched
+        if done.get((row, number), at - 1) >= at:     # inside the stretch just searched
             continue
         lo = max(int(cuts[row]), at - 2 * slack - 1)
         hi = min(int(cuts[row + 1]), at + 2 * m + 2 * slack)
-        done[(row, number)] = hi - m - slack
+        done[(row, number)] = at + m
         text = words[lo:hi].tolist()
         edits, end = edit_search(item.tolist(), text)
         if edits > slack or edits >= best.get((row, number), (m + 1,))[0]:
@@ -253,6 +272,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   min_words: int = MIN_WORDS, target_recall: float = TARGET_RECALL) -> DataFrame:
     """One row per (document row, item) within the distance: ids, the span in
     characters, the number of edits and the item's word count."""
+    if not 0 <= max_share < 0.5:
+        raise ValueError("max_share: the walks need most words of a passage unchanged")
     spark = docs.sparkSession
     asked = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
     total = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -272,16 +293,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         ids.append(batch.column(0)[lo + i].as_py())
         if not items:
             continue
-        classes = [vars(c) for c in item_classes(items, max_share, target_recall)]
-        asked_for = spark.sparkContext.broadcast((classes, items, ids))
+        pieces, piece_item, piece_first = item_pieces(items)
+        classes = [vars(c) for c in item_classes(pieces, max_share, target_recall)]
+        asked_for = spark.sparkContext.broadcast((classes, items, ids, piece_item, piece_first))
 
         def search(batches: Iterator[pa.RecordBatch], asked_for=asked_for) -> Iterator[pa.RecordBatch]:
-            classes, items, ids = asked_for.value
+            classes, *asked = asked_for.value
             classes = [ItemClass(**c) for c in classes]
             for batch in batches:
                 got = []
                 for lo, hi, buf, off in slices(batch.column(1), _SLICE):
-                    got += [(lo + m[0], *m[1:]) for m in _matches(buf, off, classes, items, ids, max_share)]
+                    got += [(lo + m[0], *m[1:]) for m in _matches(buf, off, classes, *asked, max_share)]
                 cols = list(zip(*got)) if got else [[]] * 6
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(cols[0], pa.int64())),
