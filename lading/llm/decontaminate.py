@@ -5,7 +5,8 @@ A document is contaminated by an item when some stretch of its words is
 within ``max_share`` of the item's word count in word edit distance
 (insertions, deletions, substitutions).  Words here are runs of letters and
 digits, lower-cased, so punctuation, bars and stars between words do not
-hide a passage.
+hide a passage; in scripts without spaces (Chinese, Japanese, Thai, Lao,
+Burmese, Khmer) every character is a word.
 
 * Pieces: items of ``2 * PIECE_WORDS`` words and more are cut into pieces of
   ``PIECE_WORDS`` words and up.  Of the pieces of an item within the distance
@@ -23,13 +24,15 @@ hide a passage.
   that collide in one of them reaches ``target_recall``.
 * Every candidate is checked exactly with a bit-parallel edit search around
   its window.
+* Items of fewer than ``min_words`` words are matched exactly, by the hashes
+  of the windows of their own length.
 
 The benchmark is taken in blocks of about ``BLOCK_BYTES`` of text, so what
 the tasks receive stays bounded whatever its size; the documents are scanned
 once per block.
 
-Defined results: null, empty and word-less texts match nothing; items with
-fewer than ``min_words`` words identify no passage and are skipped; repeated
+Defined results: null, empty and word-less texts match nothing; an item of
+one word matches every document that holds the word; repeated
 documents or items give a row each; empty tables give no rows; other columns
 are ignored.
 """
@@ -44,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.textcols import mix, row_cuts, slices, span_hashes
+from lading.llm.textcols import mix, row_cuts, slices, span_hashes, window_hashes
 
 MAX_SHARE = 0.2
 MIN_WORDS = 8
@@ -56,11 +59,34 @@ BLOCK_BYTES = 16 << 20
 CLASS_RATIO = 1.25
 _SLICE = 1 << 20
 
+# fixed values: code points written without spaces, and signs between them
+UNSPACED = ((0xE01, 0xE4F), (0xE81, 0xECF), (0x1000, 0x1040), (0x1050, 0x10A0), (0x1780, 0x17D4), (0x3005, 0x3008),
+            (0x3021, 0x3030), (0x3031, 0x3040), (0x3041, 0x30FB), (0x30FC, 0x3100), (0x31F0, 0x3200), (0x3400, 0x4DC0),
+            (0x4E00, 0xA000), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x20000, 0x323B0))
+SIGNS = ((0xE4F, 0xE50), (0xE5A, 0xE5C), (0x104A, 0x1050), (0x17D4, 0x17DB), (0x3000, 0x3005), (0x3008, 0x3021),
+         (0x3030, 0x3031), (0x30FB, 0x30FC), (0xFF01, 0xFF10), (0xFF1A, 0xFF21), (0xFF3B, 0xFF41), (0xFF5B, 0xFF66))
+
 RESULT = "doc_id long, item_id long, start long, end long, edits int, item_words int"
 
 
+def _inside(codes: np.ndarray, ranges: tuple) -> np.ndarray:
+    return np.searchsorted(np.ravel(ranges), codes, side="right") % 2 == 1
+
+
+def _long_characters(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, number of bytes and code point of the characters of three
+    and four bytes."""
+    at = np.flatnonzero(buf >= 0xE0)
+    size = 3 + (buf[at] >= 0xF0)
+    code = buf[at].astype(np.int64) & np.where(size == 4, 7, 15)
+    for k in (1, 2, 3):
+        code = np.where(k < size, code << 6 | buf[np.minimum(at + k, len(buf) - 1)] & 0x3F, code)
+    return at, size, code
+
+
 def plain_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends, rows and hashes of the runs of letters and digits."""
+    """Starts, ends, rows and hashes of the runs of letters and digits; a
+    character of a script without spaces is a run of its own."""
     low = buf | np.where((buf >= 65) & (buf <= 90), 32, 0).astype(np.uint8)
     # two-byte capitals of Latin-1 (C3 80 .. C3 9E without the times sign)
     after = np.zeros(len(buf), dtype=bool)
@@ -69,6 +95,11 @@ def plain_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     word = ((low >= 97) & (low <= 122)) | ((low >= 48) & (low <= 57)) | (low >= 128)
     edge = np.zeros(len(buf) + 1, dtype=bool)
     edge[off] = True
+    at, size, code = _long_characters(buf)
+    alone, sign = _inside(code, UNSPACED), _inside(code, SIGNS)
+    edge[at[alone]] = edge[(at + size)[alone]] = True
+    for k in range(4):
+        word[(at + k)[sign & (k < size)]] = False
     before = np.concatenate([[False], word[:-1]]) if len(buf) else word
     after_ = np.concatenate([word[1:], [False]]) if len(buf) else word
     starts = np.flatnonzero(word & (~before | edge[:-1]))
@@ -151,11 +182,12 @@ def _edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarr
     return np.array(out, dtype=np.uint64)
 
 
-def item_pieces(items: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The pieces the items are found by, the item of each and its first word there."""
+def item_pieces(items: list[np.ndarray], min_words: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The pieces the items of at least ``min_words`` words are found by, the
+    item of each and its first word there."""
     pieces, item, first = [], [], []
     for i, words in enumerate(items):
-        n = max(1, len(words) // PIECE_WORDS)
+        n = max(1, len(words) // PIECE_WORDS) if len(words) >= min_words else 0
         for k in range(n):
             a, b = k * len(words) // n, (k + 1) * len(words) // n
             pieces.append(words[a:b])
@@ -201,6 +233,34 @@ def item_classes(pieces: list[np.ndarray], share: float, recall: float) -> list[
     return classes
 
 
+def exact_items(items: list[np.ndarray], numbers: list[int]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """The given items by length: word count, sorted window hashes, item numbers."""
+    out = []
+    for n in sorted({len(items[i]) for i in numbers}):
+        own = np.array([i for i in numbers if len(items[i]) == n])
+        keys = np.concatenate([window_hashes(items[i], n) for i in own])
+        order = np.argsort(keys, kind="stable")
+        out.append((n, keys[order], own[order]))
+    return out
+
+
+def _exact(words: np.ndarray, rows: np.ndarray, short: list) -> np.ndarray:
+    """(row, item number, word) of the first window of a row that equals a short item."""
+    found = []
+    for n, keys, numbers in short:
+        mine = window_hashes(words, n)
+        lo, hi = np.searchsorted(keys, mine, side="left"), np.searchsorted(keys, mine, side="right")
+        hit = np.flatnonzero((hi > lo) & (rows[:len(mine)] == rows[n - 1:]))
+        while len(hit):                              # items with equal words
+            found.append(np.stack([rows[hit], numbers[lo[hit]], hit], axis=1))
+            lo[hit] += 1
+            hit = hit[lo[hit] < hi[hit]]
+    if not found:
+        return np.zeros((0, 3), dtype=np.int64)
+    found = np.unique(np.concatenate(found), axis=0)
+    return found[np.unique(found[:, :2], axis=0, return_index=True)[1]]
+
+
 def _candidates(words: np.ndarray, cuts: np.ndarray, classes: list[ItemClass]) -> np.ndarray:
     """(window start, piece number) pairs whose keys collide in some repetition."""
     found = []
@@ -235,7 +295,7 @@ def _member(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     return out
 
 
-def _matches(buf, off, classes, items, ids, piece_item, piece_first, share):
+def _matches(buf, off, classes, items, ids, piece_item, piece_first, short, share):
     """Exactly checked matches of a run of texts: (row, item id, first and end
     character, edits, item words), the best one per row and item."""
     starts, ends, rows, words = plain_words(buf, off)
@@ -243,6 +303,8 @@ def _matches(buf, off, classes, items, ids, piece_item, piece_first, share):
     best: dict[tuple[int, int], tuple] = {}
     done: dict[tuple[int, int], int] = {}
     points = None
+    for row, number, at in _exact(words, rows, short).tolist():
+        best[(row, number)] = (0, at, at + len(items[number]) - 1)
     at, piece = _candidates(words, cuts, classes).T
     # where the item of the piece would start, in order for every row and item
     asked = np.unique(np.stack([rows[at], piece_item[piece], at - piece_first[piece]], axis=1), axis=0)
@@ -288,14 +350,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 _, _, rows, words = plain_words(buf, off)
                 cuts = row_cuts(rows, hi - lo)
                 for i in range(hi - lo):
-                    if cuts[i + 1] - cuts[i] >= min_words:
+                    if cuts[i + 1] > cuts[i]:
                         items.append(words[cuts[i]:cuts[i + 1]])
                         ids.append(batch.column(0)[lo + i].as_py())
         if not items:
             continue
-        pieces, piece_item, piece_first = item_pieces(items)
+        short = exact_items(items, [i for i, words in enumerate(items) if len(words) < min_words])
+        pieces, piece_item, piece_first = item_pieces(items, min_words)
         classes = [vars(c) for c in item_classes(pieces, max_share, target_recall)]
-        asked_for = spark.sparkContext.broadcast((classes, items, ids, piece_item, piece_first))
+        asked_for = spark.sparkContext.broadcast((classes, items, ids, piece_item, piece_first, short))
 
         def search(batches: Iterator[pa.RecordBatch], asked_for=asked_for) -> Iterator[pa.RecordBatch]:
             classes, *asked = asked_for.value

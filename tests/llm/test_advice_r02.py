@@ -27,3 +27,16 @@ def test_edited_copies_of_long_items_are_found(spark):
     for k, item in enumerate(items):
         assert sum((100 * k + c) in found for c in range(10)) >= 8, len(item)
     assert len(found) >= 0.95 * len(docs)
+
+
+def test_short_items_and_scripts_without_spaces_are_found(spark):
+    han = "\u5149\u5408\u4f5c\u7528\u5728\u690d\u7269\u7684\u54ea\u4e2a\u90e8\u5206\u8fdb\u884c\uff1f"       # 14 characters and a sign
+    thai = "\u0e20\u0e32\u0e29\u0e32"
+    docs = [(1, "He asked: who wrote Faust? Nobody knew"), (2, "who wrote, they say, Faust"), (3, f"abc{han}xyz"),
+            (4, "\u524d" + han[:6] + "\u3002" + han[7:] + "\u540e"), (5, f"\u0e01{thai}\u0e01 z"), (6, han[7:]), (7, "who wrote"), (8, "Faust")]
+    items = [(1, "Who wrote Faust"), (2, han), (3, thai), (4, "who wrote faust?"), (5, "?!"), (6, "")]
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"),
+                                      spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 1), (1, 4), (3, 2), (4, 2), (5, 3)}
+    at = {(r["doc_id"], r["item_id"]): (r["start"], r["end"], r["edits"], r["item_words"]) for r in got}
+    assert at[1, 1] == (10, 25, 0, 3) and at[3, 2] == (3, 17, 0, 14) and at[4, 2][2:] == (1, 14) and at[5, 3] == (1, 5, 0, 4)
