@@ -2,18 +2,23 @@
 
 Units are the pieces of a text between newlines and sentence ends, so a
 passage that repeats inside other lines is still found.  A unit is
-normalised to its lower-cased words; its digest covers them in order.
+normalised to its lower-cased words; its digest covers them in order.  A unit
+of fewer than ``UNIT_WORDS`` words ("1.", "Mr.") counts together with the
+units after it, or before it, until there are that many words, so it is a
+repeat where it stands in a repeated passage and nowhere else.
 Digests are grouped over all documents: the occurrence ranked first (id, then
 offset) stays, later ones are repeats.  Consecutive repeats of a document
-that together have at least ``min_words`` words are removed; shorter ones are
-left, since short sentences coincide by chance.
+that together have at least ``min_words`` words are removed.  Shorter ones
+are left, since short sentences coincide by chance, but for whole lines all
+units of which occur ``OFTEN`` times or more.
 
-A task keeps only the first of equal units it holds and reports the others
-at once, so a line that occurs in a third of all rows sends one entry per
-buffer, not one per row.
+A task keeps only the first of equal units it holds ``OFTEN`` times and
+reports the others at once, so a line that occurs in a third of all rows sends
+a few entries per buffer, not one per row.
 
-Defined results: null, empty and blank texts have no units; rows are told
-apart by id, repeated rows count as occurrences in the order they are met;
+Defined results: null, empty and blank texts have no units, texts of fewer
+than ``UNIT_WORDS`` words no repeats; rows are told apart by id, repeated rows
+count as occurrences in the order they are met;
 an empty table gives no rows; other columns are ignored.  ``removed_spans``
 keeps the original character offsets.
 """
@@ -30,20 +35,22 @@ from pyspark.sql import functions as F
 from lading.llm.textcols import _powers, _U, mix, slices, span_hashes, word_spans
 
 MIN_WORDS = 25
-UNIT_WORDS = 3               # shorter units never count as repeats of their own
+UNIT_WORDS = 3               # shorter units count together with their neighbours
+OFTEN = 10                   # occurrences
 FLUSH = 1 << 18
 ENTRIES_PER_BLOCK = 1 << 20
 
-REPEAT = "doc_id long, unit int, start long, end long, words int, first_doc_id long"
+REPEAT = "doc_id long, unit int, start long, end long, words int, line int, line_units int, often boolean, first_doc_id long"
 
 
 def units(buf: np.ndarray, off: np.ndarray):
-    """Units of a run of texts: row, number in the row, start and end byte,
-    word count and digest, for units of at least UNIT_WORDS words."""
+    """Entries of a run of texts: row, unit's number in the row, start and end
+    byte, word count, line in the row, units of that line and digest; a short
+    unit has one entry with the units after it and one with those before."""
     starts, ends, rows = word_spans(buf, off)
     if not len(starts):
         z = np.zeros(0, np.int64)
-        return z, z, z, z, z, z.astype(np.uint64)
+        return z, z, z, z, z, z, z, z.astype(np.uint64)
     stop = (buf[ends - 1] == 46) | (buf[ends - 1] == 33) | (buf[ends - 1] == 63)     # . ! ?
     newline = np.concatenate([[0], np.cumsum(buf == 10)])
     last = np.ones(len(starts), dtype=bool)
@@ -54,11 +61,26 @@ def units(buf: np.ndarray, off: np.ndarray):
     power, inverse = _powers(len(words))
     sums = np.zeros(len(words) + 1, dtype=np.uint64)
     np.cumsum(words * power, out=sums[1:])
-    digest = mix((sums[b] - sums[a]) * inverse[a], 3) ^ mix((b - a).astype(np.uint64), 5)
     row = rows[a]
     number = np.arange(len(a)) - np.searchsorted(row, row)
-    ok = b - a >= UNIT_WORDS
-    return row[ok], number[ok], starts[a][ok], ends[b - 1][ok], (b - a)[ok], digest[ok]
+    line = newline[starts[a]] - newline[off[row]]
+    opens = np.concatenate([[True], (row[1:] != row[:-1]) | (line[1:] != line[:-1])])
+    line_units = np.diff(np.append(np.flatnonzero(opens), len(a)))[np.cumsum(opens) - 1]
+    # first and last unit, and kind, of what every entry's digest covers
+    long, short = np.flatnonzero(b - a >= UNIT_WORDS), np.flatnonzero(b - a < UNIT_WORDS)
+    after = np.searchsorted(b, a[short] + UNIT_WORDS)
+    before = np.searchsorted(a, b[short] - UNIT_WORDS, side="right") - 1
+    right = row[np.minimum(after, len(a) - 1)] == row[short]
+    right &= after < len(a)
+    left = (before >= 0) & (row[before] == row[short])
+    unit = np.concatenate([long, short[right], short[left]])
+    first = np.concatenate([long, short[right], before[left]])
+    end = np.concatenate([long, after[right], short[left]])
+    kind = np.repeat(np.array([5, 7, 9]), [len(long), int(right.sum()), int(left.sum())])
+    digest = mix((sums[b[end]] - sums[a[first]]) * inverse[a[first]], 3)
+    for k in (5, 7, 9):
+        digest[kind == k] ^= mix((b[end] - a[first])[kind == k].astype(np.uint64), k)
+    return (row[unit], number[unit], starts[a][unit], ends[b - 1][unit], (b - a)[unit], line[unit], line_units[unit], digest)
 
 
 def _first_and_rest(digest, doc, unit):
@@ -70,43 +92,48 @@ def _first_and_rest(digest, doc, unit):
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per unit that occurs earlier: its place and the document of an
-    earlier occurrence."""
+    """One row per unit that occurs earlier (a short one may have two): its
+    place, its line, whether it occurs often, and the document of an earlier
+    occurrence."""
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     total = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(8, int(total // 64 // ENTRIES_PER_BLOCK) + 1)       # about one unit per 64 bytes
-    names = ("digest", "doc", "unit", "start", "end", "words")
-    types = (np.uint64, np.int64, np.int32, np.int64, np.int64, np.int32)
+    names = ("digest", "doc", "unit", "start", "end", "words", "line", "line_units")
+    types = (np.uint64, np.int64, np.int32, np.int64, np.int64, np.int32, np.int32, np.int32)
 
     def send(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        digest, doc, unit, start, end, words = (np.concatenate(x) for x in zip(*held))
-        order, new = _first_and_rest(digest, doc, unit)
-        cols = [x[order] for x in (digest, doc, unit, start, end, words)]
-        lead = cols[1][np.flatnonzero(new)[np.cumsum(new) - 1]]
-        rest = ~new
+        held = [np.concatenate(x) for x in zip(*held)]
+        order, new = _first_and_rest(*held[:3])
+        cols = [x[order] for x in held]
+        at = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        times = np.diff(np.append(at, len(new)))
+        lead = cols[1][at[group]]
+        rest = ~new & (times[group] >= OFTEN)
         out = []
         if rest.any():
             # repeats inside this buffer are settled: dealt over the blocks as they are
             block = blocks + int(cols[0][0] % _U(blocks))
-            out.append((block, *(c[rest].astype(t).tobytes() for c, t in zip(cols, types)), lead[rest].tobytes()))
-        kept = [c[new] for c in cols]
+            out.append((block, *(c[rest].astype(t).tobytes() for c, t in zip(cols, types)), b"", lead[rest].tobytes()))
+        kept = [c[~rest] for c in cols]
+        stands = np.where(times[group] >= OFTEN, times[group], 1)[~rest].astype(np.int32)     # occurrences of an entry
         which = ((kept[0] >> _U(32)) * _U(blocks) >> _U(32)).astype(np.int64)      # digests are sorted, so blocks are
         cut = np.searchsorted(which, np.arange(blocks + 1))
-        out += [(b, *(c[x:y].astype(t).tobytes() for c, t in zip(kept, types)), b"")
+        out += [(b, *(c[x:y].astype(t).tobytes() for c, t in zip(kept, types)), stands[x:y].tobytes(), b"")
                 for b, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()),
-                                          *(pa.array([r[i] for r in out], pa.binary()) for i in range(1, 8))],
-                                         ["block", *names, "lead"])
+                                          *(pa.array([r[i] for r in out], pa.binary()) for i in range(1, len(names) + 3))],
+                                         ["block", *names, "stands", "lead"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for lo, _, buf, off in slices(batch.column(1)):
-                row, unit, start, end, words, digest = units(buf, off)
+                row, unit, start, end, words, line, line_units, digest = units(buf, off)
                 points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
                 base = points[off[row]]
-                held.append((digest, ids[lo + row], unit, points[start] - base, points[end] - base, words))
+                held.append((digest, ids[lo + row], unit, points[start] - base, points[end] - base, words, line, line_units))
                 n += len(row)
                 if n >= FLUSH:
                     yield from send(held)
@@ -118,29 +145,40 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         cols = [np.concatenate([np.frombuffer(x.as_py(), t) for x in table[c]]) for c, t in zip(names, types)]
         if table["block"][0].as_py() >= blocks:
             lead = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table["lead"]])
-            cols = cols[1:]
+            often, cols = np.ones(len(lead), dtype=bool), cols[1:]
         else:
+            stands = np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in table["stands"]])
             order, new = _first_and_rest(*cols[:3])
-            lead = cols[1][order][np.flatnonzero(new)[np.cumsum(new) - 1]][~new]
+            group = np.cumsum(new) - 1
+            lead = cols[1][order][np.flatnonzero(new)[group]][~new]
+            often = (np.bincount(group, weights=stands[order]) >= OFTEN)[group][~new]
             cols = [c[order][~new] for c in cols[1:]]
-        return pa.table(dict(zip(("doc_id", "unit", "start", "end", "words", "first_doc_id"), [*cols, lead])))
+        return pa.table(dict(zip(("doc_id", *names[2:], "often", "first_doc_id"), [*cols, often, lead])))
 
-    return (given.mapInArrow(emit, "block int, " + ", ".join(f"{n} binary" for n in (*names, "lead")))
+    return (given.mapInArrow(emit, "block int, " + ", ".join(f"{n} binary" for n in (*names, "stands", "lead")))
             .groupBy("block").applyInArrow(meet, REPEAT))
 
 
 def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """Runs of consecutive repeated units with at least ``min_words`` words:
-    document, character span, words, units, document of an earlier
-    occurrence of the run's first unit."""
+    """Runs of consecutive repeated units with at least ``min_words`` words,
+    and whole lines of units that occur often: document, character span,
+    words, units, document of an earlier occurrence of the run's first unit."""
     own = Window.partitionBy("doc_id").orderBy("start", "unit")
-    found = repeats(docs, id_col, text_col).withColumn(
-        "opens", (F.col("unit") - F.lag("unit", 1, -2).over(own) > 1).cast("int"))
-    runs = found.withColumn("run", F.sum("opens").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def numbered(found: DataFrame) -> DataFrame:
+        opens = found.withColumn("opens", (F.col("unit") - F.lag("unit", 1, -2).over(own) > 1).cast("int"))
+        return opens.withColumn("run", F.sum("opens").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+
+    found = (repeats(docs, id_col, text_col).repartition("doc_id").groupBy("doc_id", "unit", "line", "line_units")
+             .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("words").alias("words"),
+                  F.max("often").alias("often"), F.min("first_doc_id").alias("first_doc_id")))
+    goes = numbered(found).withColumns({
+        "n_words": F.sum("words").over(Window.partitionBy("doc_id", "run")),
+        "n_often": F.sum(F.col("often").cast("int")).over(Window.partitionBy("doc_id", "line"))})
+    runs = numbered(goes.where((F.col("n_words") >= min_words) | (F.col("n_often") == F.col("line_units"))))
     return (runs.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("long").alias("n_words"),
-        F.count(F.lit(1)).alias("n_units"), F.min_by("first_doc_id", "start").alias("first_doc_id"))
-        .where(F.col("n_words") >= min_words).drop("run"))
+        F.count(F.lit(1)).alias("n_units"), F.min_by("first_doc_id", "start").alias("first_doc_id")).drop("run"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

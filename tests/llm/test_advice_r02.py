@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from lading.llm import decontaminate
+from lading.llm import decontaminate, substring_dedup
 
 
 def _words(rng, n):
@@ -40,3 +40,17 @@ def test_short_items_and_scripts_without_spaces_are_found(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 1), (1, 4), (3, 2), (4, 2), (5, 3)}
     at = {(r["doc_id"], r["item_id"]): (r["start"], r["end"], r["edits"], r["item_words"]) for r in got}
     assert at[1, 1] == (10, 25, 0, 3) and at[3, 2] == (3, 17, 0, 14) and at[4, 2][2:] == (1, 14) and at[5, 3] == (1, 5, 0, 4)
+
+
+def test_short_units_bridge_repeats_and_frequent_lines_go(spark):
+    parts = [" ".join(f"{c}{k}" for k in range(7)) + "." for c in "abcde"]
+    passage = f"1. {parts[0]} Mr. {parts[1]} Yes! No! {parts[2]}\n2.\n{parts[3]} Dr. {parts[4]} End."     # runs of 7 long words
+    rows = [(1, f"one starts here. {passage} one ends here."), (2, f"Dr. two starts here. {passage} Dr. two ends here."),
+            (3, "Dr. Mr. Yes! 1. 2."), (4, "short " * 40), (5, None), (6, "")]
+    rows += [(100 + k, f"own text number {k}\nShare this page now. Subscribe to our letter.\nmore of text {k}") for k in range(12)]
+    rows += [(200 + k, f"other text number {k}\nA rare line here.\nrest of it {k}") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = sorted(tuple(r) for r in substring_dedup.removed_spans(docs).select("doc_id", "start", "end", "n_words").collect())
+    line = [(100 + k, 18 + len(str(k)) - 1, 63 + len(str(k)) - 1, 8) for k in range(1, 12)]
+    assert spans == [(2, 21, 21 + len(passage), 42), *[(d, 18 + len(str(d - 100)) - 1, e, w) for d, _, e, w in line]]
+    assert {len(r[1][s:e].split()) for r in rows for d, s, e, _ in spans if d == r[0]} == {42, 8}
