@@ -1,16 +1,21 @@
 """Surrogates for personal data (operator 8).
 
 Detected entities (e-mail, phone, IPv4, card number, social security number,
-IBAN, titled person name) are replaced by keyed surrogates of the same type
+IBAN, person names after titles) are replaced by keyed surrogates of the same type
 and format: separators, letter case, script of letters, country prefix,
 top-level domain, checksum status and the gender of a title stay.
 
 Numbers and addresses go through a keyed Feistel permutation of the values
 that share their format, so one original always gets one surrogate
 (coreference, in all documents, with no shared state) and two originals
-never the same one (distinctness).  Names come from gendered pools; within a
-document a taken name moves on to the next free one.  A surrogate that
-equals an original of the same document is permuted again.
+never the same one (distinctness).  A name is the whole capitalised sequence
+after its titles; each part goes through a keyed permutation of the names of
+its length and is written in syllables with a gendered ending, so a name has
+one surrogate per gender in all documents and no two names share one.  The
+parts are also replaced wherever they recur in the document, with the gender
+of their first title there.  A surrogate that equals an original of the same
+document is permuted again.  Names that no title in the document introduces
+are not seen.
 
 Defined results: a null text stays null with zero entities; texts without
 entities come back byte for byte; repeated rows get equal surrogates; other
@@ -22,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +42,17 @@ from lading.llm.textcols import slices
 DEFAULT_KEY = b"replace-this-key"
 ROUNDS = 8
 
-# fixed values: entity patterns, titles and name pools
+# fixed values: entity patterns, titles and the syllables and endings of names
+FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Mme", "Mlle", "Frau", "Señora", "Señorita", "Madame", "Mademoiselle", "Lady")
+MALE_TITLES = ("Mr", "Herr", "Herrn", "Señor", "Monsieur", "Sir")
+TITLES = (*FEMALE_TITLES, *MALE_TITLES, "Dr", "Prof", "Professor", "Doctor", "Doktor")
+PARTICLES = ("von", "van", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "la", "le", "zu", "zur", "ter", "bin", "ibn")
+TITLE_WORD = "(?:" + "|".join(sorted((t for x in TITLES for t in {x, x.upper()}), key=len, reverse=True)) + r")\b\.?"
+CAPITAL = "[A-ZÀ-ÖØ-ÞĀ-ŽΑ-ΩА-ЯЁ]"
+PART = rf"{CAPITAL}(?:\w|['’-](?!s\b)(?=\w))+"
+BEFORE_PART = rf"(?:(?:{CAPITAL}\.|{'|'.join(PARTICLES)}) )*"
+CONSONANTS, VOWELS = "bdfghjklmnprstvz", "aeiou"
+ENDINGS = {"f": "na", "m": "no", "n": "ne"}
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -45,18 +61,26 @@ PATTERNS = {
     "phone": r"(?<![\dA-Za-z])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
     "card": r"(?<![\dA-Za-z])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\dA-Za-z])",
-    "name": r"(?<!\w)(?:Mrs\.?|Mr\.?|Ms\.?|Herr|Frau|Señora|Señor|Madame|Monsieur) [A-ZÀ-ÖØ-Þ][\wÀ-ÿ'-]+",
-}
-FEMALE_TITLES = ("Mrs", "Ms", "Frau", "Señora", "Madame")
-NAMES = {
-    "f": ("Anna", "Clara", "Diana", "Elena", "Flora", "Greta", "Helga", "Irene", "Julia", "Karla", "Laura", "Maria",
-          "Nadia", "Olivia", "Paula", "Rosa", "Sofia", "Teresa", "Vera", "Wanda"),
-    "m": ("Adam", "Bruno", "Carlos", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Lukas",
-          "Martin", "Niklas", "Oscar", "Pablo", "Ralf", "Simon", "Tomas", "Victor"),
+    "name": rf"(?<!\w)(?:{TITLE_WORD} )+{BEFORE_PART}{PART}(?: {BEFORE_PART}{PART})*",
 }
+
+
+class Names:
+    """The surrogate names of a gender: syllables and the gender's ending."""
+
+    def __init__(self, ending: str):
+        self.form = re.compile(rf"(?i:(?:[{CONSONANTS}][{VOWELS}])+{ending})")
+
+    def __contains__(self, name: str) -> bool:
+        return self.form.fullmatch(name) is not None
+
+
+NAMES = {gender: Names(ending) for gender, ending in ENDINGS.items()}
 ENTITY = re.compile("|".join(f"(?P<{k}>{re.sub(r'\(\[ -\]\)', '(?P<sep>[ -])', p).replace(chr(92) + '1', '(?P=sep)')})"
                              for k, p in PATTERNS.items()))
-TITLE = re.compile(rb"Mr|Ms|Herr|Frau|Se\xc3\xb1or|Madame|Monsieur")
+TITLES_OF_NAME = re.compile(rf"(?:{TITLE_WORD} )+")
+WORD_OF_NAME = re.compile(r"[^\W_]+")
+TITLE = re.compile(TITLE_WORD.replace(r"\b", "").encode() + b" ")
 
 RESULT = [StructField("text", StringType()), StructField("n_entities", LongType()),
           StructField("entities", ArrayType(StructType([
@@ -138,7 +162,7 @@ def _luhn(digits: str) -> bool:
 
 
 def surrogate(kind: str, text: str, key: bytes) -> str:
-    """The replacement of one entity (names: see ``replace``)."""
+    """The replacement of one entity (names: see ``name_surrogate``)."""
     if kind == "email":
         head, dot, tld = text.rpartition(".")
         return permute_text(head, key, kind) + dot + tld
@@ -162,12 +186,83 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
     return permute_text(text, key, kind)
 
 
+@lru_cache(1 << 16)
+def name_surrogate(name: str, gender: str, key: bytes) -> str:
+    """The replacement of one word of a name, whatever its case; one-to-one.
+    The word's letters (others escaped) are permuted among the words of their
+    length, and the result is written in syllables."""
+    digits: list[int] = []
+    for c in name.lower():
+        if "a" <= c <= "z":
+            digits.append(ord(c) - 97)
+        else:
+            digits += [26, *(ord(c) // 26 ** k % 26 for k in range(4, -1, -1))]
+    n, value = len(digits), 0
+    for d in digits:
+        value = value * 27 + d
+    value = permute(value, 27 ** (n // 2), 27 ** (n - n // 2), key, f"name|{n}")
+    syllables = len(CONSONANTS) * len(VOWELS)
+    value += sum(27 ** k for k in range(1, n)) + syllables + 1      # shorter words come first; at least two syllables
+    out = []
+    while value:
+        value, d = divmod(value - 1, syllables)
+        out.append(CONSONANTS[d // len(VOWELS)] + VOWELS[d % len(VOWELS)])
+    return "".join(reversed(out)).capitalize() + ENDINGS[gender]
+
+
+def _gender(titles: str) -> str:
+    words = {t.rstrip(".").capitalize() for t in titles.split()}
+    return "f" if words & set(FEMALE_TITLES) else "m" if words & set(MALE_TITLES) else "n"
+
+
+def _renamed(name: str, gender: str, of_word: dict[str, str], key: bytes) -> str:
+    """A name with its words replaced; particles stay, an initial becomes another."""
+    def one(m: re.Match) -> str:
+        word = m.group()
+        if word in PARTICLES:
+            return word
+        if len(word) == 1:
+            return permute_text(word, key, "initial")
+        own = gender if gender != "n" else of_word.get(word.lower(), "n")
+        new = name_surrogate(word, own, key)
+        while new.lower() in of_word:
+            new = name_surrogate(new, own, key)
+        return new.upper() if word.isupper() else new
+    return WORD_OF_NAME.sub(one, name)
+
+
+def _names(text: str, hits: list[tuple[str, int, int]]) -> tuple[dict[str, str], list[tuple[str, int, int]]]:
+    """Gender of every word of the document's titled names (lower case), and
+    the hits with the places where the words recur outside of hits."""
+    of_word: dict[str, str] = {}
+    forms: set[str] = set()
+    for kind, a, b in hits:
+        if kind == "name":
+            titles = TITLES_OF_NAME.match(text, a, b)
+            gender = _gender(titles.group())
+            for word in WORD_OF_NAME.findall(text, titles.end(), b):
+                if len(word) > 1 and word not in PARTICLES:
+                    if of_word.get(word.lower(), "n") == "n":
+                        of_word[word.lower()] = gender
+                    forms |= {word, word.upper(), word.capitalize()}
+    if forms:
+        again = re.compile(r"(?<![^\W_])(?:" + "|".join(sorted(map(re.escape, forms), key=len, reverse=True)) + r")(?![^\W_])")
+        out, at = [], 0
+        for kind, a, b in [*hits, ("", len(text), len(text))]:
+            out += [("name", m.start(), m.end()) for m in again.finditer(text, at, a)]
+            out.append((kind, a, b))
+            at = b
+        hits = out[:-1]
+    return of_word, hits
+
+
 def replace(text: str, key: bytes) -> tuple[str, list[dict]]:
     """The text with its entities replaced, and the entities: kind, span in
     the original text, surrogate."""
     hits = [(m.lastgroup if m.lastgroup != "sep" else "card", m.start(), m.end()) for m in ENTITY.finditer(text)]
     if not hits:
         return text, []
+    of_word, hits = _names(text, hits)
     originals = {text[a:b] for _, a, b in hits}
     given: dict[tuple[str, str], str] = {}
     used: set[str] = set()
@@ -176,16 +271,9 @@ def replace(text: str, key: bytes) -> tuple[str, list[dict]]:
         own = text[a:b]
         new = given.get((kind, own))
         if new is None and kind == "name":
-            title, _, name = own.partition(" ")
-            pool = NAMES["f" if title.rstrip(".") in FEMALE_TITLES else "m"]
-            k = _noise(key, "name", int.from_bytes(hashlib.blake2b(name.encode(), key=key[:64]).digest()[:8], "big"), len(pool))
-            step = 0
-            while True:
-                pick = pool[(k + step) % len(pool)] + ("" if step < len(pool) else " " + "I" * (step // len(pool) + 1))
-                new = f"{title} {pick.upper() if name.isupper() and len(name) > 1 else pick}"
-                step += 1
-                if new not in used and new not in originals:
-                    break
+            titles = TITLES_OF_NAME.match(own)
+            head = titles.group() if titles else ""
+            new = head + _renamed(own[len(head):], _gender(head), of_word, key)
         elif new is None:
             new = surrogate(kind, own, key)
             for _ in range(64):

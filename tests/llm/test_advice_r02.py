@@ -1,8 +1,10 @@
 """Whole-job tests of the training-data operators: what a cap or a skipped case would lose."""
 
+import itertools
+
 import numpy as np
 
-from lading.llm import decontaminate, substring_dedup
+from lading.llm import decontaminate, pii, substring_dedup
 
 
 def _words(rng, n):
@@ -54,3 +56,28 @@ def test_short_units_bridge_repeats_and_frequent_lines_go(spark):
     line = [(100 + k, 18 + len(str(k)) - 1, 63 + len(str(k)) - 1, 8) for k in range(1, 12)]
     assert spans == [(2, 21, 21 + len(passage), 42), *[(d, 18 + len(str(d - 100)) - 1, e, w) for d, _, e, w in line]]
     assert {len(r[1][s:e].split()) for r in rows for d, s, e, _ in spans if d == r[0]} == {42, 8}
+
+
+def test_whole_names_and_their_later_mentions_are_replaced():
+    text = ("Mrs. Mary Jones met Dr. Ann-Marie O'Neil, MR BROWN; Prof. Dr. J. K. von Berg left. Jones's friend Mary "
+            "called JONES, Neil and Berg. Jonestown and brown stay, write to mary.jones@x.org. Dr. Jones. Drive on.")
+    new, found = pii.replace(text, b"k")
+    for own in ("Mary", "Jones'", "Jones.", "JONES", "Ann", "Marie", "Neil", "BROWN", "Berg", "J. K.", "mary.jones"):
+        assert own not in new, own
+    assert "Jonestown and brown stay" in new and new.endswith("Drive on.") and " von " in new
+    mary, jones = new.split()[1:3]
+    assert mary in pii.NAMES["f"] and jones in pii.NAMES["f"]
+    assert f"{jones}'s friend {mary} called {jones.upper()}," in new and f"Dr. {jones}." in new
+    assert pii.replace("Only Mrs. Jones.", b"k")[0] == f"Only Mrs. {jones}."              # the same in another document
+    at, out = 0, []
+    for e in found:
+        out += [text[at:e["start"]], e["surrogate"]]
+        at = e["end"]
+    assert "".join([*out, text[at:]]) == new
+
+
+def test_no_two_names_share_a_surrogate():
+    names = ["".join(p) for n in (1, 2, 3) for p in itertools.product("abemz", repeat=n)] + ["m\u00fcller", "muller", "jones", "joness", "o\u00f1a"]
+    names = [n for n in names if len(n) > 1]
+    made = {pii.name_surrogate(n, g, b"k") for n in names for g in "fmn"}
+    assert len(made) == 3 * len(names) and all(sum(n in pii.NAMES[g] for g in "fmn") == 1 for n in made)
