@@ -1,12 +1,15 @@
 """Secret scan with a random forest against false positives (operator 4).
 
-DataFrame functions only.  Candidates are words that hold a run of at least
-``MIN_LENGTH`` key characters with a digit.  Features: length, share of
+DataFrame functions only.  Candidates are the runs of at least ``MIN_LENGTH``
+key characters with a digit, or at a mail address or the password place of a
+URL, as many as a word holds.  An equals sign ends a
+run (but for padding), and the context of a run is its own part of the word,
+between commas, semicolons, ampersands and braces.  Features: length, share of
 digits and of each letter case, transitions between character classes,
 distinct characters, coverage by dictionary words, path signs, neighbouring
 words.  The forest is trained on labelled findings: a table (value,
 is_secret) if given, else findings that their context labels - an assignment
-to a secret's name marks a secret; e-mail, address, card and phone shapes
+to a secret's name or the password place of a URL marks a secret; e-mail, address, card and phone shapes
 mark a false finding.  Each labelled finding is learned from twice, once
 with its neighbours hidden, so the forest judges bare values too.
 
@@ -41,7 +44,8 @@ SECRET_NAMES = "(?i)(secret|token|passw|passwd|pwd|api[-_]?key|access[-_]?key|pr
 HARMLESS_NAMES = "(?i)(example|sample|dummy|placeholder|sha1|sha256|md5|checksum|commit|uuid|version|phone|tel|card|mail)"
 DICTIONARY = ("(?i)(the|and|for|that|with|from|this|test|user|name|file|data|main|page|mail|example|index|image|com|www|"
               "http|html|die|der|und|das|les|des|que|para|con|ion|ing|ent)")
-KEY_RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
+KEY_RUN = rf"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
+PART_ENDS = "[,;&{}]+"
 FEATURES = ("length", "digits", "upper", "lower", "hex", "transitions", "distinct", "dictionary", "path",
             "assigned", "named", "harmless")
 CONTEXT = ("assigned", "named", "harmless")
@@ -60,11 +64,23 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     near = F.transform("w", lambda x, i: F.when(x.rlike("[0-9]") & x.rlike(KEY_RUN), F.struct(
         i.alias("word_no"), x.alias("word"),
         F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1)).alias("before"), F.get("w", i + 1).alias("after"))))
-    found = (words.select("doc_id", F.explode(F.filter(near, lambda s: s.isNotNull())).alias("c"))
-             .select("doc_id", "c.*").withColumn("value", F.regexp_extract("word", f"({KEY_RUN})", 1)))
-    found = found.where(F.col("value").rlike("[0-9]") | F.col("word").rlike("@"))
+    found = words.select("doc_id", F.explode(F.filter(near, lambda s: s.isNotNull())).alias("c")).select("doc_id", "c.*")
+    # the parts of a word, and of a part the texts around its runs (at odd places) and the runs
+    found = found.select("*", F.posexplode(F.split(F.regexp_replace("word", f"^{PART_ENDS}", ""), PART_ENDS)).alias("part_no", "part"))
+    found = found.withColumn("pieces", F.split(F.regexp_replace(F.translate("part", "\x01\x02", "??"), f"({KEY_RUN})", "\x01$1\x02"),
+                                               "[\x01\x02]")).where("size(pieces) > 1")
+    around = F.transform(F.expr("sequence(2, size(pieces) - 1, 2)"), lambda i: F.struct(
+        (i / 2).cast("int").alias("run_no"), F.element_at("pieces", i).alias("value"),
+        # a run before may be the name of this one
+        F.array_join(F.slice("pieces", F.greatest(i - 3, F.lit(1)), F.least(i - 1, F.lit(3))), "").alias("prefix"),
+        F.element_at("pieces", i + 1).alias("rest")))
+    found = found.withColumn("run", F.explode(around)).select("doc_id", "word_no", "before", "part_no", "part", "run.*")
     value = F.col("value")
-    context = F.concat_ws(" ", "before", F.regexp_extract("word", rf"^(.*?){KEY_RUN}", 1))
+    context = F.concat_ws(" ", F.when((F.col("part_no") == 0) & (F.col("run_no") <= 2), F.col("before")), "prefix")
+    in_url = F.col("prefix").rlike("://[^/@]*:$") & F.col("rest").rlike("^@")
+    mail = F.col("rest").rlike(r"^[A-Za-z0-9.%]*@[A-Za-z0-9-]*\.?") | F.col("prefix").rlike("@[A-Za-z0-9.-]*$")
+    found = found.where(value.rlike("[0-9]") | mail | in_url)
+    around_run = F.concat(F.col("prefix"), value, F.col("rest"))
     changes = F.size(F.regexp_extract_all(value, F.lit("([a-z](?=[^a-z])|[A-Z](?=[^A-Z])|[0-9](?=[^0-9]))"), 1))
     return found.withColumns({
         "length": F.length(value).cast("double"),
@@ -73,12 +89,12 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "transitions": changes / F.length(value),
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / F.length(value),
         "dictionary": _share(value, DICTIONARY),
-        "path": F.col("word").rlike(r"(://|^/|[A-Za-z0-9]/[A-Za-z0-9].*/|\.[a-z]{2,4}\b)").cast("double"),
-        "assigned": context.rlike(r"[=:]\s*[\"']?$").cast("double"),
-        "named": context.rlike(SECRET_NAMES).cast("double"),
+        "path": around_run.rlike(r"(://|^/|[A-Za-z0-9]/[A-Za-z0-9].*/|\.[a-z]{2,4}\b)").cast("double"),
+        "assigned": context.rlike(r"[=:]\s*[\\\"']*$").cast("double"),
+        "named": (context.rlike(SECRET_NAMES) | in_url).cast("double"),
         "harmless": context.rlike(HARMLESS_NAMES).cast("double"),
-        "other_shape": (F.col("word").rlike(r"@[A-Za-z0-9-]+\.") | value.rlike(r"^\+?[0-9-]{11,23}$")
-                        | F.col("word").rlike(r"^\W*\d{1,3}(\.\d{1,3}){3}\W*$")),
+        "other_shape": ((mail & ~in_url) | value.rlike(r"^\+?[0-9-]{11,23}$")
+                        | F.col("part").rlike(r"^\W*\d{1,3}(\.\d{1,3}){3}\W*$")),
     })
 
 

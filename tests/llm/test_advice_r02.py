@@ -4,7 +4,7 @@ import itertools
 
 import numpy as np
 
-from lading.llm import decontaminate, pii, substring_dedup
+from lading.llm import decontaminate, pii, secret_scan, substring_dedup
 
 
 def _words(rng, n):
@@ -81,3 +81,19 @@ def test_no_two_names_share_a_surrogate():
     names = [n for n in names if len(n) > 1]
     made = {pii.name_surrogate(n, g, b"k") for n in names for g in "fmn"}
     assert len(made) == 3 * len(names) and all(sum(n in pii.NAMES[g] for g in "fmn") == 1 for n in made)
+
+
+def test_every_run_of_a_word_is_a_candidate_with_its_own_context(spark):
+    keys = [f"{c}K7q2Zx9Lm4Tv8Rb1{c}" for c in "ABCDEFGHIJ"]
+    rows = [(1, f'{{"access_key_id":"{keys[0]}","commit":"{keys[1]}","token":"{keys[2]}=="}} end'),
+            (2, f"config.database-password:{keys[3]}"), (3, f"postgres://database-user:{keys[4]}@host.example.com/db"),
+            (4, f"set api_key={keys[5]} now"), (5, f"secret_access_key_name={keys[6]}"), (6, f'token = "{keys[7]}"'),
+            (7, f"mail someone_with_1_name@host.example.com,password={keys[8]}"), (8, "tooshort=abc123 , ;; {}"), (9, None)]
+    got = secret_scan.candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by_value = {r["value"]: r for r in got}
+    assert {r["value"] for r in got} == {*keys[:2], keys[2] + "==", *keys[3:9], "someone_with_1_name"}
+    for k in (keys[0], keys[2] + "==", *keys[3:9]):
+        r = by_value[k]
+        assert (r["assigned"], r["named"], r["harmless"], r["other_shape"]) == (1, 1, 0, False), r
+    assert by_value[keys[1]]["harmless"] == 1 and by_value[keys[1]]["named"] == 0
+    assert by_value["someone_with_1_name"]["other_shape"]
