@@ -24,8 +24,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of the n-gram join (operator 2)."""
-    return ngram_join.one_per_group(docs)
+    """Keep one document of each group of the n-gram join (operator 2), over
+    runs of five words that agree in 80 % (the op2 query has bounds of its own)."""
+    return ngram_join.one_per_group(docs, size=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

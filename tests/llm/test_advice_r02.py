@@ -2,6 +2,7 @@
 
 import itertools
 
+import corpus_pipeline
 import numpy as np
 
 from lading.llm import decontaminate, pii, secret_scan, substring_dedup
@@ -97,3 +98,12 @@ def test_every_run_of_a_word_is_a_candidate_with_its_own_context(spark):
         assert (r["assigned"], r["named"], r["harmless"], r["other_shape"]) == (1, 1, 0, False), r
     assert by_value[keys[1]]["harmless"] == 1 and by_value[keys[1]]["named"] == 0
     assert by_value["someone_with_1_name"]["other_shape"]
+
+
+def test_pipeline_links_near_duplicates_at_five_words_and_80_percent(spark):
+    def pair(n, c):
+        words = [f"{c}{k}" for k in range(n)]
+        return " ".join(words), " ".join([*words[:20], "other", *words[21:]])
+    near, far = pair(49, "a"), pair(48, "b")                     # 40 of 50 shingles are shared, 39 of 49
+    docs = spark.createDataFrame(list(enumerate([*near, *far])), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 2, 3]
