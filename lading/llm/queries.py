@@ -89,3 +89,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lading.llm.lm_scoring import scores
     return scores(read_table(spark, sf_dir, "documents"), "crc32(cast(cast(doc_id as string) as binary)) % 5 = 1")
+
+
+@register("op11_filter_audit")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.filter_audit import audit
+    return audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), "source")
+
+
+@register("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.conversation_repair import damage, repair
+    return repair(damage(read_table(spark, sf_dir, "conversations")))
+
+
+@register("op13_sharding")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.sharding import LAW, assign
+    placed = assign(read_table(spark, sf_dir, "documents"), 24)
+    return placed.select("*", F.lit(LAW).alias("law"), F.lit(None).cast("int").alias("grown_shard"))
