@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from lading.plans import registry
 from tests.conftest import SF_SMALL
 
 QUERIES = entry.queries()
@@ -27,7 +28,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) - set(ORACLE) == set()
+    assert set(registry.QUERIES) - set(ORACLE) == set()
 
 
 def test_entry_runs(spark):
