@@ -37,3 +37,17 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence, rank_c
     return (df.withColumn(rank_col, F.row_number().over(w))
             .filter(F.col(rank_col) == 1)
             .drop(rank_col))
+
+
+def latest_by(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]) -> DataFrame:
+    """One row per ``keys``: the greatest by ``order_desc``, then by the other
+    columns (NULLs least), as one aggregate.
+
+    The row travels as a struct whose first fields are the order, so its
+    maximum is the latest row and ties cannot depend on task order.  The
+    aggregate combines map-side and has one plan at every size.
+    """
+    order = list(order_desc)
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    top = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_top"))
+    return top.select(*[F.col(c) if c in keys else F.col("_top")[c].alias(c) for c in df.columns])

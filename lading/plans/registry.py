@@ -258,7 +258,8 @@ def order_weight_q(spark, sf_dir):
 
 @register("demand_grid")
 def demand_grid_q(spark, sf_dir):
-    return SourceContract(spark, sf_dir).demand_grid.drop("p_partkey", "unit_price", "mi", "wi")
+    grid = SourceContract(spark, sf_dir).demand_grid
+    return grid.select("snapshot_date", "warehouse", "sku", "monthly_demand", grid.avg_daily.cast("decimal(18,4)").alias("avg_daily"))
 
 
 @register("warehouse_activity")

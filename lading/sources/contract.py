@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from lading.functions.exprs import padded_id
 from lading.functions.joins import broadcast_if_small
-from lading.operators.dedup import keep_latest, key_struct
-from lading.sources.tables import read_table, spread_small
+from lading.operators.dedup import latest_by
+from lading.sources.tables import read_table
 
 # --- fixed values of the derived contract --------------------------------
 # warehouse split: (o_orderkey*37) % 103  -> <35 WH-NORTH, <78 WH-CENTRAL, else WH-SOUTH
@@ -29,13 +29,13 @@ from lading.sources.tables import read_table, spread_small
 # carrier:         (o_orderkey*29) % 100  -> <30 CarrierA, <58 CarrierB, <82 CarrierC, else CarrierD
 # shipped in full: (l_orderkey*13 + l_linenumber*7 + l_partkey) % 100 < 94
 # supplier tier:   s_suppkey % 20 -> <11 Low, <17 Medium, else High
-# demand grid:     months in which a warehouse has orders (warehouses numbered by name) x SKU
+# demand grid:     months from the first to the last order x warehouses (numbered by name) x SKU
 # merge fixture windows on ingestion_timestamp
 MERGE_TARGET_BEFORE = "2000-01-01 00:00:00"
 MERGE_SOURCE_FROM = "1999-07-01 00:00:00"
 
 # keep-latest ordering for bronze order lines (ties broken on all payload)
-LATEST_ORDER = ("ingestion_timestamp", "l_partkey", "l_suppkey", "l_extendedprice")
+LATEST_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
 LINE_KEY = ("l_orderkey", "l_linenumber")
 
 
@@ -62,10 +62,6 @@ class SourceContract:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
-    def fact_table(self, name: str, keys=()) -> DataFrame:
-        """A fact scan (lineitem, orders): spread when it is small."""
-        return spread_small(self.table(name), keys)
-
     # --- dimensions ------------------------------------------------------
     @cached_property
     def customers(self) -> DataFrame:
@@ -119,12 +115,14 @@ class SourceContract:
             _bucket(dl, [(4, -1), (70, 0), (81, 1), (89, 2), (94, 3)], 5).cast("int").alias("delay_days"))
 
     # --- order lines -------------------------------------------------------
-    @cached_property
-    def order_lines_bronze(self) -> DataFrame:
-        """Bronze ERP order lines: ``order_line_id`` repeats (re-deliveries)."""
-        li = self.fact_table("lineitem", [key_struct(LINE_KEY)]).select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_shipdate")
+    @property
+    def _deliveries(self) -> DataFrame:
+        """The seven columns of ``lineitem`` that the extract is made of."""
+        return self.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                             "l_extendedprice", "l_shipdate")
+
+    def _lines(self, li: DataFrame) -> DataFrame:
+        """Order lines in the extract's form, one per row of ``li``."""
         h = broadcast_if_small(self.order_headers.select(
             "o_orderkey", "order_id", "customer_id", "warehouse", "order_date", "service_days"))
         p = broadcast_if_small(self.products.select(
@@ -147,27 +145,31 @@ class SourceContract:
                     F.col("l_shipdate").alias("ingestion_timestamp"),
                     "l_partkey", "l_suppkey", "l_extendedprice", *LINE_KEY))
 
+    def _latest_lines(self, li: DataFrame) -> DataFrame:
+        """The last delivery of every order line, in the extract's form.
+
+        ``order_line_id`` is built injectively from (l_orderkey, l_linenumber),
+        so the numeric pair names the same lines: the seven columns of the
+        scan are reduced per pair before any join or derived column."""
+        return self._lines(latest_by(li, LINE_KEY, LATEST_ORDER)).drop(*LINE_KEY, *LATEST_ORDER[1:])
+
     @cached_property
-    def order_lines(self) -> DataFrame:
-        """Raw ERP extract: keep-latest bronze row per ``order_line_id``."""
-        return self._keep("raw_order_lines", self._latest(self.order_lines_bronze))
+    def order_lines_bronze(self) -> DataFrame:
+        """Bronze ERP order lines: ``order_line_id`` repeats (re-deliveries)."""
+        return self._lines(self._deliveries)
 
-    @staticmethod
-    def _latest(bronze: DataFrame) -> DataFrame:
-        """Keep-latest per order line.  ``order_line_id`` is built injectively
-        from (l_orderkey, l_linenumber), so deduplicating on the numeric pair
-        is the same partition of rows — and matches how small scans are
-        spread, so the window needs no second shuffle.  The tie-break
-        columns are dropped after use (nothing downstream reads them)."""
-        return keep_latest(bronze, LINE_KEY, LATEST_ORDER).drop(*LINE_KEY, *LATEST_ORDER[1:])
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Raw ERP extract: the last delivery per ``order_line_id``."""
+        return self._keep("raw_order_lines", self._latest_lines(self._deliveries))
 
     # --- shipments -----------------------------------------------------------
     @cached_property
     def order_weights(self) -> DataFrame:
-        """Shipped kilograms per order (generator's order weight rollup, L1)."""
+        """Shipped kilograms per order, rounded to two places (L1)."""
         return (self.order_lines.groupBy("order_id")
                 .agg(F.sum(F.col("units_shipped") * F.col("unit_weight_kg"))
-                     .cast("decimal(18,3)").alias("kg")))
+                     .cast("decimal(18,2)").alias("kg")))
 
     @cached_property
     def shipments(self) -> DataFrame:
@@ -199,24 +201,33 @@ class SourceContract:
                 .groupBy(F.trunc("order_date", "month").alias("snapshot_date"), "warehouse", "sku")
                 .agg(F.sum("units_ordered").alias("units")))
 
+    @cached_property
+    def _axes(self) -> DataFrame:
+        """One row: the months from the first to the last order and the
+        warehouses by name, as arrays (bounded by the calendar and by the
+        number of warehouses)."""
+        return self.order_headers.agg(
+            F.expr("sequence(trunc(min(order_date), 'month'), trunc(max(order_date), 'month'), interval 1 month)").alias("months"),
+            F.array_sort(F.collect_set("warehouse")).alias("warehouses"))
+
+    @staticmethod
+    def _cells(df: DataFrame) -> DataFrame:
+        """``df`` (with the axes) once per month and warehouse, whether or not
+        the warehouse has orders in the month."""
+        return (df.select("*", F.explode("months").alias("snapshot_date"))
+                .select("*", F.posexplode("warehouses").alias("wi", "warehouse")).drop("months", "warehouses"))
+
     @cached_property
     def demand_grid(self) -> DataFrame:
-        """Dense (month, warehouse) x SKU grid; missing demand is 0 (L3).
-
-        The cells are the months in which a warehouse has orders, from the
-        data: one aggregated array (bounded by the calendar and the warehouse
-        count), exploded per product.  That is a generator, not a cross join,
-        so output grows linearly with the product table.  Month and warehouse
-        are functions of the order, so the bronze lines give the same cells
-        as the deduplicated ones.
-        """
-        cell = F.struct(F.trunc("order_date", "month").alias("snapshot_date"), "warehouse")
-        bounds = self.order_lines_bronze.select(F.struct(
-            F.collect_set(cell).alias("cells"),
-            F.array_sort(F.collect_set("warehouse")).alias("warehouses"))).scalar()
-        grid = (self.products.select("sku", "p_partkey", "unit_price")
-                .select("*", F.inline(bounds["cells"]))
-                .withColumn("wi", (F.array_position(bounds["warehouses"], F.col("warehouse")) - 1).cast("int")))
+        """Dense month x warehouse x SKU grid; missing demand is 0 (L3).
+
+        The axes are generated from the orders alone and exploded per product:
+        a generator, not a cross join, so output grows linearly with the
+        product table."""
+        axes = self._axes
+        grid = self._cells(self.products.select(
+            "sku", "p_partkey", "unit_price", axes.select("months").scalar().alias("months"),
+            axes.select("warehouses").scalar().alias("warehouses")))
         units = F.coalesce(F.col("units"), F.lit(0).cast("bigint"))
         return (grid.join(self.monthly_demand, ["snapshot_date", "warehouse", "sku"], "left")
                 .select("snapshot_date", "warehouse", "sku", "p_partkey", "unit_price",
@@ -232,7 +243,7 @@ class SourceContract:
                + (k * 11 + mi * 5 + wi) % 17 - 8)
         on_hand = F.when(raw < 0, F.lit(0)).otherwise(raw).cast("int")
         return (g.select("snapshot_date", "warehouse", "sku", "unit_price",
-                         F.col("avg_daily").cast("decimal(18,3)").alias("average_daily_demand"),
+                         F.col("avg_daily").cast("decimal(18,4)").alias("average_daily_demand"),
                          on_hand.alias("on_hand_units"))
                 .select("snapshot_date", "warehouse", "sku", "average_daily_demand", "on_hand_units",
                         (F.col("on_hand_units") * F.col("unit_price") * F.lit(0.55).cast("decimal(4,2)"))
@@ -250,12 +261,14 @@ class SourceContract:
 
     @cached_property
     def warehouse_activity(self) -> DataFrame:
-        """Monthly units shipped and labor hours per warehouse (L4)."""
-        units = F.sum("units_shipped")
-        return (self.order_lines.groupBy(F.trunc("order_date", "month").alias("activity_date"), "warehouse")
-                .agg(units.cast("bigint").alias("units_processed"),
-                     F.greatest(F.lit(80.0), units.cast("double") / 26)
-                     .cast("decimal(18,2)").alias("labor_hours")))
+        """Units shipped and labor hours of every month and warehouse, the
+        months in which a warehouse ships nothing included (L4)."""
+        shipped = (self.order_lines.groupBy(F.trunc("order_date", "month").alias("snapshot_date"), "warehouse")
+                   .agg(F.sum("units_shipped").cast("bigint").alias("units")))
+        units = F.coalesce("units", F.lit(0).cast("bigint"))
+        return (self._cells(self._axes).join(shipped, ["snapshot_date", "warehouse"], "left")
+                .select(F.col("snapshot_date").alias("activity_date"), "warehouse", units.alias("units_processed"),
+                        F.greatest(F.lit(80.0), units.cast("double") / 26).cast("decimal(18,2)").alias("labor_hours")))
 
     # --- fixtures for tolerant staging, merges and events ----------------------
     @cached_property
@@ -279,15 +292,13 @@ class SourceContract:
 
     @cached_property
     def merge_target(self) -> DataFrame:
-        b = self.order_lines_bronze.filter(
-            F.col("ingestion_timestamp") < F.lit(MERGE_TARGET_BEFORE).cast("timestamp_ntz"))
-        return self._latest(b)
+        return self._latest_lines(self._deliveries.filter(
+            F.col("l_shipdate") < F.lit(MERGE_TARGET_BEFORE).cast("timestamp_ntz")))
 
     @cached_property
     def merge_source(self) -> DataFrame:
-        b = self.order_lines_bronze.filter(
-            F.col("ingestion_timestamp") >= F.lit(MERGE_SOURCE_FROM).cast("timestamp_ntz"))
-        return self._latest(b)
+        return self._latest_lines(self._deliveries.filter(
+            F.col("l_shipdate") >= F.lit(MERGE_SOURCE_FROM).cast("timestamp_ntz")))
 
     def extracts(self) -> "LazyExtracts":
         """The eight raw extracts under the reference's names (built on access)."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 S, I, L, D, B, DBL = T.StringType(), T.IntegerType(), T.LongType(), T.DateType(), T.BooleanType(), T.DoubleType()
-M2, M3 = T.DecimalType(18, 2), T.DecimalType(18, 3)
+M2, M3, M4 = T.DecimalType(18, 2), T.DecimalType(18, 3), T.DecimalType(18, 4)
 
 
 def _schema(*fields) -> T.StructType:
@@ -32,9 +32,9 @@ EXTRACTS: dict[str, tuple[str, T.StructType]] = {
     "tms_shipments": ("tms_shipments.csv", _schema(
         ("shipment_id", S), ("order_id", S), ("carrier", S), ("warehouse", S), ("order_date", D),
         ("ship_date", D), ("delivery_date", D), ("promised_date", D), ("on_time", B),
-        ("shipment_weight_kg", M3), ("freight_cost", M2), ("handling_cost", M2), ("exception_cost", M2))),
+        ("shipment_weight_kg", M2), ("freight_cost", M2), ("handling_cost", M2), ("exception_cost", M2))),
     "wms_inventory_snapshots": ("wms_inventory_snapshots.csv", _schema(
-        ("snapshot_date", D), ("warehouse", S), ("sku", S), ("average_daily_demand", M3),
+        ("snapshot_date", D), ("warehouse", S), ("sku", S), ("average_daily_demand", M4),
         ("on_hand_units", I), ("inventory_value", M2))),
     "demand_forecasts": ("demand_forecasts.csv", _schema(
         ("month", D), ("warehouse", S), ("sku", S), ("forecast_units", I), ("actual_units", I))),

@@ -4,27 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lading.functions.joins import estimated_bytes
-
-# Inputs below this size may be a single Parquet row group (one effective
-# scan task however many cores there are); they are spread round-robin so the
-# per-row work that follows (joins, map-side dedup sorts) runs on every core.
-# Larger inputs already split into many scan tasks and are read as they are.
-SPREAD_BELOW_BYTES = 512 * 1024 * 1024
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread_small(df: DataFrame, keys=(), max_bytes: int = SPREAD_BELOW_BYTES) -> DataFrame:
-    """Spread a small scan over all cores, hashed on ``keys`` (column names
-    or expressions) when given, so a later operator partitioned the same way
-    needs no second shuffle.  Large scans are returned as they are: their
-    splits already parallelise, and their per-key operators keep map-side
-    partial aggregation / limits."""
-    size = estimated_bytes(df)
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if size is not None and size <= max_bytes and parallelism > 1:
-        return df.repartition(parallelism, *keys)
-    return df

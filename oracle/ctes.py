@@ -86,25 +86,26 @@ select concat('S', substr(h.order_id, 2)) shipment_id, h.order_id,
        cast(4 + (o_orderkey % 15) as decimal(18,2)) handling_cost,
        cast(case when h.delay_days > 0 then 5 + (o_orderkey % 56) else 0 end as decimal(18,2)) exception_cost
 from src_order_headers h
-join (select order_id, cast(sum(units_shipped * unit_weight_kg) as decimal(18,3)) kg
+join (select order_id, cast(sum(units_shipped * unit_weight_kg) as decimal(18,2)) kg
       from lines group by order_id) w on h.order_id = w.order_id""", "src_order_headers", "lines")
 
 cte("src_demand_grid", """
 select m.month_start snapshot_date, w.warehouse, p.sku, p.p_partkey, p.unit_price, month(m.month_start) mi, w.wi,
        coalesce(d.units, 0) monthly_demand,
        cast(coalesce(d.units, 0) as double) / day(last_day(m.month_start)) avg_daily
-from (select distinct cast(date_trunc('month', order_date) as date) month_start, warehouse from lines) m
-join (select warehouse, row_number() over (order by warehouse) - 1 wi
-      from (select distinct warehouse from lines) names) w on w.warehouse = m.warehouse
+from (select cast(unnest(generate_series(date_trunc('month', min(order_date)), date_trunc('month', max(order_date)), interval 1 month)) as date) month_start
+      from src_order_headers) m
+cross join (select warehouse, row_number() over (order by warehouse) - 1 wi
+            from (select distinct warehouse from src_order_headers) names) w
 cross join src_products p
 left join (select year(order_date) y, month(order_date) mo, warehouse, sku, sum(units_ordered) units
            from lines group by year(order_date), month(order_date), warehouse, sku) d
-  on d.y = year(m.month_start) and d.mo = month(m.month_start) and d.warehouse = w.warehouse and d.sku = p.sku""", "src_products", "lines")
+  on d.y = year(m.month_start) and d.mo = month(m.month_start) and d.warehouse = w.warehouse and d.sku = p.sku""", "src_products", "src_order_headers", "lines")
 
 cte("src_inventory", """
 select snapshot_date, warehouse, sku, average_daily_demand, on_hand_units,
        cast(on_hand_units * unit_price * cast(0.55 as decimal(4,2)) as decimal(18,2)) inventory_value
-from (select snapshot_date, warehouse, sku, unit_price, cast(avg_daily as decimal(18,3)) average_daily_demand,
+from (select snapshot_date, warehouse, sku, unit_price, cast(avg_daily as decimal(18,4)) average_daily_demand,
              cast(greatest(0, floor(avg_daily * (5 + (p_partkey*7 + mi*3 + wi) % 21))
                               + (p_partkey*11 + mi*5 + wi) % 17 - 8) as integer) on_hand_units
       from src_demand_grid) t""", "src_demand_grid")
@@ -116,11 +117,14 @@ select snapshot_date "month", warehouse, sku,
 from src_demand_grid""", "src_demand_grid")
 
 cte("src_warehouse_activity", """
-select make_date(cast(year(order_date) as integer), cast(month(order_date) as integer), 1) activity_date, warehouse,
-       cast(sum(units_shipped) as bigint) units_processed,
-       cast(greatest(cast(80 as double), cast(sum(units_shipped) as double) / 26) as decimal(18,2)) labor_hours
-from lines
-group by make_date(cast(year(order_date) as integer), cast(month(order_date) as integer), 1), warehouse""", "lines")
+select m.month_start activity_date, w.warehouse, coalesce(a.units, 0) units_processed,
+       cast(greatest(cast(80 as double), cast(coalesce(a.units, 0) as double) / 26) as decimal(18,2)) labor_hours
+from (select cast(unnest(generate_series(date_trunc('month', min(order_date)), date_trunc('month', max(order_date)), interval 1 month)) as date) month_start
+      from src_order_headers) m
+cross join (select distinct warehouse from src_order_headers) w
+left join (select year(order_date) y, month(order_date) mo, warehouse, cast(sum(units_shipped) as bigint) units
+           from lines group by year(order_date), month(order_date), warehouse) a
+  on a.y = year(m.month_start) and a.mo = month(m.month_start) and a.warehouse = w.warehouse""", "src_order_headers", "lines")
 
 cte("src_stg_dirty", """
 select concat(' ', order_line_id, ' ') order_line_id, order_id, customer_id, warehouse, sku,

@@ -248,10 +248,10 @@ select count(*) filter (where not (unit_fill_rate between 0 and 1)) as invalid_f
 from {_BROKEN}""", "order_facts")
 
 ORACLE["order_weight"] = with_ctes("""
-select order_id, sum(units_shipped * unit_weight_kg)::decimal(18,3) as kg from lines group by order_id""", "lines")
+select order_id, sum(units_shipped * unit_weight_kg)::decimal(18,2) as kg from lines group by order_id""", "lines")
 
 ORACLE["demand_grid"] = with_ctes("""
-select snapshot_date, warehouse, sku, monthly_demand::bigint as monthly_demand, avg_daily
+select snapshot_date, warehouse, sku, monthly_demand::bigint as monthly_demand, avg_daily::decimal(18,4) as avg_daily
 from src_demand_grid""", "src_demand_grid")
 
 ORACLE["warehouse_activity"] = with_ctes("select * from src_warehouse_activity", "src_warehouse_activity")
