@@ -11,22 +11,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lading.functions.joins import estimated_bytes
+from lading.operators.running import global_positions, range_count
 
 
-def export_ordered_csv(df: DataFrame, path: str, order_by: Sequence[str],
-                       single_file: bool = False) -> None:
+ROWS_PER_FILE = 1_000_000
+
+
+def export_ordered_csv(df: DataFrame, path: str, order_by: Sequence[str], rows_per_file: int = ROWS_PER_FILE) -> None:
     """A5: ``copy (select ... order by ...) to csv`` (NULLs last).
 
-    ``orderBy`` is a range shuffle: part files are ordered and their
-    concatenation is the ordered relation, whatever its size.  A caller that
-    knows its relation to be small may ask for a ``single_file``; the sort
-    still runs in parallel and only the write is one task.
+    Part files are ordered and their concatenation is the ordered relation,
+    whatever its size.  Split points are ranks (every ``rows_per_file`` rows),
+    not sampled keys, and the other columns break ties, so two exports of the
+    same rows have byte-equal part files.
     """
-    ordered = df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
-    if single_file:
-        # a checkpointed range sort, then the ordered parts in one writer
-        ordered = ordered.checkpoint().coalesce(1)
-    ordered.write.mode("overwrite").option("header", True).csv(path)
+    total_order = [*order_by, *(c for c in df.columns if c not in order_by)]
+    placed = global_positions(df, total_order, "_pos")
+    files = placed.agg(F.max("_pos")).first()[0] or 1          # one number
+    file_of = ((F.col("_pos") - 1) / rows_per_file).cast("int")
+    (placed.repartitionById(-(-files // rows_per_file), file_of).sortWithinPartitions("_pos").drop("_pos")
+     .write.mode("overwrite").option("header", True).csv(path))
+
+
+def write_clustered(df: DataFrame, path: str, cluster_cols: Sequence[str], tasks: int | None = None) -> None:
+    """``cluster by (...)`` without folders.
+
+    Rows are range-partitioned and sorted on the cluster columns, so the
+    Parquet min/max statistics of files and row groups are narrow and hardly
+    overlap: a read with a range on the leading column skips the other files'
+    row groups.  A hot value is cut by the columns after it."""
+    keys = list(cluster_cols)
+    (df.repartitionByRange(tasks or range_count(df), *keys).sortWithinPartitions(*keys)
+     .write.mode("overwrite").parquet(path))
 
 
 @contextmanager

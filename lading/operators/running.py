@@ -3,103 +3,108 @@
 A plain ``Window.partitionBy(k).orderBy(o)`` puts every row of one key in one
 task; AQE cannot split window partitions.  With one customer (or the whole
 table, for a global order) holding a third of all rows, that task becomes the
-job.  The operators here decompose the ordered sequence into *blocks* — a
-monotone coarsening of the order key — so that:
-
-1. per-block counts/sums are a partially aggregated group-by (small output);
-2. block offsets are an exclusive prefix over the block table (one row per
-   block; how far that is below one row per input row depends on the
-   coarsening);
-3. the rows are shuffled by block and ranked inside the block, plus offset.
-
-NULL order keys sort last, as in the warehouses.  Results equal the plain
-window exactly (integer counts, exact decimals).
+job.  The operators here are a distributed prefix scan:
+
+1. the rows are sorted into ranges of the full order (sampled splitters, so a
+   hot key is cut by what follows it in the order) and written once, each row
+   with its range and its place there;
+2. per range, counts and sums are one aggregate; what a range inherits from
+   the ranges before it is a prefix over at most one row per range and key
+   that crosses into it;
+3. the window runs inside a range, plus that carry.
+
+The size of a range does not depend on the values of the keys: constant
+prefixes, random ids and hot keys are cut alike.  NULL order keys sort last,
+as in the warehouses.  Results equal the plain window exactly (integer counts,
+exact decimals).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lading.functions.joins import broadcast_if_small
+from lading.functions.joins import estimated_bytes
+from lading.operators.materialize import Materializer
 
 _PRE = Window.unboundedPreceding
+RANGE_BYTES = 128 * 1024 * 1024
+_RANGE, _NTH = "_range", "_nth"
+
 
+def range_count(df: DataFrame) -> int:
+    """Ranges of a sort: four per core, one per ``RANGE_BYTES`` of estimated
+    input beyond that, at most the session's shuffle partitions (the estimate
+    of a join is the product of its inputs)."""
+    spark = df.sparkSession
+    least = 4 * spark.sparkContext.defaultParallelism
+    most = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return min(most, max(least, (estimated_bytes(df) or 0) // RANGE_BYTES))
 
-def id_prefix(c: str, length: int = 7) -> Column:
-    """Fixed-length prefix of a string id: monotone in lexicographic order,
-    so it is a valid coarsening of an ordering that ends in that id.  For
-    zero-padded ids like ``O000123456`` length 7 groups 1,000 ids."""
-    return F.substring(F.col(c), 1, length)
+
+def ordered_ranges(df: DataFrame, order_by: Sequence[str], ranges: int | None = None, keep: Materializer | None = None) -> DataFrame:
+    """``df`` sorted into ranges and written once to the shared folder, with
+    the number of the row's range and its place there, from 0.  The rank of a
+    row is the number of rows in earlier ranges plus its place."""
+    keys = [F.col(c).asc_nulls_last() for c in order_by]
+    keep = keep or Materializer(df.sparkSession)
+    rows = df.repartitionByRange(ranges or range_count(df), *keys).sortWithinPartitions(*keys)
+    at = F.monotonically_increasing_id()                     # partition in the upper 31 bits, place in the lower 33
+    written = keep(f"ordered-{uuid.uuid4().hex[:8]}", rows.withColumn("_at", at))
+    return (written.withColumns({_RANGE: F.shiftright("_at", 33), _NTH: F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+            .drop("_at"))
 
 
 def running_rank_and_sum(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
-                         value: str, rank_name: str, sum_name: str,
-                         coarse: Sequence[Column]) -> DataFrame:
+                         value: str, rank_name: str, sum_name: str, ranges: int | None = None) -> DataFrame:
     """``row_number()`` and ``sum(value) rows unbounded preceding`` per partition.
 
-    ``coarse`` are expressions of the ordering columns that are monotone
-    non-decreasing in ``order_by`` (e.g. the date and an id prefix).  Ties in
-    ``order_by`` must not exist (callers end it with a unique id).
-
-    The block is one struct column used both as the join key and as the
-    window partition: a partitioning on the partition key alone (which a
-    runtime broadcast of either join side can leave behind) then never
-    satisfies the window, so the rows of a hot key are always spread by block.
+    Only the key that a range begins with can have rows in earlier ranges, so
+    the carries are at most one row per range (and the totals behind them at
+    most two); they are broadcast.  Ties in ``order_by`` must not exist
+    (callers end it with a unique id).
     """
     part = list(partition_by)
-    bnames = [f"_b{i}" for i in range(len(coarse))]
-    blk = F.struct(*[F.col(c) for c in part], *[c.alias(n) for c, n in zip(coarse, bnames)])
-    blocked = df.withColumn("_blk", blk)
-
-    per_block = (blocked.groupBy("_blk")
-                 .agg(F.count(F.lit(1)).alias("_n"),
-                      F.count(value).alias("_nn"),
-                      F.sum(value).alias("_s")))
-    prior = (Window.partitionBy(*[F.col(f"_blk.{c}") for c in part])
-             .orderBy(*[F.col(f"_blk.{n}").asc_nulls_last() for n in bnames]).rowsBetween(_PRE, -1))
-    offsets = per_block.select(
-        "_blk",
-        F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off_n"),
-        F.coalesce(F.sum("_nn").over(prior), F.lit(0)).alias("_off_nn"),
-        F.sum("_s").over(prior).alias("_off_s"))
-
-    inside = Window.partitionBy("_blk").orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    rows = ordered_ranges(df, [*part, *order_by], ranges)
+    names = {c: f"_of_{c}" for c in part}
+
+    def same(left: DataFrame, right: DataFrame):
+        out = F.lit(True)
+        for c, n in names.items():
+            out = out & left[c].eqNullSafe(right[n])
+        return out
+
+    heads = rows.where(F.col(_NTH) == 0).select(*[F.col(c).alias(n) for c, n in names.items()]).distinct()
+    total = (rows.join(F.broadcast(heads), same(rows, heads)).groupBy(_RANGE, *names.values())
+             .agg(F.count(F.lit(1)).alias("_n"), F.count(value).alias("_nn"), F.sum(value).alias("_s")))
+    prior = Window.partitionBy(*names.values()).orderBy(_RANGE).rowsBetween(_PRE, -1)
+    carry = total.select(F.col(_RANGE).alias("_into"), *names.values(), F.sum("_n").over(prior).alias("_off_n"),
+                         F.sum("_nn").over(prior).alias("_off_nn"), F.sum("_s").over(prior).alias("_off_s")).where("_off_n > 0")
+
+    inside = Window.partitionBy(_RANGE, *part).orderBy(_NTH)
     running = inside.rowsBetween(_PRE, 0)
-    joined = blocked.join(broadcast_if_small(offsets), "_blk")
-    nn = F.col("_off_nn") + F.count(value).over(running)
-    total = F.coalesce(F.col("_off_s"), F.lit(0)) + F.coalesce(F.sum(value).over(running), F.lit(0))
-    return (joined.withColumns({rank_name: F.col("_off_n") + F.row_number().over(inside),
-                                sum_name: F.when(nn > 0, total)})
-            .drop("_blk", "_off_n", "_off_nn", "_off_s"))
-
-
-def global_positions(df: DataFrame, date_col: str, id_col: str, pos_name: str = "_pos",
-                     prefix_len: int = 7) -> DataFrame:
-    """1-based global position in ``order by date_col, id_col`` without a
-    single-partition window over the rows.
-
-    Level 1: rows per date (bounded by the calendar) -> exclusive prefix.
-    Level 2: rows per (date, id prefix) block -> prefix inside the date.
-    Level 3: row_number inside the block (a struct key, see above).
-    """
-    blocked = df.withColumn("_blk", F.struct(F.col(date_col).alias("d"), id_prefix(id_col, prefix_len).alias("p")))
-    per_block = blocked.groupBy("_blk").agg(F.count(F.lit(1)).alias("_n"))
-    per_day = per_block.groupBy(F.col("_blk.d").alias("_d")).agg(F.sum("_n").alias("_dn"))
-    day_off = per_day.select(
-        "_d", F.coalesce(F.sum("_dn").over(Window.orderBy(F.col("_d").asc_nulls_last()).rowsBetween(_PRE, -1)), F.lit(0)).alias("_doff"))
-    in_day = Window.partitionBy(F.col("_blk.d")).orderBy(F.col("_blk.p").asc_nulls_last()).rowsBetween(_PRE, -1)
-    blk_off = (per_block
-               .select("_blk", F.col("_blk.d").alias("_bd"),
-                       F.coalesce(F.sum("_n").over(in_day), F.lit(0)).alias("_boff"))
-               .join(broadcast_if_small(day_off), F.col("_bd").eqNullSafe(F.col("_d")))
-               .select("_blk", (F.col("_doff") + F.col("_boff")).alias("_off")))
-    w = Window.partitionBy("_blk").orderBy(F.col(id_col).asc_nulls_last())
-    return (blocked.join(broadcast_if_small(blk_off), "_blk")
-            .withColumn(pos_name, F.col("_off") + F.row_number().over(w))
-            .drop("_blk", "_off"))
+    joined = rows.join(F.broadcast(carry), (rows[_RANGE] == carry["_into"]) & same(rows, carry), "left")
+    zero = F.lit(0)
+    nn = F.coalesce("_off_nn", zero) + F.count(value).over(running)
+    sums = F.coalesce("_off_s", zero) + F.coalesce(F.sum(value).over(running), zero)
+    return (joined.withColumns({rank_name: F.coalesce("_off_n", zero) + F.row_number().over(inside),
+                                sum_name: F.when(nn > 0, sums)})
+            .drop(_RANGE, _NTH, "_into", *names.values(), "_off_n", "_off_nn", "_off_s"))
+
+
+def global_positions(df: DataFrame, order_by: Sequence[str], pos_name: str = "_pos", ranges: int | None = None,
+                     keep: Materializer | None = None) -> DataFrame:
+    """1-based position of every row in ``order_by``, without a window over
+    the rows: rows of earlier ranges (one broadcast row per range) plus the
+    place in its own."""
+    rows = ordered_ranges(df, order_by, ranges, keep)
+    held = rows.groupBy(F.col(_RANGE).alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    before = held.select("_of", F.coalesce(F.sum("_n").over(Window.orderBy("_of").rowsBetween(_PRE, -1)), F.lit(0)).alias("_off"))
+    return (rows.join(F.broadcast(before), rows[_RANGE] == before["_of"])
+            .withColumn(pos_name, F.col("_off") + F.col(_NTH) + 1).drop("_of", "_off", _RANGE, _NTH))
 
 
 def rolling_by_position(df: DataFrame, pos: str, value: str, preceding: int, out: str,

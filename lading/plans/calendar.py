@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lading.functions.exprs import full_day_name
+from lading.functions.joins import broadcast_if_small
 
 
 def date_spine(lines: DataFrame, shipments: DataFrame) -> DataFrame:
@@ -34,3 +35,12 @@ def dim_date(lines: DataFrame, shipments: DataFrame) -> DataFrame:
         F.weekofyear(d).alias("calendar_week"),
         full_day_name(d).alias("day_name"),
         F.dayofweek(d).isin(1, 7).alias("is_weekend"))
+
+
+def revenue_by_day(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """Lines and revenue on each of ``days`` (a filtered calendar).  Over a
+    fact in folders by date, the filtered days are found first and only their
+    folders are read (dynamic partition pruning)."""
+    return (fact.join(broadcast_if_small(days.select("calendar_date", "day_name")), fact["order_date"] == F.col("calendar_date"))
+            .groupBy("calendar_date", "day_name")
+            .agg(F.count(F.lit(1)).alias("lines"), F.sum("revenue").cast("decimal(38,2)").alias("revenue")))

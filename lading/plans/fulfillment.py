@@ -2,45 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lading.functions.exprs import flag, ratio, round6
 from lading.functions.joins import broadcast_if_small
-from lading.operators.running import (global_positions, id_prefix, rolling_by_position,
-                                      running_rank_and_sum)
+from lading.operators.running import global_positions, rolling_by_position, running_rank_and_sum
 
 SHIPMENT_COLUMNS = ("order_id", "shipment_id", "carrier", "ship_date", "delivery_date",
                     "shipment_weight_kg", "freight_cost", "handling_cost", "exception_cost")
 
 
+ORDER_KEY = ("order_id", "customer_id", "warehouse")
+
+
+def _totals(revenue: str) -> list[Column]:
+    """First order date, latest promise, unit and revenue sums of an order."""
+    return [F.min("order_date").alias("order_date"), F.max("promised_date").alias("promised_date"),
+            F.sum("units_ordered").cast("bigint").alias("units_ordered"),
+            F.sum("units_shipped").cast("bigint").alias("units_shipped"),
+            F.sum("revenue").cast("decimal(38,2)").alias(revenue)]
+
+
 def order_rollup(lines: DataFrame) -> DataFrame:
     """Order-grain rollup of order lines (grouped by order, customer, warehouse).
 
     A hash aggregate with map-side partial aggregation: a hot order is
     combined per map task before the shuffle.
     """
-    return (lines.groupBy("order_id", "customer_id", "warehouse")
-            .agg(F.min("order_date").alias("order_date"),
-                 F.max("promised_date").alias("promised_date"),
-                 F.sum("units_ordered").cast("bigint").alias("units_ordered"),
-                 F.sum("units_shipped").cast("bigint").alias("units_shipped"),
-                 F.sum("revenue").cast("decimal(38,2)").alias("recognized_revenue"),
-                 F.sum(F.col("units_shipped") * F.col("unit_weight_kg"))
-                 .cast("decimal(38,3)").alias("calculated_shipped_weight_kg"),
-                 F.count(F.lit(1)).alias("order_line_count")))
+    return lines.groupBy(*ORDER_KEY).agg(
+        *_totals("recognized_revenue"),
+        F.sum(F.col("units_shipped") * F.col("unit_weight_kg")).cast("decimal(38,3)").alias("calculated_shipped_weight_kg"),
+        F.count(F.lit(1)).alias("order_line_count"))
 
 
 def order_totals(lines: DataFrame) -> DataFrame:
-    """Order-level totals (first order date, latest promise, unit and revenue
-    sums) per (order, customer, warehouse); shared by the warehouse-style
-    service mart and the gold job."""
-    return (lines.groupBy("order_id", "customer_id", "warehouse")
-            .agg(F.min("order_date").alias("order_date"),
-                 F.max("promised_date").alias("promised_date"),
-                 F.sum("units_ordered").cast("bigint").alias("units_ordered"),
-                 F.sum("units_shipped").cast("bigint").alias("units_shipped"),
-                 F.sum("revenue").cast("decimal(38,2)").alias("revenue")))
+    """The totals alone, for lines without a weight (the warehouse-style
+    service mart and the gold job)."""
+    return lines.groupBy(*ORDER_KEY).agg(*_totals("revenue"))
 
 
 def service_flag_columns() -> dict:
@@ -89,12 +88,12 @@ def order_facts(lines: DataFrame, customers: DataFrame, shipments: DataFrame) ->
 
 def with_customer_history(facts: DataFrame) -> DataFrame:
     """Customer order number and lifetime revenue (running over the
-    customer's orders by date, then id).  Uses the block-decomposed running
-    window so that a customer with a large share of all orders is not one task."""
+    customer's orders by date, then id).  A prefix scan over ranges of
+    (customer, date, order), so a customer with a large share of all orders is
+    not one task; the facts are written once, in that order."""
     history = running_rank_and_sum(
         facts, ["customer_id"], ["order_date", "order_id"], "recognized_revenue",
-        "customer_order_number", "customer_lifetime_revenue",
-        coarse=[F.col("order_date"), id_prefix("order_id")])
+        "customer_order_number", "customer_lifetime_revenue")
     return history.select(*[
         F.col(c).cast("bigint").alias(c) if c == "customer_order_number"
         else F.col(c).cast("decimal(38,2)").alias(c) if c == "customer_lifetime_revenue"
@@ -107,6 +106,16 @@ def mart_order_fulfillment(lines: DataFrame, customers: DataFrame, shipments: Da
     return with_customer_history(order_facts(lines, customers, shipments))
 
 
+def order_shipments(lines: DataFrame, shipments: DataFrame) -> DataFrame:
+    """Units and revenue per shipped order with its carrier.  The rollup and
+    the join are both on the order alone: over tables bucketed by it neither
+    needs an exchange, and each bucket is joined as it lies on disk."""
+    rolled = lines.groupBy("order_id").agg(
+        F.sum("units_shipped").cast("bigint").alias("units_shipped"), F.sum("revenue").cast("decimal(38,2)").alias("revenue"))
+    ship = shipments.select("order_id", "carrier", "delivery_date", "freight_cost")
+    return rolled.hint("merge").join(ship, "order_id")
+
+
 MART_ORDER_COLUMNS = (
     "order_id", "customer_id", "warehouse", "order_date", "promised_date", "units_ordered",
     "units_shipped", "recognized_revenue", "calculated_shipped_weight_kg", "order_line_count",
@@ -186,13 +195,14 @@ def service_mart_rolling(lines: DataFrame, shipments: DataFrame, block_rows: int
 
     The reference orders the 30-row frame by order date only (ties are
     undefined); ties are broken by ``order_id`` here.  The frame runs over
-    every order, so positions are computed by blocks and the rolling average
-    by halo blocks (``lading.operators.running``) — no single-partition
-    window over the orders.
+    every order: the scored orders are written once in ranges of that order,
+    their positions follow from the counts of the ranges, and the rolling
+    average runs in blocks of positions with a halo
+    (``lading.operators.running``) — no single-partition window over the orders.
     """
     ship = shipments.select("order_id", "carrier", "delivery_date", "freight_cost", "shipment_weight_kg")
     scored = service_flags(order_totals(lines).join(ship, "order_id", "left"))
-    positioned = global_positions(scored, "order_date", "order_id")
+    positioned = global_positions(scored, ["order_date", "order_id"])
     rolled = rolling_by_position(positioned, "_pos", "otif_flag", 29, "rolling_30_order_otif",
                                  block_rows=block_rows)
     return rolled.withColumns({

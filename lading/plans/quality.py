@@ -1,11 +1,10 @@
-"""Quality report, publication gate, build summary and QA listings.
-
-All counts over one relation come from one global aggregate (partial per task,
-one row to merge), and values from other relations enter as uncorrelated scalar
-subqueries.  The report is the union of one-row frames; column pruning makes
-the branches differ, so Spark may compute a relation once per branch unless it
-was written before.  Nothing but the (bounded) list of failing
-check names ever reaches the driver.
+"""Quality report, publication gate, reconciliation, build summary and QA listings.
+
+All metrics of one relation come from one aggregate (partial per task, one row
+to merge).  The relations' metric rows meet as scalar subqueries in one row,
+which ``stack`` turns into one row per check, so every relation is computed
+once per report.  Nothing but the (bounded) list of failing check names ever
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -21,12 +20,24 @@ if TYPE_CHECKING:
 PASS, FAIL = "PASS", "FAIL"
 
 
-def _row(stats: DataFrame, name: str, actual: Column, expected: Column, ok: Column) -> DataFrame:
-    return stats.select(
-        F.lit(name).alias("check_name"),
-        F.round(actual.cast("double"), 2).alias("actual_value"),
-        F.round(expected.cast("double"), 2).alias("expected_value"),
-        F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"))
+def _metrics(relations: dict[str, tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """One row with a struct of metrics per relation."""
+    spark = next(iter(relations.values()))[0].sparkSession
+    found = [df.agg(F.struct(*[m.alias(n) for n, m in metrics.items()]).alias("m")).scalar().alias(name)
+             for name, (df, metrics) in relations.items()]
+    return spark.range(1).select(*found)
+
+
+def _stack(row: DataFrame, names: tuple[str, ...], rows: list[tuple]) -> DataFrame:
+    """One output row per tuple of expressions over the one metric row."""
+    made = F.array(*[F.struct(*[c.alias(n) for n, c in zip(names, values)]) for values in rows])
+    return row.select(F.explode(made).alias("r")).select("r.*")
+
+
+def _check(name: str, actual: Column, expected: Column, ok: Column) -> tuple:
+    def shown(c: Column) -> Column:
+        return F.round(c.cast("double"), 2)
+    return F.lit(name), shown(actual), shown(expected), F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL))
 
 
 def _count() -> Column:
@@ -48,35 +59,76 @@ def quality_checks(raw_lines: DataFrame, lines: DataFrame, shipments: DataFrame,
     A NULL fill rate or accuracy fails its range check (it is not counted as
     in range), as in the reference.
     """
-    raw_n = raw_lines.select(_count()).scalar()
-    raw_rev = raw_lines.select(F.sum("revenue")).scalar()
-
-    ls = lines.agg(_count().alias("n"), F.count_distinct("order_line_id").alias("d"),
-                   F.sum("revenue").alias("rev"))
-    ss = shipments.agg(_count().alias("n"), F.count_distinct("order_id").alias("d"))
-    ms = orders.agg(_count().alias("n"), F.count_distinct("order_id").alias("d"),
-                    F.count_if(fill_rate_in_range()).alias("fill_ok"),
-                    F.count_if(otif_consistent()).alias("otif_ok"))
-    cs = carriers.agg(_count().alias("n"))
-    fs = forecast.agg(_count().alias("n"),
-                      F.count_if(F.col("forecast_accuracy").between(-1, 1)).alias("ok"))
-    n, d = F.col("n"), F.col("d")
-    rows = [
-        _row(ls, "order_line_key_unique", n, d, n == d),
-        _row(ss, "shipment_order_unique", n, d, n == d),
-        _row(ls, "source_to_fact_order_line_count", raw_n, n, raw_n == n),
-        _row(ls, "source_to_fact_revenue_reconciliation", raw_rev, F.col("rev"),
-             F.abs(raw_rev - F.col("rev")) < F.lit(0.01)),
-        _row(ms, "mart_order_grain_unique", n, d, n == d),
-        _row(ms, "unit_fill_rate_range", F.col("fill_ok"), n, F.col("fill_ok") == n),
-        _row(ms, "otif_not_above_components", F.col("otif_ok"), n, F.col("otif_ok") == n),
-        _row(cs, "carrier_mart_non_empty", n, F.lit(1), n >= 1),
-        _row(fs, "forecast_accuracy_reasonable", F.col("ok"), n, F.col("ok") == n),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    n, d = _count(), F.count_distinct
+    row = _metrics({
+        "raw": (raw_lines, {"n": n, "rev": F.sum("revenue")}),
+        "line": (lines, {"n": n, "d": d("order_line_id"), "rev": F.sum("revenue")}),
+        "ship": (shipments, {"n": n, "d": d("order_id")}),
+        "mart": (orders, {"n": n, "d": d("order_id"), "fill_ok": F.count_if(fill_rate_in_range()),
+                          "otif_ok": F.count_if(otif_consistent())}),
+        "carrier": (carriers, {"n": n}),
+        "forecast": (forecast, {"n": n, "ok": F.count_if(F.col("forecast_accuracy").between(-1, 1))})})
+    m = F.col
+    return _stack(row, ("check_name", "actual_value", "expected_value", "status"), [
+        _check("order_line_key_unique", m("line.n"), m("line.d"), m("line.n") == m("line.d")),
+        _check("shipment_order_unique", m("ship.n"), m("ship.d"), m("ship.n") == m("ship.d")),
+        _check("source_to_fact_order_line_count", m("raw.n"), m("line.n"), m("raw.n") == m("line.n")),
+        _check("source_to_fact_revenue_reconciliation", m("raw.rev"), m("line.rev"),
+               F.abs(m("raw.rev") - m("line.rev")) < F.lit(0.01)),
+        _check("mart_order_grain_unique", m("mart.n"), m("mart.d"), m("mart.n") == m("mart.d")),
+        _check("unit_fill_rate_range", m("mart.fill_ok"), m("mart.n"), m("mart.fill_ok") == m("mart.n")),
+        _check("otif_not_above_components", m("mart.otif_ok"), m("mart.n"), m("mart.otif_ok") == m("mart.n")),
+        _check("carrier_mart_non_empty", m("carrier.n"), F.lit(1), m("carrier.n") >= 1),
+        _check("forecast_accuracy_reasonable", m("forecast.ok"), m("forecast.n"), m("forecast.ok") == m("forecast.n"))])
+
+
+# columns whose sums a reconciliation shows beside the checksum
+RECONCILED = ("order_line_id", "order_id", "sku", "units_ordered", "units_shipped", "revenue")
+
+
+def bucket_checksums(df: DataFrame, key: str, columns: tuple[str, ...], buckets: int) -> DataFrame:
+    """Rows, revenue and an order-insensitive checksum per bucket of the key:
+    the sum of a 60-bit digest of every row, so it does not depend on the
+    order of rows, and a repeated row counts twice.  NULL has a form that no
+    value has."""
+    def shown(c: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~"))
+
+    def number(text: Column) -> Column:
+        return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+    return (df.select((number(shown(key)) % buckets).cast("int").alias("bucket"), "revenue",
+                      number(F.concat_ws("|", *[shown(c) for c in columns])).alias("digest"))
+            .groupBy("bucket").agg(_count().alias("n"), F.sum("revenue").cast("decimal(38,2)").alias("revenue"),
+                                   F.sum(F.col("digest").cast("decimal(38,0)")).alias("checksum")))
+
+
+def reconcile(source: DataFrame, target: DataFrame, key: str = "order_line_id", columns: tuple[str, ...] = RECONCILED,
+              buckets: int = 1024) -> DataFrame:
+    """K3/K4 by key: the buckets in which ``source`` and ``target`` differ, with
+    both sides' rows and revenue.  Each side is one aggregate with map-side
+    partials; what meets is one row per bucket, so a difference is narrowed to
+    one bucket of keys before any rows are compared."""
+    a, b = (bucket_checksums(df, key, columns, buckets) for df in (source, target))
+    a, b = (df.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("n", "revenue", "checksum")])
+            for side, df in (("source", a), ("target", b)))
+    both = a.join(b, "bucket", "full_outer")
+    return (both.where(~F.col("source_checksum").eqNullSafe(F.col("target_checksum"))
+                       | ~F.col("source_n").eqNullSafe(F.col("target_n")))
+            .select("bucket", *[F.coalesce(F.col(f"{side}_n"), F.lit(0)).alias(f"{side}_rows") for side in ("source", "target")],
+                    "source_revenue", "target_revenue"))
+
+
+def differing_rows(source: DataFrame, target: DataFrame, differing: DataFrame, key: str = "order_line_id",
+                   columns: tuple[str, ...] = RECONCILED, buckets: int = 1024) -> DataFrame:
+    """The rows that only one side has, looked for in the differing buckets alone."""
+    def of_bucket(df: DataFrame) -> DataFrame:
+        digest = F.md5(F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("~")))
+        rows = df.select(*columns, (F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint") % buckets).cast("int").alias("bucket"))
+        return rows.join(F.broadcast(differing.select("bucket")), "bucket").drop("bucket")     # at most ``buckets`` rows
+
+    a, b = of_bucket(source), of_bucket(target)
+    return (a.exceptAll(b).withColumn("side", F.lit("source")).unionByName(b.exceptAll(a).withColumn("side", F.lit("target"))))
 
 
 def data_quality_report(wh: "Warehouse") -> DataFrame:
@@ -118,30 +170,23 @@ def export_checks(orders: DataFrame, carriers: DataFrame, report: DataFrame) ->
     ``between`` on a NULL fill rate is not true, so a NULL fails the range
     check, as a NaN does in the pandas original.
     """
-    os_ = orders.agg(_count().alias("n"), F.count_distinct("order_id").alias("d"),
-                     F.count_if(fill_rate_in_range()).alias("fill_ok"),
-                     F.count_if(otif_consistent()).alias("otif_ok"))
-    cn = carriers.select(_count()).scalar()
-    qs = report.agg(_count().alias("qn"), F.count_if(F.col("status") == PASS).alias("qp"))
-    q_n = qs.select("qn").scalar()
-    q_p = qs.select("qp").scalar()
-    n = F.col("n")
-
-    def row(name, ok, detail):
-        return os_.select(F.lit(name).alias("check_name"), ok.alias("passed"),
-                          detail.cast("string").alias("detail"))
-    rows = [
-        row("order_output_non_empty", n > 0, n),
-        row("order_id_unique", n == F.col("d"), F.col("d")),
-        row("service_metrics_in_range", F.col("fill_ok") == n, F.lit("fill rate")),
-        row("otif_logic", F.col("otif_ok") == n, F.lit("OTIF components")),
-        row("carrier_output_non_empty", cn > 0, cn),
-        row("warehouse_quality_report", q_p == q_n, q_p),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    row = _metrics({
+        "mart": (orders, {"n": _count(), "d": F.count_distinct("order_id"), "fill_ok": F.count_if(fill_rate_in_range()),
+                          "otif_ok": F.count_if(otif_consistent())}),
+        "carrier": (carriers, {"n": _count()}),
+        "report": (report, {"n": _count(), "passed": F.count_if(F.col("status") == PASS)})})
+    m = F.col
+
+    def check(name: str, ok: Column, detail: Column) -> tuple:
+        return F.lit(name), ok, detail.cast("string")
+
+    return _stack(row, ("check_name", "passed", "detail"), [
+        check("order_output_non_empty", m("mart.n") > 0, m("mart.n")),
+        check("order_id_unique", m("mart.n") == m("mart.d"), m("mart.d")),
+        check("service_metrics_in_range", m("mart.fill_ok") == m("mart.n"), F.lit("fill rate")),
+        check("otif_logic", m("mart.otif_ok") == m("mart.n"), F.lit("OTIF components")),
+        check("carrier_output_non_empty", m("carrier.n") > 0, m("carrier.n")),
+        check("warehouse_quality_report", m("report.passed") == m("report.n"), m("report.passed"))])
 
 
 def mart_violations(orders: DataFrame) -> DataFrame:

@@ -168,19 +168,34 @@ def merge_upsert_q(spark, sf_dir):
     return _merge(spark, sf_dir, False)
 
 
+# relations that several metrics of one report read, written once
+REPORTED = frozenset({"dim_customer", "fct_shipment", "order_facts"})
+
+
 @register("quality_report")
 def quality_report_q(spark, sf_dir):
-    return _wh(spark, sf_dir).data_quality_report
+    return Warehouse.from_testdata(spark, sf_dir, materialize=True, keep=REPORTED).data_quality_report
+
+
+@register("reconcile_lines")
+def reconcile_lines_q(spark, sf_dir):
+    """K3/K4 by bucket of keys: where the bronze lines (with their repeated
+    deliveries) and the clean fact differ."""
+    from lading.plans.quality import reconcile
+    c = SourceContract(spark, sf_dir)
+    return reconcile(c.order_lines_bronze, Warehouse(c.extracts()).fct_order_line)
 
 
 @register("quality_gate")
 def quality_gate_q(spark, sf_dir):
     """Failing checks when bronze (repeating keys) is published as the clean fact."""
+    from lading.operators.materialize import Materializer
     from lading.plans.quality import failing_checks
-    c = SourceContract(spark, sf_dir)
+    m = Materializer(spark)
+    c = SourceContract(spark, sf_dir, m)
     raw = c.extracts()
-    raw["erp_order_lines"] = c.order_lines_bronze
-    return failing_checks(Warehouse(raw).data_quality_report)
+    raw["erp_order_lines"] = m("bronze_order_lines", c.order_lines_bronze)
+    return failing_checks(Warehouse(raw, m, keep=REPORTED).data_quality_report)
 
 
 @register("build_summary")
@@ -196,7 +211,7 @@ def export_checks_q(spark, sf_dir):
     from lading.operators.layout import export_ordered_csv, read_csv
     from lading.plans.build import EXPORTS
     from lading.plans.quality import export_checks
-    wh = _wh(spark, sf_dir)
+    wh = Warehouse.from_testdata(spark, sf_dir, materialize=True, keep=REPORTED)
     root = _scratch(spark, "exports")
     back = {}
     for relation, frame in (("mart_order_fulfillment", wh.mart_order_fulfillment),
@@ -312,7 +327,7 @@ def _partitioned_fact(spark, sf_dir):
 
 @register("fact_partitioned")
 def fact_partitioned_q(spark, sf_dir):
-    """Date-partitioned, clustered order-line fact, read back whole."""
+    """Date-partitioned order-line fact, sorted inside its folders, read back whole."""
     from lading.operators.layout import read_partitioned_all
     d, schema = _partitioned_fact(spark, sf_dir)
     return read_partitioned_all(spark, d, schema)
@@ -342,6 +357,43 @@ def fact_bucketed_q(spark, sf_dir):
     return order_rollup(spark.table(name))
 
 
+@register("mart_clustered_read")
+def mart_clustered_read_q(spark, sf_dir):
+    """The order mart clustered by (order date, warehouse), read with a date range."""
+    from pyspark.sql import functions as F
+    from lading.operators.layout import write_clustered
+    d = _scratch(spark, "mart_clustered")
+    write_clustered(_wh(spark, sf_dir).mart_order_fulfillment, d, ["order_date", "warehouse"])
+    return spark.read.parquet(d).where(F.col("order_date").between(*[F.lit(x).cast("date") for x in PRUNED_RANGE]))
+
+
+@register("fact_dimension_pruned")
+def fact_dimension_pruned_q(spark, sf_dir):
+    """Weekend revenue of one quarter per day.  The filter is on the
+    calendar alone; its days reach the fact's scan as a dynamic partition filter."""
+    from lading.operators.layout import read_partitioned_all
+    from lading.plans.calendar import revenue_by_day
+    d, schema = _partitioned_fact(spark, sf_dir)
+    wh = Warehouse.from_testdata(spark, sf_dir, materialize=True, keep={"dim_date"})
+    days = wh.dim_date.where("calendar_year = 1995 and calendar_quarter = 2 and is_weekend")
+    return revenue_by_day(read_partitioned_all(spark, d, schema), days)
+
+
+@register("bucketed_join")
+def bucketed_join_q(spark, sf_dir):
+    """Lines and shipments bucketed alike by order, rolled up and
+    joined bucket to bucket."""
+    import uuid
+    from lading.operators.layout import write_bucketed
+    from lading.plans.fulfillment import order_shipments
+    wh = _wh(spark, sf_dir)
+    names = []
+    for frame in (wh.fct_order_line, wh.fct_shipment):
+        names.append(f"by_order_{uuid.uuid4().hex[:12]}")
+        write_bucketed(frame, names[-1], _scratch(spark, names[-1]), "order_id")
+    return order_shipments(*[spark.table(n) for n in names])
+
+
 @register("order_rollup")
 def order_rollup_q(spark, sf_dir):
     """Order-grain rollup of the clean order lines."""

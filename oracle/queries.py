@@ -297,3 +297,32 @@ from order_facts""", "order_facts")
 
 ORACLE["dedup_latest_lines"] = with_ctes(
     "select * exclude (l_partkey, l_suppkey, l_extendedprice) from lines", "lines")
+
+
+def _bucket_sql(lines: str) -> str:
+    shown = lambda c: f"coalesce('=' || cast({c} as varchar), '~')"
+    row = " || '|' || ".join(shown(c) for c in ("order_line_id", "order_id", "sku", "units_ordered", "units_shipped", "revenue"))
+    return f"""
+    select (('0x' || substr(md5({shown('order_line_id')}), 1, 15))::bigint % 1024)::integer as bucket, count(*) as n,
+           sum(revenue)::decimal(38,2) as revenue, sum(('0x' || substr(md5({row}), 1, 15))::bigint::hugeint) as checksum
+    from {lines} group by 1"""
+
+
+ORACLE["reconcile_lines"] = with_ctes(f"""
+select coalesce(s.bucket, t.bucket) as bucket, coalesce(s.n, 0) as source_rows, coalesce(t.n, 0) as target_rows,
+       s.revenue as source_revenue, t.revenue as target_revenue
+from ({_bucket_sql('src_erp_order_lines')}) s full outer join ({_bucket_sql('fct_order_line')}) t on s.bucket = t.bucket
+where s.checksum is distinct from t.checksum or s.n is distinct from t.n""", "src_erp_order_lines", "fct_order_line")
+
+ORACLE["mart_clustered_read"] = with_ctes("""
+select * from mart_order_fulfillment where order_date between date '1995-01-01' and date '1995-12-31'""", "mart_order_fulfillment")
+
+ORACLE["fact_dimension_pruned"] = with_ctes("""
+select order_date as calendar_date, dayname(order_date) as day_name, count(*) as lines, sum(revenue)::decimal(38,2) as revenue
+from fct_order_line where year(order_date) = 1995 and quarter(order_date) = 2 and isodow(order_date) in (6, 7)
+group by order_date""", "fct_order_line")
+
+ORACLE["bucketed_join"] = with_ctes("""
+select l.order_id, sum(units_shipped)::bigint as units_shipped, sum(revenue)::decimal(38,2) as revenue,
+       any_value(s.carrier) as carrier, any_value(s.delivery_date) as delivery_date, any_value(s.freight_cost) as freight_cost
+from fct_order_line l join fct_shipment s on s.order_id = l.order_id group by l.order_id""", "fct_order_line", "fct_shipment")

@@ -32,12 +32,11 @@ def _frame(spark, rows):
 
 
 @SETTINGS
-@given(rows=st.lists(ROW, min_size=1, max_size=120), prefix=st.integers(min_value=1, max_value=10))
-def test_running_rank_and_sum_property(spark, rows, prefix):
-    from lading.operators.running import id_prefix, running_rank_and_sum
+@given(rows=st.lists(ROW, min_size=1, max_size=120), ranges=st.integers(min_value=1, max_value=10))
+def test_running_rank_and_sum_property(spark, rows, ranges):
+    from lading.operators.running import running_rank_and_sum
     df = _frame(spark, rows)
-    got = running_rank_and_sum(df, ["customer_id"], ["order_date", "order_id"], "revenue", "rn", "cum",
-                               coarse=[F.col("order_date"), id_prefix("order_id", prefix)])
+    got = running_rank_and_sum(df, ["customer_id"], ["order_date", "order_id"], "revenue", "rn", "cum", ranges=ranges)
     w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
     want = df.select("order_id", F.row_number().over(w).alias("rn"),
                      F.sum("revenue").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
@@ -50,7 +49,7 @@ def test_running_rank_and_sum_property(spark, rows, prefix):
 def test_global_rolling_property(spark, rows, block, frame):
     from lading.operators.running import global_positions, rolling_by_position
     df = _frame(spark, rows)
-    pos = global_positions(df, "order_date", "order_id", prefix_len=8)
+    pos = global_positions(df, ["order_date", "order_id"], prefix_len=8)
     got = rolling_by_position(pos, "_pos", "otif_flag", frame, "r", block_rows=block)
     w = Window.orderBy("order_date", "order_id")
     want = df.select("order_id", F.row_number().over(w).alias("_pos"),

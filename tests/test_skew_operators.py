@@ -26,9 +26,8 @@ def orders(spark):
 
 
 def test_running_rank_and_sum_equals_plain_window(orders):
-    from lading.operators.running import id_prefix, running_rank_and_sum
-    got = running_rank_and_sum(orders, ["customer_id"], ["order_date", "order_id"], "revenue", "rn", "cum",
-                               coarse=[F.col("order_date"), id_prefix("order_id")])
+    from lading.operators.running import running_rank_and_sum
+    got = running_rank_and_sum(orders, ["customer_id"], ["order_date", "order_id"], "revenue", "rn", "cum")
     w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
     want = orders.select("order_id", F.row_number().over(w).alias("rn"),
                          F.sum("revenue").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
@@ -38,7 +37,7 @@ def test_running_rank_and_sum_equals_plain_window(orders):
 @pytest.mark.parametrize("block_rows", [30, 97, 10_000])
 def test_global_rolling_equals_plain_window(orders, block_rows):
     from lading.operators.running import global_positions, rolling_by_position
-    pos = global_positions(orders, "order_date", "order_id")
+    pos = global_positions(orders, ["order_date", "order_id"])
     got = rolling_by_position(pos, "_pos", "otif_flag", 29, "r", block_rows=block_rows)
     w = Window.orderBy("order_date", "order_id")
     want = orders.select("order_id", F.row_number().over(w).alias("_pos"),
@@ -79,7 +78,7 @@ def test_keep_latest_reduces_before_shuffle(spark):
 def test_hot_customer_is_spread_over_tasks(spark):
     """One customer with a third of all orders: the block-decomposed window
     spreads it, where a plain per-customer window puts it in one task."""
-    from lading.operators.running import id_prefix, running_rank_and_sum
+    from lading.operators.running import running_rank_and_sum
     rows = [(f"O{i:09d}", "HOT" if i % 3 == 0 else f"C{i % 97:03d}",
              dt.date(2025, 1, 1) + dt.timedelta(days=i % 40), Decimal(1)) for i in range(6000)]
     orders = spark.createDataFrame(rows, "order_id string, customer_id string, order_date date, revenue decimal(18,2)")
@@ -87,8 +86,7 @@ def test_hot_customer_is_spread_over_tasks(spark):
     old = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        out = running_rank_and_sum(orders, ["customer_id"], ["order_date", "order_id"], "revenue", "rn", "cum",
-                                   coarse=[F.col("order_date"), id_prefix("order_id")])
+        out = running_rank_and_sum(orders, ["customer_id"], ["order_date", "order_id"], "revenue", "rn", "cum")
         # tag the task before filtering (a nondeterministic column stops the
         # filter from being pushed below the windows)
         def by_task(df):
@@ -130,7 +128,36 @@ def test_orders_without_a_date_come_last_and_stay(spark):
     from lading.operators.running import global_positions, running_rank_and_sum
     df = spark.createDataFrame([("O1", "C", None, 1), ("O2", "C", dt.date(2025, 1, 2), 2), ("O3", "C", dt.date(2025, 1, 1), 3),
                                 ("O4", "C", None, 4)], "order_id string, customer_id string, order_date date, v long")
-    pos = {r["order_id"]: r["_pos"] for r in global_positions(df, "order_date", "order_id").collect()}
+    pos = {r["order_id"]: r["_pos"] for r in global_positions(df, ["order_date", "order_id"]).collect()}
     assert pos == {"O3": 1, "O2": 2, "O1": 3, "O4": 4}
-    run = running_rank_and_sum(df, ["customer_id"], ["order_date", "order_id"], "v", "rn", "s", coarse=[F.col("order_date")])
+    run = running_rank_and_sum(df, ["customer_id"], ["order_date", "order_id"], "v", "rn", "s")
     assert {r["order_id"]: (r["rn"], r["s"]) for r in run.collect()} == {"O3": (1, 3), "O2": (2, 5), "O1": (3, 6), "O4": (4, 10)}
+
+
+@pytest.mark.parametrize("order_id", ["concat('SAMEPREFIX-', lpad(id, 12, '0'))", "md5(string(id))"], ids=["constant prefix", "random"])
+def test_ranges_do_not_depend_on_the_form_of_ids(spark, order_id):
+    """A customer with a third of all orders, all on one day: ranges stay near
+    their mean, and rank and sum equal the plain window."""
+    from lading.operators.running import ordered_ranges, running_rank_and_sum
+    orders = spark.range(12_000).selectExpr(f"{order_id} as order_id", "if(id % 3 = 0, 'HOT', concat('C', id % 500)) as customer_id",
+                                            "date'2025-01-01' as order_date", "cast(id % 97 as decimal(18,2)) as revenue").repartition(6)
+    held = ordered_ranges(orders, ["customer_id", "order_date", "order_id"], 24).groupBy("_range").count().collect()
+    assert max(r["count"] for r in held) < 2 * 12_000 / 24
+    got = running_rank_and_sum(orders, ["customer_id"], ["order_date", "order_id"], "revenue", "rn", "cum", ranges=24)
+    w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
+    want = orders.select("order_id", F.row_number().over(w).alias("rn"),
+                         F.sum("revenue").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
+    assert sorted(got.select("order_id", "rn", "cum").collect()) == sorted(want.collect())
+
+
+def test_null_customers_are_one_partition(spark):
+    from lading.operators.running import running_rank_and_sum
+    orders = spark.range(300).selectExpr("concat('O', lpad(id, 5, '0')) as order_id", "if(id % 2 = 0, null, 'C') as customer_id",
+                                         "if(id % 5 = 0, null, id) as v")
+    rows = running_rank_and_sum(orders, ["customer_id"], ["order_id"], "v", "rn", "s", ranges=7).collect()
+    for customer in (None, "C"):
+        mine = sorted((r for r in rows if r["customer_id"] == customer), key=lambda r: r["order_id"])
+        total, seen = 0, False
+        for k, r in enumerate(mine):
+            seen, total = seen or r["v"] is not None, total + (r["v"] or 0)
+            assert (r["rn"], r["s"]) == (k + 1, total if seen else None)
