@@ -15,18 +15,13 @@ CONF_KEY = "lading.broadcast.maxBytes"
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (None if unavailable, e.g. Connect)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # noqa: BLE001 - Connect sessions expose no JVM plan
+    if not hasattr(df, "_jdf"):                               # Connect sessions expose no JVM plan
         return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    try:
-        value = df.sparkSession.conf.get(CONF_KEY, None)
-    except Exception:  # noqa: BLE001
-        value = None
+    value = df.sparkSession.conf.get(CONF_KEY, None)
     return int(value) if value else DEFAULT_BROADCAST_BYTES
 
 

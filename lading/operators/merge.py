@@ -5,6 +5,10 @@ Stock Spark cannot MERGE into a Parquet table, so a merge produces the next
 partitioned by it, so each key meets its counterpart in one task), then a
 per-row choice of the surviving values.  The caller writes the version to a
 new location and swaps; the path being read is never overwritten.
+
+A large target lies in folders by a hash of the key (``write_folders``).  A
+merge then reads, joins and replaces only the folders that the source's keys
+fall into (``merge_folders``); the others keep their files.
 """
 
 from __future__ import annotations
@@ -14,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lading.operators.materialize import Materializer
+
 UPDATED, INSERTED, UNCHANGED = "updated", "inserted", "unchanged"
 
 
@@ -67,6 +73,47 @@ def merge_into(target: DataFrame, source: DataFrame, key: str, columns: Sequence
     return j.select(*out, updated_at.alias("updated_at"), action.alias("merge_action"))
 
 
+FOLDERS = 64
+PART = "part"
+
+
+def folder_of(key: str, folders: int = FOLDERS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(folders)).cast("int")
+
+
+def write_folders(df: DataFrame, path: str, key: str, folders: int = FOLDERS, dynamic: bool = False) -> None:
+    """Write ``df`` to one folder per hash of the key; with ``dynamic``, only
+    the folders that ``df`` has rows for are replaced."""
+    (df.withColumn(PART, folder_of(key, folders)).repartition(folders, PART).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(PART).parquet(path))
+
+
+def touched_folders(source: DataFrame, key: str, folders: int = FOLDERS) -> list[int]:
+    """The folders that the keys of ``source`` fall into (at most ``folders`` numbers)."""
+    return sorted(r[0] for r in source.select(folder_of(key, folders)).distinct().collect())
+
+
+def merge_folders(path: str, source: DataFrame, key: str, columns: Sequence[str], update_columns: Sequence[str],
+                  conditional: bool, folders: int = FOLDERS, run_ts: Column | None = None) -> list[int]:
+    """Merge ``source`` into the folders under ``path`` and return the folders
+    that were replaced.
+
+    The filter on the folder is a partition filter, so the others are neither
+    listed for data nor read.  The merged folders are first written to the
+    shared folder and then swapped in by a dynamic partition overwrite: a job
+    that fails before the swap leaves the target as it was, and the swap
+    itself can be repeated from what was written.
+    """
+    spark = source.sparkSession
+    touched = touched_folders(source, key, folders)
+    if not touched:
+        return []
+    target = spark.read.parquet(path).where(F.col(PART).isin(touched)).drop(PART)
+    merged = merge_into(target, source, key, columns, update_columns, conditional, run_ts).drop("merge_action")
+    write_folders(Materializer(spark)("merged", merged), path, key, folders, dynamic=True)
+    return touched
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys occurring more than once, with their counts (``having count(*) > 1``)."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))

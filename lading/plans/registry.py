@@ -168,6 +168,18 @@ def merge_upsert_q(spark, sf_dir):
     return _merge(spark, sf_dir, False)
 
 
+@register("merge_folders")
+def merge_folders_q(spark, sf_dir):
+    """I1 over a target in folders by key: only folders with source keys are
+    read and replaced; the whole target afterwards."""
+    from lading.operators.merge import merge_folders, write_folders
+    c = SourceContract(spark, sf_dir)
+    path = _scratch(spark, "merge_folders")
+    write_folders(c.merge_target.select(*MERGE_COLUMNS), path, "order_line_id")
+    merge_folders(path, c.merge_source, "order_line_id", MERGE_COLUMNS, ("units_shipped", "revenue"), conditional=True)
+    return spark.read.parquet(path).select(*MERGE_COLUMNS)
+
+
 # relations that several metrics of one report read, written once
 REPORTED = frozenset({"dim_customer", "fct_shipment", "order_facts"})
 
@@ -282,6 +294,14 @@ def warehouse_activity_q(spark, sf_dir):
     return SourceContract(spark, sf_dir).warehouse_activity
 
 
+@register("carrier_lead_time_sketch")
+def carrier_lead_time_sketch_q(spark, sf_dir):
+    """Lead time quantiles per carrier from daily sketches merged over the
+    days (engine-specific: rows-only check)."""
+    from lading.plans.sketches import daily_lead_time_sketches, lead_time_quantiles
+    return lead_time_quantiles(daily_lead_time_sketches(_wh(spark, sf_dir).order_facts))
+
+
 @register("carrier_lead_time_approx")
 def carrier_lead_time_approx_q(spark, sf_dir):
     """Approximate percentiles (engine-specific: rows-only check)."""

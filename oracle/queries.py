@@ -326,3 +326,5 @@ ORACLE["bucketed_join"] = with_ctes("""
 select l.order_id, sum(units_shipped)::bigint as units_shipped, sum(revenue)::decimal(38,2) as revenue,
        any_value(s.carrier) as carrier, any_value(s.delivery_date) as delivery_date, any_value(s.freight_cost) as freight_cost
 from fct_order_line l join fct_shipment s on s.order_id = l.order_id group by l.order_id""", "fct_order_line", "fct_shipment")
+
+ORACLE["merge_folders"] = f"select * exclude (merge_action) from ({ORACLE['merge_conditional']})"
