@@ -26,9 +26,15 @@ Two documents link when 100 * |intersection| >= ``percent`` * |union|.
   through the same bounds and counts, so no link that matters for the
   components is lost.
 
+Rows are told apart by a row number, the place in the input, which is read
+several times and must read the same each time (files do); ids only name the
+components.
+
 Defined results: null, empty and blank texts have no shingles and link with
-nothing; repeated rows are equal sets; an empty table gives an empty result;
-other columns are ignored.
+nothing; repeated rows are equal sets; several texts under one id are rows
+like any other; a null id is larger than all others, so a component has a null
+name only if all its ids are null; an empty table gives an empty result; other
+columns are ignored, and ``one_per_group`` keeps them whatever their names.
 """
 
 from __future__ import annotations
@@ -58,7 +64,7 @@ BITMAP_WORDS = 4
 FLUSH = 1 << 19             # entries that a task holds before it sends them on
 _LOW32 = np.uint64(0xFFFFFFFF)
 
-RECORD = ("kind int, s long, k long, n int, r int, score int, doc_id long, "
+RECORD = ("kind int, s long, k long, n int, r int, score int, doc_id long, row long, "
           + ", ".join(f"b{i} long" for i in range(BITMAP_WORDS)))
 
 
@@ -178,10 +184,10 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
         maybe[(names & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         turn = 0
         for batch in batches:
-            ids = batch.column(0).cast(pa.int64())
+            ids = batch.column(1).cast(pa.int64())
             held, waiting = [], 0
             node, n_of, bitmap, seen = [], [], [], set()
-            for values in _sets(batch.column(1), size):
+            for values in _sets(batch.column(2), size):
                 n = len(values)
                 name = _node(values)
                 node.append(name)
@@ -211,15 +217,17 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
             if node:
                 turn += 1
                 known = np.array([v is not None for v in ids.to_pylist()])
-                both = np.stack([ids.fill_null(0).to_numpy(zero_copy_only=False), known.astype(np.int64)])
+                names_of = np.stack([ids.fill_null(0).to_numpy(zero_copy_only=False), known.astype(np.int64),
+                                     batch.column(0).to_numpy()])
                 yield sent([(2 * blocks + (abs(node[0]) + turn) % blocks, b"", np.array(node, np.int64).tobytes(),
-                             np.array(n_of, np.int32).tobytes(), b"", b"", both.tobytes(), np.stack(bitmap).tobytes())])
+                             np.array(n_of, np.int32).tobytes(), b"", b"", names_of.tobytes(), np.stack(bitmap).tobytes())])
 
-    def records(kind, s, k, n, r, score, doc_id=None, bitmap=None) -> pa.Table:
+    def records(kind, s, k, n, r, score, doc_id=None, row=None, bitmap=None) -> pa.Table:
         m = len(k)
         cols = {"kind": pa.array(np.full(m, kind, np.int32)), "s": pa.array(s.view(np.int64)) if len(s) else pa.nulls(m, pa.int64()),
                 "k": pa.array(k), "n": pa.array(n), "r": pa.array(r) if len(r) else pa.nulls(m, pa.int32()), "score": pa.array(score) if len(score) else pa.nulls(m, pa.int32()),
-                "doc_id": doc_id if doc_id is not None else pa.nulls(m, pa.int64())}
+                "doc_id": doc_id if doc_id is not None else pa.nulls(m, pa.int64()),
+                "row": row if row is not None else pa.nulls(m, pa.int64())}
         for i in range(BITMAP_WORDS):
             cols[f"b{i}"] = pa.array(np.ascontiguousarray(bitmap[:, i])) if bitmap is not None else pa.nulls(m, pa.int64())
         return pa.table(cols)
@@ -230,10 +238,10 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
     def meet(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
         if block >= 2 * blocks:                                 # the documents themselves
-            ids = np.concatenate([np.frombuffer(x.as_py(), np.int64).reshape(2, -1) for x in table["doc_id"]], axis=1)
+            ids = np.concatenate([np.frombuffer(x.as_py(), np.int64).reshape(3, -1) for x in table["doc_id"]], axis=1)
             bitmap = join(table, np.int64, "bitmap").reshape(-1, BITMAP_WORDS)
             return records(0, np.zeros(0, np.uint64), join(table, np.int64, "k"), join(table, np.int32, "n"),
-                           np.zeros(0, np.int32), np.zeros(0, np.int32), pa.array(ids[0], mask=ids[1] == 0), bitmap)
+                           np.zeros(0, np.int32), np.zeros(0, np.int32), pa.array(ids[0], mask=ids[1] == 0), pa.array(ids[2]), bitmap)
         s, k = join(table, np.uint64, "s"), join(table, np.int64, "k")
         n, r, score = (join(table, np.int32, c) for c in ("n", "r", "score"))
         if block >= blocks:
@@ -254,7 +262,7 @@ def _restricted(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
         led = records(2, pairs[:, 0].copy().view(np.uint64), pairs[:, 1].copy(), *[np.zeros(len(pairs), np.int32)] * 3)
         return pa.concat_tables([records(1, s, k, n, r, score), led])
 
-    met = (docs.select(id_col, text_col).mapInArrow(entries, fields)
+    met = (docs.select("row", id_col, text_col).mapInArrow(entries, fields)
            .groupBy("block").applyInArrow(meet, RECORD))
     return keep("records", met)
 
@@ -284,7 +292,7 @@ def _counted(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, per
     wanted = keep(f"{name}_wanted", dealt.select("g", F.col("a").alias("k"))
                   .union(dealt.select("g", F.col("b").alias("k"))).distinct())
     firsts = keep(f"{name}_firsts", nodes.join(wanted.select("k").distinct(), "k", "left_semi")
-                  .select(F.col("doc_id").alias("first")))
+                  .select(F.col("row").alias("first")))
     edge = np.uint64(((1 << 64) - 1) // part)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +305,7 @@ def _counted(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, per
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()),
                                               pa.array(sets, pa.binary())], ["k", "n", "values"])
 
-    sets = (docs.join(broadcast_if_small(firsts), docs["doc_id"] == firsts["first"], "left_semi").select("text")
+    sets = (docs.join(broadcast_if_small(firsts), docs["row"] == firsts["first"], "left_semi").select("text")
             .mapInArrow(cut, "k long, n long, values binary"))
     rows = (sets.join(broadcast_if_small(wanted), "k")
             .select("g", F.lit(0).alias("kind"), "k", F.col("n").alias("b"), "values")
@@ -338,10 +346,13 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, perce
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
                        percent: int = PERCENT, keep: Materializer | None = None) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``node`` (name of its set),
-    ``component_id`` (smallest id reachable over links, itself included)."""
+    ``component_id`` (smallest id reachable over links, itself included), the
+    row's number and ``first_row`` (the row of the component that comes first
+    by id, then place; null without shingles)."""
     spark: SparkSession = docs.sparkSession
     keep = keep or Materializer(spark, scratch_path(spark, f"ngrams-{uuid.uuid4().hex[:12]}"))
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                       F.col(f"`{text_col}`").cast("string").alias("text"))
     # about one distinct n-gram per six bytes of text: sizes the column blocks
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(8, int(total // 6 // ENTRIES_PER_BLOCK) + 1)
@@ -349,7 +360,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rec = _restricted(docs, "doc_id", "text", size, percent, blocks, hot, keep)
     rows = rec.where("kind = 0")
     nodes = keep("nodes", rows.where("n > 0").groupBy("k").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), *[F.max(f"b{i}").alias(f"b{i}") for i in range(BITMAP_WORDS)]))
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"), F.max("n").alias("n"), *[F.max(f"b{i}").alias(f"b{i}") for i in range(BITMAP_WORDS)]).withColumn("row", F.col("first.row")))
     entries = rec.where("kind = 1").select("s", "k", "n", "r", "score")
     # leaders of hot columns: the member with the largest hot share
     lead = entries.groupBy("s").agg(F.max(F.struct("score", "k", "n")).alias("lead"), F.count(F.lit(1)).alias("members"))
@@ -376,26 +387,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = first.union(second)
     comp = components(links, keep, "comp")
     labelled = nodes.join(comp.withColumnRenamed("node", "k"), "k", "left").select(
-        "k", "doc_id", F.coalesce("label", "k").alias("label"))
-    lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = labelled.select("k", "label").join(lowest, "label").select("k", "component_id")
+        "k", "first", F.coalesce("label", "k").alias("label"))
+    lowest = labelled.groupBy("label").agg(F.min("first").alias("lowest"))
+    named = labelled.select("k", "label").join(lowest, "label").select("k", "lowest")
     return (rows.join(named, "k", "left")
             .select(F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("k").alias("node"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.col("lowest.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                    "row", F.when(F.col("n") > 0, F.col("lowest.row")).alias("first_row")))
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
                   percent: int = PERCENT) -> DataFrame:
-    """The documents without those that link, directly or over others, to a
-    document with a smaller id; of rows with one id, one stays."""
+    """The rows without those that link, directly or over others, to a row
+    with a smaller id, or the same id and an earlier place."""
     keep = Materializer(docs.sparkSession, scratch_path(docs.sparkSession, f"groups-{uuid.uuid4().hex[:12]}"))
-    placed = keep("placed_documents", jaccard_components(docs, id_col, text_col, size, percent))
-    drop = keep("dropped", placed.where(f"{id_col} <> component_id").select(F.col(id_col).alias("drop_id")).distinct())
-    repeated = keep("repeated", placed.groupBy(id_col).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-                    .select(F.col(id_col).alias("again_id")))
-    stay = docs.join(broadcast_if_small(drop), docs[id_col] == F.col("drop_id"), "left_anti")
-    if repeated.isEmpty():
-        return stay
-    again = broadcast_if_small(repeated)
-    return (stay.join(again, stay[id_col] == F.col("again_id"), "left_anti")
-            .unionByName(stay.join(again, stay[id_col] == F.col("again_id"), "left_semi").dropDuplicates([id_col])))
+    drop = keep("dropped", jaccard_components(docs, id_col, text_col, size, percent)
+                .where("row <> first_row").select(F.col("row").alias("gone")))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("given"))
+    return rows.join(broadcast_if_small(drop), F.col("row") == F.col("gone"), "left_anti").select("given.*")

@@ -2,7 +2,7 @@
 
 A document's length is its number of words plus one end token.  Documents
 longer than the largest permitted sequence are cut into pieces.  Pieces are
-dealt to shards of about ``SHARD_PIECES`` by hash; a shard is packed by
+dealt to shards of about ``SHARD_PIECES`` by a hash of their row number; a shard is packed by
 best-fit decreasing over all permitted capacities at once: a piece goes to
 the open bin with the least sufficient room; if there is none, the capacity
 with the least cost per token it can expect to hold is opened; at the end
@@ -90,8 +90,9 @@ def packed_sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def lengths(buf, off):
         return [row_counts(word_spans(buf, off)[2], len(off) - 1) + 1]
 
-    sized = (map_texts(docs.select(id_col, text_col), text_col, [StructField("tokens", LongType())], lengths, [pa.int64()])
-             .select(F.col(ROW)[id_col].cast("long").alias("doc_id"), "tokens"))
+    numbered = docs.select(F.col(f"`{id_col}`").alias("id"), F.monotonically_increasing_id().alias("row_number"), F.col(f"`{text_col}`").alias("text"))
+    sized = (map_texts(numbered, "text", [StructField("tokens", LongType())], lengths, [pa.int64()])
+             .select(F.col(ROW)["id"].cast("long").alias("doc_id"), F.col(ROW)["row_number"].alias("row_number"), "tokens"))
     n = docs.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     shards = int(n // SHARD_PIECES) + 1
 
@@ -110,5 +111,6 @@ def packed_sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                          "bin_id": pa.array((shard << 40) + bin_of), "bin_offset": pa.array(offset, pa.int32()),
                          "capacity": pa.array(cap[bin_of], pa.int32()), "bin_used": pa.array(used[bin_of], pa.int32())})
 
-    dealt = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "tokens"), F.lit(shards)))
+    # the row number deals equal rows and null ids apart; the order inside a shard is by id and length
+    dealt = sized.select(F.pmod(F.xxhash64("row_number"), F.lit(shards)).alias("shard"), "doc_id", "tokens")
     return dealt.groupBy("shard").applyInArrow(fill, RESULT)

@@ -60,7 +60,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_substring_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lading.llm.substring_dedup import removed_spans
-    return removed_spans(read_table(spark, sf_dir, "documents"))
+    # passages; frequent short lines are the operator's business, not a fault of the documents that hold them
+    return removed_spans(read_table(spark, sf_dir, "documents"), often_lines=False)
 
 
 @register("op10_quality_classifier")

@@ -7,24 +7,30 @@ of fewer than ``UNIT_WORDS`` words ("1.", "Mr.") counts together with the
 units after it, or before it, until there are that many words, so it is a
 repeat where it stands in a repeated passage and nowhere else.
 Digests are grouped over all documents: the occurrence ranked first (id, then
-offset) stays, later ones are repeats.  Consecutive repeats of a document
-that together have at least ``min_words`` words are removed.  Shorter ones
-are left, since short sentences coincide by chance, but for whole lines all
-units of which occur ``OFTEN`` times or more.
+row, then offset) stays, later ones are repeats.  Consecutive repeats of a row
+that together have at least ``min_words`` words are removed.  Shorter ones are
+left, since short sentences coincide by chance; with ``often_lines``, whole
+lines all units of which occur ``OFTEN`` times or more go as well.
 
 A task keeps only the first of equal units it holds ``OFTEN`` times and
 reports the others at once, so a line that occurs in a third of all rows sends
 a few entries per buffer, not one per row.
 
+Rows are told apart by a row number, not by their id: repeated rows, several
+texts under one id and null ids (ranked after all others) are occurrences like
+any other, and the first keeps its text.  The number is the place in the
+input, so the input must read the same when a lost task runs again (files do);
+``deduplicated`` writes its numbered input first.
+
 Defined results: null, empty and blank texts have no units, texts of fewer
-than ``UNIT_WORDS`` words no repeats; rows are told apart by id, repeated rows
-count as occurrences in the order they are met;
-an empty table gives no rows; other columns are ignored.  ``removed_spans``
-keeps the original character offsets.
+than ``UNIT_WORDS`` words no repeats; an empty table gives no rows; other
+columns are ignored by ``removed_spans`` and kept by ``deduplicated``, whose
+added column takes a free name.  Spans are original character offsets.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +39,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lading.llm.textcols import _powers, _U, mix, slices, span_hashes, word_spans
+from lading.operators.materialize import Materializer
+from lading.session import scratch_path
 
 MIN_WORDS = 25
 UNIT_WORDS = 3               # shorter units count together with their neighbours
@@ -40,7 +48,9 @@ OFTEN = 10                   # occurrences
 FLUSH = 1 << 18
 ENTRIES_PER_BLOCK = 1 << 20
 
-REPEAT = "doc_id long, unit int, start long, end long, words int, line int, line_units int, often boolean, first_doc_id long"
+NO_ID = (1 << 63) - 1         # stands for a null id, ranked last
+
+REPEAT = "row long, doc_id long, unit int, start long, end long, words int, line int, line_units int, often boolean, first_doc_id long"
 
 
 def units(buf: np.ndarray, off: np.ndarray):
@@ -83,32 +93,36 @@ def units(buf: np.ndarray, off: np.ndarray):
     return (row[unit], number[unit], starts[a][unit], ends[b - 1][unit], (b - a)[unit], line[unit], line_units[unit], digest)
 
 
-def _first_and_rest(digest, doc, unit):
+def _first_and_rest(digest, row, doc, unit):
     """Order by digest then rank, and which entries open a new digest."""
-    order = np.lexsort((unit, doc, digest))
+    order = np.lexsort((unit, row, doc, digest))
     d = digest[order]
     new = np.concatenate([[True], d[1:] != d[:-1]]) if len(d) else np.zeros(0, bool)
     return order, new
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per unit that occurs earlier (a short one may have two): its
-    place, its line, whether it occurs often, and the document of an earlier
-    occurrence."""
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc_id"),
+                       F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def repeats(given: DataFrame) -> DataFrame:
+    """One row per unit that occurs earlier (a short one may have two) in rows
+    of (row, doc_id, text): its place, its line, whether it occurs often, and
+    the document of an earlier occurrence."""
     total = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(8, int(total // 64 // ENTRIES_PER_BLOCK) + 1)       # about one unit per 64 bytes
-    names = ("digest", "doc", "unit", "start", "end", "words", "line", "line_units")
-    types = (np.uint64, np.int64, np.int32, np.int64, np.int64, np.int32, np.int32, np.int32)
+    names = ("digest", "row", "doc", "unit", "start", "end", "words", "line", "line_units")
+    types = (np.uint64, np.int64, np.int64, np.int32, np.int64, np.int64, np.int32, np.int32, np.int32)
 
     def send(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         held = [np.concatenate(x) for x in zip(*held)]
-        order, new = _first_and_rest(*held[:3])
+        order, new = _first_and_rest(*held[:4])
         cols = [x[order] for x in held]
         at = np.flatnonzero(new)
         group = np.cumsum(new) - 1
         times = np.diff(np.append(at, len(new)))
-        lead = cols[1][at[group]]
+        lead = cols[2][at[group]]
         rest = ~new & (times[group] >= OFTEN)
         out = []
         if rest.any():
@@ -128,12 +142,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, _, buf, off in slices(batch.column(1)):
+            numbers, ids = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for lo, _, buf, off in slices(batch.column(2)):
                 row, unit, start, end, words, line, line_units, digest = units(buf, off)
                 points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
                 base = points[off[row]]
-                held.append((digest, ids[lo + row], unit, points[start] - base, points[end] - base, words, line, line_units))
+                held.append((digest, numbers[lo + row], ids[lo + row], unit, points[start] - base, points[end] - base, words, line, line_units))
                 n += len(row)
                 if n >= FLUSH:
                     yield from send(held)
@@ -148,46 +162,71 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             often, cols = np.ones(len(lead), dtype=bool), cols[1:]
         else:
             stands = np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in table["stands"]])
-            order, new = _first_and_rest(*cols[:3])
+            order, new = _first_and_rest(*cols[:4])
             group = np.cumsum(new) - 1
-            lead = cols[1][order][np.flatnonzero(new)[group]][~new]
+            lead = cols[2][order][np.flatnonzero(new)[group]][~new]
             often = (np.bincount(group, weights=stands[order]) >= OFTEN)[group][~new]
             cols = [c[order][~new] for c in cols[1:]]
-        return pa.table(dict(zip(("doc_id", *names[2:], "often", "first_doc_id"), [*cols, often, lead])))
+        return pa.table(dict(zip(("row", "doc_id", *names[3:], "often", "first_doc_id"), [*cols, often, lead])))
 
     return (given.mapInArrow(emit, "block int, " + ", ".join(f"{n} binary" for n in (*names, "stands", "lead")))
             .groupBy("block").applyInArrow(meet, REPEAT))
 
 
-def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """Runs of consecutive repeated units with at least ``min_words`` words,
-    and whole lines of units that occur often: document, character span,
-    words, units, document of an earlier occurrence of the run's first unit."""
-    own = Window.partitionBy("doc_id").orderBy("start", "unit")
+def _spans(given: DataFrame, min_words: int, often_lines: bool) -> DataFrame:
+    own = Window.partitionBy("row").orderBy("start", "unit")
 
     def numbered(found: DataFrame) -> DataFrame:
         opens = found.withColumn("opens", (F.col("unit") - F.lag("unit", 1, -2).over(own) > 1).cast("int"))
         return opens.withColumn("run", F.sum("opens").over(own.rowsBetween(Window.unboundedPreceding, 0)))
 
-    found = (repeats(docs, id_col, text_col).repartition("doc_id").groupBy("doc_id", "unit", "line", "line_units")
-             .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("words").alias("words"),
+    found = (repeats(given).repartition("row").groupBy("row", "unit", "line", "line_units")
+             .agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.max("words").alias("words"),
                   F.max("often").alias("often"), F.min("first_doc_id").alias("first_doc_id")))
-    goes = numbered(found).withColumns({
-        "n_words": F.sum("words").over(Window.partitionBy("doc_id", "run")),
-        "n_often": F.sum(F.col("often").cast("int")).over(Window.partitionBy("doc_id", "line"))})
-    runs = numbered(goes.where((F.col("n_words") >= min_words) | (F.col("n_often") == F.col("line_units"))))
-    return (runs.groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("long").alias("n_words"),
-        F.count(F.lit(1)).alias("n_units"), F.min_by("first_doc_id", "start").alias("first_doc_id")).drop("run"))
-
-
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the removed spans cut out of the texts; the spans keep
-    their original offsets in ``removed_spans``."""
-    spans = (removed_spans(docs, id_col, text_col, min_words).groupBy("doc_id")
-             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed_spans")))
-    joined = docs.join(spans, docs[id_col] == spans["doc_id"], "left").drop(spans["doc_id"])
-    cut = F.expr(f"""aggregate(removed_spans, struct('' as text, 0L as at), (s, r) -> struct(
-        concat(s.text, substring({text_col}, int(s.at + 1), int(r.start - s.at))) as text, r.end as at),
-        s -> concat(s.text, substring({text_col}, int(s.at + 1))))""")
-    return joined.withColumn(text_col, F.when(F.col("removed_spans").isNull(), F.col(text_col)).otherwise(cut))
+    goes = numbered(found).withColumn("n_words", F.sum("words").over(Window.partitionBy("row", "run")))
+    kept = F.col("n_words") >= min_words
+    if often_lines:
+        goes = goes.withColumn("n_often", F.sum(F.col("often").cast("int")).over(Window.partitionBy("row", "line")))
+        kept = kept | (F.col("n_often") == F.col("line_units"))
+    runs = numbered(goes.where(kept))
+
+    def shown(c: str):
+        return F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
+
+    spans = runs.groupBy("row", "run").agg(
+        F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("long").alias("n_words"),
+        F.count(F.lit(1)).alias("n_units"), F.min_by("first_doc_id", "start").alias("first_doc_id"))
+    return spans.select("row", shown("doc_id"), "start", "end", "n_words", "n_units", shown("first_doc_id"))
+
+
+def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                  often_lines: bool = True) -> DataFrame:
+    """Runs of consecutive repeated units with at least ``min_words`` words
+    (and, with ``often_lines``, whole lines of units that occur often):
+    document, character span, words, units, document of an earlier occurrence
+    of the run's first unit."""
+    return _spans(_numbered(docs, id_col, text_col), min_words, often_lines).drop("row")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                 often_lines: bool = True) -> DataFrame:
+    """``docs`` with the removed spans cut out of the texts, and the spans with
+    their original offsets in ``removed_spans`` (underscores are appended
+    until the name is free)."""
+    spark = docs.sparkSession
+    keep = Materializer(spark, scratch_path(spark, f"dedup-{uuid.uuid4().hex[:12]}"))
+    rows = keep("rows", docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("given")))
+    of = F.col("given")
+    given = rows.select("row", F.coalesce(of[id_col].cast("long"), F.lit(NO_ID)).alias("doc_id"), of[text_col].cast("string").alias("text"))
+    spans = (_spans(given, min_words, often_lines).groupBy("row")
+             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")))
+    text = of[text_col].cast("string")
+    cut = F.aggregate("spans", F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")), lambda s, r: F.struct(
+        F.concat(s["text"], F.substring(text, (s["at"] + 1).cast("int"), (r["start"] - s["at"]).cast("int"))).alias("text"), r["end"].alias("at")),
+        lambda s: F.concat(s["text"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
+    name = "removed_spans"
+    while name in docs.columns:
+        name += "_"
+    new_text = F.when(F.col("spans").isNull(), of[text_col]).otherwise(cut).alias(text_col)
+    return rows.join(spans, "row", "left").select(*[new_text if c == text_col else of[c].alias(c) for c in docs.columns],
+                                                 F.col("spans").alias(name))
