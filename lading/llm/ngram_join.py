@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from lading.functions.joins import broadcast_if_small
 from lading.llm.graph import components
-from lading.llm.textcols import (distinct, distinct_counts, mix, row_cuts, shingle_sets, slices, span_hashes,
+from lading.llm.textcols import (distinct, distinct_counts, mix, release, row_cuts, shingle_sets, slices, span_hashes,
                                  word_spans)
 from lading.operators.materialize import Materializer
 from lading.session import scratch_path
@@ -304,6 +304,8 @@ def _counted(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, per
                 sets.append(values[:np.searchsorted(values, edge, side="right")].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()),
                                               pa.array(sets, pa.binary())], ["k", "n", "values"])
+            del batch, sets
+        release()
 
     sets = (docs.join(broadcast_if_small(firsts), docs["row"] == firsts["first"], "left_semi").select("text")
             .mapInArrow(cut, "k long, n long, values binary"))
@@ -331,6 +333,7 @@ def _counted(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, per
                     a_out.append(k)
                     b_out.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+        release()
 
     return keep(f"{name}_left", rows.repartition("g").sortWithinPartitions("g", "kind").mapInArrow(verify, "a long, b long"))
 

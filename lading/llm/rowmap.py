@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from lading.llm.textcols import slices
+from lading.llm.textcols import release, slices
 
 ROW = "row"
 
@@ -27,17 +27,21 @@ def map_texts(docs: DataFrame, text_col: str, fields: Sequence[StructField],
     """
     at = docs.columns.index(text_col)
 
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = batch.column(0)
+        parts: list[list] = [[] for _ in fields]
+        for _, _, buf, off in slices(rows.field(at)):
+            for part, values in zip(parts, measure(buf, off)):
+                part.append(pa.array(values))
+        new = [pa.concat_arrays([p.cast(t) for p in part]) if part else pa.array([], t)
+               for part, t in zip(parts, arrow_types)]
+        return pa.RecordBatch.from_arrays([rows, *new], [ROW, *(f.name for f in fields)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(0)
-            text = rows.field(at)
-            parts: list[list] = [[] for _ in fields]
-            for _, _, buf, off in slices(text):
-                for part, values in zip(parts, measure(buf, off)):
-                    part.append(pa.array(values))
-            new = [pa.concat_arrays([p.cast(t) for p in part]) if part else pa.array([], t)
-                   for part, t in zip(parts, arrow_types)]
-            yield pa.RecordBatch.from_arrays([rows, *new], [ROW, *(f.name for f in fields)])
+            yield one(batch)
+            del batch                       # gone before the next one is read
+        release()
 
     schema = StructType([StructField(ROW, StructType(docs.schema.fields), False), *fields])
     packed = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))

@@ -73,6 +73,12 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int
         lo = hi
 
 
+def release() -> None:
+    """Give the freed memory of Arrow batches back at the end of a task: the
+    worker goes on to other tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+
+
 def is_space(buf: np.ndarray) -> np.ndarray:
     return (buf == 32) | ((buf >= 9) & (buf <= 13))
 
