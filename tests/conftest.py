@@ -19,3 +19,17 @@ def spark(tmp_path_factory):
     checkpoint_dir(s)
     yield s
     s.stop()
+
+
+def whole_months(spark, materialize=None):
+    """The small contract without its last month, which is one day: there two
+    warehouses have no order, so their forecast accuracy is NULL and the check
+    on it fails by its rule (tests/test_quality_gate.py)."""
+    from lading.sources.contract import SourceContract
+
+    class WholeMonths(SourceContract):
+        def table(self, name):
+            df = super().table(name)
+            return df.where("o_orderdate < '2001-08-01'") if name == "orders" else df
+
+    return WholeMonths(spark, SF_SMALL, materialize)

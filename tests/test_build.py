@@ -4,7 +4,7 @@ import hashlib
 
 import pytest
 
-from tests.conftest import SF_SMALL
+from tests.conftest import whole_months
 
 
 def _content_hash(spark, path):
@@ -16,11 +16,10 @@ def _content_hash(spark, path):
 def built(spark, tmp_path_factory):
     from lading.plans.build import build_warehouse
     from lading.operators.materialize import Materializer
-    from lading.sources.contract import SourceContract
     out = []
     for i in range(2):
         d = str(tmp_path_factory.mktemp(f"build{i}"))
-        raw = SourceContract(spark, SF_SMALL, Materializer(spark, d + "/raw")).extracts()
+        raw = whole_months(spark, Materializer(spark, d + "/raw")).extracts()
         out.append((d, build_warehouse(spark, raw, d)))
     return out
 
@@ -48,9 +47,8 @@ def test_exports_reproducible(spark, built):
 def test_failing_gate_publishes_nothing(spark, tmp_path):
     from lading.plans.build import build_warehouse
     from lading.plans.quality import QualityGateError
-    from lading.sources.contract import SourceContract
     from lading.sources.extracts import path_exists
-    c = SourceContract(spark, SF_SMALL)
+    c = whole_months(spark)
     raw = c.extracts()
     raw["erp_order_lines"] = c.order_lines_bronze
     with pytest.raises(QualityGateError):
@@ -63,14 +61,13 @@ def test_build_from_csv_extracts(spark, tmp_path):
     with declared schemas, build the same order mart as the direct derivation."""
     from lading.plans.build import build_warehouse, read_current
     from lading.plans.warehouse import Warehouse
-    from lading.sources.contract import SourceContract
     from lading.sources.extracts import EXTRACTS, read_extracts, write_extracts
     src = str(tmp_path / "source")
-    write_extracts(dict(SourceContract(spark, SF_SMALL).extracts()), src)
+    write_extracts(dict(whole_months(spark).extracts()), src)
     raw = read_extracts(spark, src)
     assert set(raw) == set(EXTRACTS)
     summary = build_warehouse(spark, raw, str(tmp_path / "wh"), publish=False)
-    direct = Warehouse.from_testdata(spark, SF_SMALL).mart_order_fulfillment
+    direct = Warehouse(whole_months(spark).extracts()).mart_order_fulfillment
     assert summary["orders"] == direct.count()
     got = read_current(spark, str(tmp_path / "wh"), "mart_order_fulfillment")
     assert sorted(got.collect()) == sorted(direct.select(*got.columns).collect())
@@ -79,8 +76,7 @@ def test_build_from_csv_extracts(spark, tmp_path):
 def test_failing_build_leaves_the_good_tables(spark, tmp_path):
     from lading.plans.build import CLEAN, MARTS, build_warehouse, current_run, read_current
     from lading.plans.quality import QualityGateError
-    from lading.sources.contract import SourceContract
-    c = SourceContract(spark, SF_SMALL)
+    c = whole_months(spark)
     out = str(tmp_path / "wh")
     build_warehouse(spark, c.extracts(), out)
     run = current_run(spark, out)

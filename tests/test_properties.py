@@ -49,7 +49,7 @@ def test_running_rank_and_sum_property(spark, rows, ranges):
 def test_global_rolling_property(spark, rows, block, frame):
     from lading.operators.running import global_positions, rolling_by_position
     df = _frame(spark, rows)
-    pos = global_positions(df, ["order_date", "order_id"], prefix_len=8)
+    pos = global_positions(df, ["order_date", "order_id"], ranges=5)
     got = rolling_by_position(pos, "_pos", "otif_flag", frame, "r", block_rows=block)
     w = Window.orderBy("order_date", "order_id")
     want = df.select("order_id", F.row_number().over(w).alias("_pos"),

@@ -2,12 +2,14 @@
 
 import pytest
 
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, whole_months
 
 
 def test_report_passes_on_clean_data(spark):
+    from lading.operators.materialize import Materializer
     from lading.plans.warehouse import Warehouse
-    report = Warehouse.from_testdata(spark, SF_SMALL, materialize=True).data_quality_report
+    m = Materializer(spark)
+    report = Warehouse(whole_months(spark, m).extracts(), m).data_quality_report
     rows = report.collect()
     assert len(rows) == 9
     assert {r["status"] for r in rows} == {"PASS"}
@@ -26,7 +28,18 @@ def test_gate_raises_on_bronze(spark):
 
 def test_export_checks_pass(spark):
     from lading.plans.quality import export_checks
+    from lading.operators.materialize import Materializer
     from lading.plans.warehouse import Warehouse
-    wh = Warehouse.from_testdata(spark, SF_SMALL, materialize=True)
+    m = Materializer(spark)
+    wh = Warehouse(whole_months(spark, m).extracts(), m)
     out = export_checks(wh.mart_order_fulfillment, wh.mart_carrier_performance, wh.data_quality_report)
     assert all(r["passed"] for r in out.collect())
+
+
+def test_warehouse_month_without_demand_fails_the_forecast_check(spark):
+    """The grid is dense, so a month without demand has no accuracy (NULL),
+    which is not in range."""
+    from lading.plans.quality import failing_checks
+    from lading.plans.warehouse import Warehouse
+    report = Warehouse.from_testdata(spark, SF_SMALL, materialize=True).data_quality_report
+    assert [r["check_name"] for r in failing_checks(report).collect()] == ["forecast_accuracy_reasonable"]
