@@ -28,7 +28,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(registry.QUERIES) - set(ORACLE) == set()
+    # sketches are random; their rank error is tested in test_scale_forms
+    assert set(registry.QUERIES) - set(ORACLE) == {"carrier_lead_time_sketch"}
 
 
 def test_entry_runs(spark):
