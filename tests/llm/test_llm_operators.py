@@ -146,11 +146,15 @@ def _lm_model(rng, docs=60):
     cuts = np.concatenate([[0], np.cumsum([1, 2, 32, 33, 48, 49, *rng.integers(1, 90, docs)])])
     seq = rng.integers(0, 40, cuts[-1])
     seq[cuts[1:] - 1] = lm_scoring.END
-    keys, counts = np.unique(lm_scoring.run_keys(seq, cuts)[1], return_counts=True)
-    pairs = keys & ((np.uint64(1) << np.uint64(34)) - np.uint64(1))
-    keys2, counts2 = lm_scoring._summed(pairs, counts)
-    runs = lm_scoring.Runs(np.concatenate([keys | lm_scoring._THREE, keys2]), np.concatenate([counts, counts2]),
-                           np.bincount(seq, minlength=lm_scoring.IDS))
+    pair, triple = lm_scoring.run_keys(seq, cuts)
+    table = lm_scoring.table_of_runs(*np.unique(triple, return_counts=True))
+    last = np.bincount((pair[cuts[1:] - 1] >> np.uint64(17)).astype(int), minlength=lm_scoring.IDS)
+    totals = lm_scoring.Totals(np.bincount(seq, minlength=lm_scoring.IDS), last, lm_scoring.types_of(table[0]))
+
+    def runs(seq, cuts, own=False):
+        keys, back = lm_scoring.asked(seq, cuts)
+        c, t, _ = lm_scoring.lookup(table, keys)
+        return totals.experts(seq, cuts, back, c, t, own)
     class_of = np.minimum(np.arange(lm_scoring.IDS), lm_scoring.CLASSES - 1).astype(np.int32)
     w = lm_scoring.first_weights()
     for k in w:
@@ -158,6 +162,11 @@ def _lm_model(rng, docs=60):
     return seq, cuts, runs, class_of, w
 
 
+def _lm_batch(class_of, runs, ids):
+    seq, cuts = np.array(ids), np.array([0, len(ids)])
+    return lm_scoring.Batch(class_of, seq, cuts, runs(seq, cuts))
+
+
 def test_run_counts_match_plain_python():
     seq, cuts, runs, _, _ = _lm_model(np.random.default_rng(2))
     end, two, three = lm_scoring.END, {}, {}
@@ -167,7 +176,7 @@ def test_run_counts_match_plain_python():
             one, before = (r[k - 1] if k else end), (r[k - 2] if k > 1 else end)
             two.setdefault(one, []).append(y)
             three.setdefault((before, one), []).append(y)
-    got, k = runs.experts(seq, cuts)[0], 0
+    got, k = runs(seq, cuts)[0], 0
     for r in rows:
         for i, y in enumerate(r):
             one, before = (r[i - 1] if i else end), (r[i - 2] if i > 1 else end)
@@ -182,7 +191,7 @@ def test_attention_gradients_match_differences():
     rng = np.random.default_rng(3)
     seq, cuts, runs, class_of, w = _lm_model(rng)
     _, _, pos, scored = lm_scoring.windows(cuts)
-    examples = (*lm_scoring.Batch(runs, class_of, seq, cuts, own=True)[pos], scored)
+    examples = (*lm_scoring.Batch(class_of, seq, cuts, runs(seq, cuts, own=True))[pos], scored)
     w = {k: v.astype(float) for k, v in w.items()}
     grad, _ = lm_scoring.gradients(w, *examples)
     for k in w:
@@ -197,7 +206,7 @@ def test_attention_gradients_match_differences():
 
 def test_lm_scores_are_the_models_each_id_once_and_sum_to_one():
     seq, cuts, runs, class_of, w = _lm_model(np.random.default_rng(1))
-    batch, tables = lm_scoring.Batch(runs, class_of, seq, cuts), lm_scoring.score_tables(w)
+    batch, tables = lm_scoring.Batch(class_of, seq, cuts, runs(seq, cuts)), lm_scoring.score_tables(w)
     _, turn, pos, scored = lm_scoring.windows(cuts)
     assert sorted(pos[scored].tolist()) == list(range(cuts[-1]))
     for chosen, since in ((turn == 0, 0), (turn > 0, lm_scoring.WINDOW // 2)):
@@ -209,15 +218,14 @@ def test_lm_scores_are_the_models_each_id_once_and_sum_to_one():
                 one[0, j] = True
                 loss = lm_scoring.gradients(w, *batch[window[None, :]], one)[1]
                 assert np.exp(-loss) == pytest.approx(fast[n, j - since], rel=1e-3)
-    alone = lm_scoring.Batch(runs, class_of, np.array([777]), np.array([0, 1]))      # the pointer meets nothing
+    alone = _lm_batch(class_of, runs, [777])      # the pointer meets nothing
     assert 0 < lm_scoring.probabilities(tables, alone, lm_scoring.windows(np.array([0, 1]))[2], 0)[0, 0] < 1
     # every id that could come third: probabilities add up to one
     total = 0.0
     for y in [*range(40), lm_scoring.END]:
-        own, ends = np.array([3, 4, y]), np.array([0, 3])
-        total += lm_scoring.probabilities(tables, lm_scoring.Batch(runs, class_of, own, ends), lm_scoring.windows(ends)[2], 0)[0, 2]
+        total += lm_scoring.probabilities(tables, _lm_batch(class_of, runs, [3, 4, y]), lm_scoring.windows(np.array([0, 3]))[2], 0)[0, 2]
     unseen = (lm_scoring.IDS - 41) * float(lm_scoring.probabilities(
-        tables, lm_scoring.Batch(runs, class_of, np.array([3, 4, 777]), np.array([0, 3])), lm_scoring.windows(np.array([0, 3]))[2], 0)[0, 2])
+        tables, _lm_batch(class_of, runs, [3, 4, 777]), lm_scoring.windows(np.array([0, 3]))[2], 0)[0, 2])
     assert total + unseen == pytest.approx(1, rel=1e-3)
 
 
@@ -240,3 +248,24 @@ def test_lm_scoring_counts_and_held_out_rows(spark):
         assert r["score"] < 0
     none = spark.createDataFrame([], "doc_id long, text string")
     assert lm_scoring.scores(none, "doc_id % 4 = 1").count() == 0
+
+
+def test_lm_counts_asked_by_block_equal_the_broadcast_ones(spark, monkeypatch):
+    """Which words and runs are broadcast changes no score."""
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdeio") for _ in range(rng.randrange(2, 9))) for _ in range(120)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(0, 150))) for _ in range(90)] + [None, "q " * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+
+    def found():
+        return {r["doc_id"]: r for r in lm_scoring.scores(docs, "doc_id % 4 = 1").collect()}
+    whole = found()
+    monkeypatch.setattr(lm_scoring, "RUNS", 8)
+    monkeypatch.setattr(lm_scoring, "HEAD_WORDS", 4)
+    monkeypatch.setattr(lm_scoring, "_SLICE", 4096)
+    asked = found()
+    assert set(asked) == set(whole) == set(range(len(texts)))
+    for i, r in whole.items():
+        assert (asked[i]["n_tokens"], asked[i]["n_known"]) == (r["n_tokens"], r["n_known"])
+        assert asked[i]["base_score"] == pytest.approx(r["base_score"])
+        assert asked[i]["score"] == pytest.approx(r["score"], rel=1e-3)
