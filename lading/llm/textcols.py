@@ -15,6 +15,7 @@ different values.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,9 +75,35 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int
 
 
 def release() -> None:
-    """Give the freed memory of Arrow batches back at the end of a task: the
-    worker goes on to other tasks and would keep it."""
+    """Give the freed memory of Arrow batches and numpy temporaries back at the
+    end of a task: the worker goes on to other tasks and would keep it."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc alone has it
+    if trim:
+        trim(0)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as zstd over their byte planes: small ones take little room."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T) if len(values) else values
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, dtype) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(dtype).itemsize
+    if not n:
+        return np.zeros(0, dtype)
+    raw = pa.decompress(data[8:], n * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(dtype).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys by their differences."""
+    return packed(np.diff(keys, prepend=_U(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
 
 
 def is_space(buf: np.ndarray) -> np.ndarray:
