@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.textcols import mix, row_cuts, slices, span_hashes, window_hashes
+from lading.llm.textcols import mix, release, row_cuts, slices, span_hashes, window_hashes
 
 MAX_SHARE = 0.2
 MIN_WORDS = 8
@@ -372,6 +372,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     [batch.column(0).take(pa.array(cols[0], pa.int64())),
                      *(pa.array(c, pa.int64()) for c in cols[1:4]), *(pa.array(c, pa.int32()) for c in cols[4:])],
                     ["doc_id", "item_id", "start", "end", "edits", "item_words"])
+                batch = buf = off = None    # gone before the next one is read
+                release()
 
         out = out.union(given.mapInArrow(search, RESULT))
     return out

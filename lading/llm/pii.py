@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from lading.llm.rowmap import ROW
-from lading.llm.textcols import slices
+from lading.llm.textcols import release, slices
 
 DEFAULT_KEY = b"replace-this-key"
 ROUNDS = 8
@@ -305,19 +305,24 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: bytes = DEFAULT_K
     """``row`` (the input row) with the new ``text``, ``n_entities`` and ``entities``."""
     at = docs.columns.index(text_col)
 
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = batch.column(0)
+        text = rows.field(at)
+        new, count, entities = {}, np.zeros(len(text), dtype=np.int64), [None] * len(text)
+        for i in np.flatnonzero(_suspects(text)).tolist():
+            changed, found = replace(text[i].as_py(), key)
+            if found:
+                new[i], count[i], entities[i] = changed, len(found), found
+        mask = pa.array(np.isin(np.arange(len(text)), list(new)))
+        done = pc.replace_with_mask(text, mask, pa.array(list(new.values()), text.type)) if new else text
+        return pa.RecordBatch.from_arrays([rows, done, pa.array(count), pa.array(entities, _ENTITIES)],
+                                          [ROW, "text", "n_entities", "entities"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(0)
-            text = rows.field(at)
-            new, count, entities = {}, np.zeros(len(text), dtype=np.int64), [None] * len(text)
-            for i in np.flatnonzero(_suspects(text)).tolist():
-                changed, found = replace(text[i].as_py(), key)
-                if found:
-                    new[i], count[i], entities[i] = changed, len(found), found
-            mask = pa.array(np.isin(np.arange(len(text)), list(new)))
-            done = pc.replace_with_mask(text, mask, pa.array(list(new.values()), text.type)) if new else text
-            yield pa.RecordBatch.from_arrays([rows, done, pa.array(count), pa.array(entities, _ENTITIES)],
-                                             [ROW, "text", "n_entities", "entities"])
+            yield one(batch)
+            del batch                       # gone before the next one is read
+            release()
 
     typed = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
     return (typed.select(F.struct(*[typed[f"`{c}`"] for c in typed.columns]).alias(ROW))
