@@ -1,21 +1,29 @@
 """Surrogates for personal data (operator 8).
 
-Detected entities (e-mail, phone, IPv4, card number, social security number,
-IBAN, person names after titles) are replaced by keyed surrogates of the same type
-and format: separators, letter case, script of letters, country prefix,
+Detected entities (e-mail, phone, IPv4, IPv6, card number, social security
+number, IBAN, person names after titles, full names after salutations) are
+replaced by keyed surrogates of the same type and format: separators, letter
+case, script of letters (Latin, Greek, Cyrillic), country or trunk prefix,
 top-level domain, checksum status and the gender of a title stay.
 
+The key is secret: the caller gives it, or ``key_of`` reads the setting
+``lading.pii.key`` and without it draws one for the life of the driver.
+
 Numbers and addresses go through a keyed Feistel permutation of the values
 that share their format, so one original always gets one surrogate
 (coreference, in all documents, with no shared state) and two originals
 never the same one (distinctness).  A name is the whole capitalised sequence
-after its titles; each part goes through a keyed permutation of the names of
-its length and is written in syllables with a gendered ending, so a name has
-one surrogate per gender in all documents and no two names share one.  The
-parts are also replaced wherever they recur in the document, with the gender
-of their first title there.  A surrogate that equals an original of the same
-document is permuted again.  Names that no title in the document introduces
-are not seen.
+after its titles; each part goes through a keyed permutation of the names of its
+length and alphabet and is written in syllables of its script with a gendered
+ending, so a name has one surrogate per gender in all documents and no two
+names share one.  Surrogates have at most 1.5 letters for each letter of a
+plain name (3 with accents or digits) and a few more; a word of over 64
+letters is replaced by a keyed 128-bit digest in syllables.  The parts are
+also replaced wherever they recur in the document, with the gender of their
+first title there.  A surrogate that equals an original or another surrogate
+of the same document is permuted again, as often as needed; a value whose
+format has no free surrogate left in the document gets one of one character
+more.  Names that neither a title nor a salutation introduces are not seen.
 
 Defined results: a null text stays null with zero entities; texts without
 entities come back byte for byte; repeated rows get equal surrogates; other
@@ -26,61 +34,70 @@ from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from lading.llm.rowmap import ROW
 from lading.llm.textcols import release, slices
 
-DEFAULT_KEY = b"replace-this-key"
+KEY_SETTING = "lading.pii.key"
 ROUNDS = 8
+LONG_NAME, LONG_TEXT = 64, 128      # letters of a name, characters of a text permuted as one number
 
 # fixed values: entity patterns, titles and the syllables and endings of names
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Mme", "Mlle", "Frau", "Señora", "Señorita", "Madame", "Mademoiselle", "Lady")
 MALE_TITLES = ("Mr", "Herr", "Herrn", "Señor", "Monsieur", "Sir")
 TITLES = (*FEMALE_TITLES, *MALE_TITLES, "Dr", "Prof", "Professor", "Doctor", "Doktor")
+SALUTATIONS = ("Dear", "Liebe", "Lieber")
 PARTICLES = ("von", "van", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "la", "le", "zu", "zur", "ter", "bin", "ibn")
 TITLE_WORD = "(?:" + "|".join(sorted((t for x in TITLES for t in {x, x.upper()}), key=len, reverse=True)) + r")\b\.?"
 CAPITAL = "[A-ZÀ-ÖØ-ÞĀ-ŽΑ-ΩА-ЯЁ]"
 PART = rf"{CAPITAL}(?:\w|['’-](?!s\b)(?=\w))+"
 BEFORE_PART = rf"(?:(?:{CAPITAL}\.|{'|'.join(PARTICLES)}) )*"
-CONSONANTS, VOWELS = "bdfghjklmnprstvz", "aeiou"
-ENDINGS = {"f": "na", "m": "no", "n": "ne"}
+SALUTATION_WORD = "(?:" + "|".join(SALUTATIONS) + ")"
+# per script: consonants and vowels of its syllables, endings by gender
+SYLLABLES = {"latin": ("bdfghjklmnprstvz", "aeiou", {"f": "na", "m": "no", "n": "ne"}),
+             "greek": ("βγδζθκλμνπρστφχ", "αεηιου", {"f": "να", "m": "νος", "n": "νε"}),
+             "cyrillic": ("бвгджзклмнпрстфх", "аеиоу", {"f": "на", "m": "нов", "n": "не"})}
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\dA-Za-z])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d])",
+    "phone": r"(?<![\dA-Za-z])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}"
+             r"|0\d(?:[ .-]\d{2}){4}|0\d{2,4}[ /-]\d{3,4}[ -]\d{3,4}|0\d{2,4}[ /-]\d{5,9})(?![\d])",
+    "ip6": r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
     "card": r"(?<![\dA-Za-z])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\dA-Za-z])",
-    "name": rf"(?<!\w)(?:{TITLE_WORD} )+{BEFORE_PART}{PART}(?: {BEFORE_PART}{PART})*",
+    "name": (rf"(?<!\w)(?:(?:{SALUTATION_WORD} )?(?:{TITLE_WORD} ){{1,8}}{BEFORE_PART}{PART}(?: {BEFORE_PART}{PART})*"
+             rf"|{SALUTATION_WORD} {PART}(?: {BEFORE_PART}{PART})+)"),
 }
 
 
 class Names:
-    """The surrogate names of a gender: syllables and the gender's ending."""
+    """The surrogate names of a gender: syllables of a script and the gender's ending."""
 
-    def __init__(self, ending: str):
-        self.form = re.compile(rf"(?i:(?:[{CONSONANTS}][{VOWELS}])+{ending})")
+    def __init__(self, gender: str):
+        self.form = re.compile("(?i:" + "|".join(f"(?:[{c}][{v}])+{e[gender]}" for c, v, e in SYLLABLES.values()) + ")")
 
     def __contains__(self, name: str) -> bool:
         return self.form.fullmatch(name) is not None
 
 
-NAMES = {gender: Names(ending) for gender, ending in ENDINGS.items()}
+NAMES = {gender: Names(gender) for gender in "fmn"}
 ENTITY = re.compile("|".join(f"(?P<{k}>{re.sub(r'\(\[ -\]\)', '(?P<sep>[ -])', p).replace(chr(92) + '1', '(?P=sep)')})"
                              for k, p in PATTERNS.items()))
-TITLES_OF_NAME = re.compile(rf"(?:{TITLE_WORD} )+")
+TITLES_OF_NAME = re.compile(rf"(?:{SALUTATION_WORD} )?(?:{TITLE_WORD} ){{0,8}}")
 WORD_OF_NAME = re.compile(r"[^\W_]+")
-TITLE = re.compile(TITLE_WORD.replace(r"\b", "").encode() + b" ")
+TITLE = re.compile(rf"(?:{TITLE_WORD}|{SALUTATION_WORD}) ".replace(r"\b", "").encode())
 
 RESULT = [StructField("text", StringType()), StructField("n_entities", LongType()),
           StructField("entities", ArrayType(StructType([
@@ -127,7 +144,9 @@ def _alphabet(ch: str) -> tuple[int, int]:
 
 def permute_text(text: str, key: bytes, label: str) -> str:
     """Every letter and digit replaced in its class; one-to-one on the texts
-    that share this pattern of classes."""
+    that share this pattern of classes.  Long texts go block by block."""
+    if len(text) > LONG_TEXT:
+        return "".join(permute_text(text[i:i + LONG_TEXT], key, f"{label}|{i}") for i in range(0, len(text), LONG_TEXT))
     sets = [_alphabet(c) for c in text]
     sizes = [n for _, n in sets if n > 1]
     if not sizes:
@@ -169,6 +188,15 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
     if kind == "phone" and text[0] == "+":
         country = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d", text).group()
         return country + permute_text(text[len(country):], key, kind + country)
+    if kind == "phone" and text[0] == "0":
+        return "0" + permute_text(text[1:], key, kind + "0")
+    if kind == "ip6":
+        digits = re.sub(":", "", text)
+        half = len(digits) // 2
+        shape = re.sub(r"\w", "0", text)
+        new = iter(f"{permute(int(digits, 16), 16 ** half, 16 ** (len(digits) - half), key, f'{kind}|{shape}'):0{len(digits)}x}")
+        out = "".join(c if c == ":" else next(new) for c in shape)
+        return out.upper() if text.isupper() else out
     if kind == "ip":
         value = 0
         for part in text.split("."):
@@ -186,28 +214,44 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
     return permute_text(text, key, kind)
 
 
+def _letters(name: str) -> tuple[str, int, int, list[int]]:
+    """Script a name is replaced in, the number of its alphabet among the
+    three of the script, the alphabet's size and the letters' places in it."""
+    points = [ord(c) for c in name]
+    if all(97 <= c <= 122 for c in points):
+        return "latin", 0, 26, [c - 97 for c in points]
+    if all(c == 0x390 or 0x3AC <= c <= 0x3CE for c in points):
+        return "greek", 0, 36, [max(c - 0x3AB, 0) for c in points]
+    if all(0x430 <= c <= 0x45F for c in points):
+        return "cyrillic", 0, 48, [c - 0x430 for c in points]
+    if all(48 <= c <= 57 or 97 <= c <= 122 or 0xDF <= c <= 0x17F for c in points):     # digits, letters, letters with accents
+        return "latin", 1, 197, [c - 48 if c <= 57 else c - 87 if c <= 122 else c - 187 for c in points]
+    script = next((s for s, lo, hi in (("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F)) if any(lo <= c <= hi for c in points)), "latin")
+    return script, 2, 0x110000, points
+
+
 @lru_cache(1 << 16)
 def name_surrogate(name: str, gender: str, key: bytes) -> str:
     """The replacement of one word of a name, whatever its case; one-to-one.
-    The word's letters (others escaped) are permuted among the words of their
-    length, and the result is written in syllables."""
-    digits: list[int] = []
-    for c in name.lower():
-        if "a" <= c <= "z":
-            digits.append(ord(c) - 97)
-        else:
-            digits += [26, *(ord(c) // 26 ** k % 26 for k in range(4, -1, -1))]
-    n, value = len(digits), 0
-    for d in digits:
-        value = value * 27 + d
-    value = permute(value, 27 ** (n // 2), 27 ** (n - n // 2), key, f"name|{n}")
-    syllables = len(CONSONANTS) * len(VOWELS)
-    value += sum(27 ** k for k in range(1, n)) + syllables + 1      # shorter words come first; at least two syllables
+    The word is permuted among the words of its length and alphabet, and the
+    result is written in syllables of its script."""
+    script, alphabet, size, letters = _letters(name.lower())
+    consonants, vowels, endings = SYLLABLES[script]
+    n, value = len(letters), 0
+    if n > LONG_NAME:
+        value, alphabet, shorter = int.from_bytes(hashlib.blake2b(name.lower().encode(), key=key[:64], digest_size=16).digest(), "big"), 3, 0
+    else:
+        for d in letters:
+            value = value * size + d
+        value = permute(value, size ** (n // 2), size ** (n - n // 2), key, f"name|{script}|{alphabet}|{n}")
+        shorter = sum(size ** k for k in range(1, n))
+    syllables = len(consonants) * len(vowels)
+    value = (value + shorter) * 4 + alphabet + syllables + 1     # shorter words come first; at least two syllables
     out = []
     while value:
         value, d = divmod(value - 1, syllables)
-        out.append(CONSONANTS[d // len(VOWELS)] + VOWELS[d % len(VOWELS)])
-    return "".join(reversed(out)).capitalize() + ENDINGS[gender]
+        out.append(consonants[d // len(vowels)] + vowels[d % len(vowels)])
+    return "".join(reversed(out)).capitalize() + endings[gender]
 
 
 def _gender(titles: str) -> str:
@@ -215,8 +259,9 @@ def _gender(titles: str) -> str:
     return "f" if words & set(FEMALE_TITLES) else "m" if words & set(MALE_TITLES) else "n"
 
 
-def _renamed(name: str, gender: str, of_word: dict[str, str], key: bytes) -> str:
-    """A name with its words replaced; particles stay, an initial becomes another."""
+def _renamed(name: str, gender: str, of_word: dict[str, str], given: dict[tuple[str, str], str], used: set[str], key: bytes) -> str:
+    """A name with its words replaced; particles stay, an initial becomes another.
+    ``given`` and ``used``: surrogates of the document's words so far."""
     def one(m: re.Match) -> str:
         word = m.group()
         if word in PARTICLES:
@@ -224,9 +269,13 @@ def _renamed(name: str, gender: str, of_word: dict[str, str], key: bytes) -> str
         if len(word) == 1:
             return permute_text(word, key, "initial")
         own = gender if gender != "n" else of_word.get(word.lower(), "n")
-        new = name_surrogate(word, own, key)
-        while new.lower() in of_word:
-            new = name_surrogate(new, own, key)
+        new = given.get((word.lower(), own))
+        if new is None:
+            new = name_surrogate(word, own, key)
+            while new.lower() in of_word or new in used:        # longer each time, so this ends
+                new = name_surrogate(new, own, key)
+            given[word.lower(), own] = new
+            used.add(new)
         return new.upper() if word.isupper() else new
     return WORD_OF_NAME.sub(one, name)
 
@@ -256,6 +305,22 @@ def _names(text: str, hits: list[tuple[str, int, int]]) -> tuple[dict[str, str],
     return of_word, hits
 
 
+def _free(kind: str, own: str, taken: set[str], key: bytes) -> str:
+    """The first surrogate on the way from ``own`` that is not taken.  Where the
+    way comes back to ``own``, the format has no more: the value grows by a
+    character, an address goes through a permutation of another key."""
+    new = surrogate(kind, own, key)
+    while new in taken:
+        if new == own:
+            if kind in ("ip", "ip6"):
+                key = hashlib.blake2b(b"again", key=key[:64]).digest()
+            else:
+                own = "a" + own if kind == "email" else own + "0"
+                new = own
+        new = surrogate(kind, new, key)
+    return new
+
+
 def replace(text: str, key: bytes) -> tuple[str, list[dict]]:
     """The text with its entities replaced, and the entities: kind, span in
     the original text, surrogate."""
@@ -263,25 +328,22 @@ def replace(text: str, key: bytes) -> tuple[str, list[dict]]:
     if not hits:
         return text, []
     of_word, hits = _names(text, hits)
-    originals = {text[a:b] for _, a, b in hits}
+    taken = {text[a:b] for _, a, b in hits}         # originals, then surrogates too
     given: dict[tuple[str, str], str] = {}
-    used: set[str] = set()
+    of_part: dict[tuple[str, str], str] = {}
+    used_parts: set[str] = set()
     out, at, found = [], 0, []
     for kind, a, b in hits:
         own = text[a:b]
         new = given.get((kind, own))
         if new is None and kind == "name":
             titles = TITLES_OF_NAME.match(own)
-            head = titles.group() if titles else ""
-            new = head + _renamed(own[len(head):], _gender(head), of_word, key)
+            head = titles.group()
+            new = head + _renamed(own[len(head):], _gender(head), of_word, of_part, used_parts, key)
         elif new is None:
-            new = surrogate(kind, own, key)
-            for _ in range(64):
-                if new not in originals and new not in used:
-                    break
-                new = surrogate(kind, new, key)
+            new = _free(kind, own, taken, key)
+            taken.add(new)
         given[kind, own] = new
-        used.add(new)
         out += [text[at:a], new]
         at = b
         found.append({"kind": kind, "start": a, "end": b, "surrogate": new})
@@ -301,7 +363,17 @@ def _suspects(column: pa.Array) -> np.ndarray:
     return out
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: bytes = DEFAULT_KEY) -> DataFrame:
+_DRAWN = secrets.token_bytes(32)
+
+
+def key_of(spark: SparkSession) -> bytes:
+    """The key in the session's settings; without one, a key drawn for the life
+    of the driver, so surrogates agree within it and nobody can invert them."""
+    given = spark.conf.get(KEY_SETTING, None)
+    return hashlib.blake2b(given.encode()).digest() if given else _DRAWN
+
+
+def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """``row`` (the input row) with the new ``text``, ``n_entities`` and ``entities``."""
     at = docs.columns.index(text_col)
 
@@ -329,7 +401,7 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: bytes = DEFAULT_K
             .mapInArrow(run, StructType([StructField(ROW, StructType(typed.schema.fields), False), *RESULT])))
 
 
-def replace_documents(docs: DataFrame, text_col: str = "text", key: bytes = DEFAULT_KEY) -> DataFrame:
+def replace_documents(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """``docs`` with the entities of its texts replaced, all columns kept."""
-    done = pseudonymise(docs, text_col, key)
+    done = pseudonymise(docs, key, text_col)
     return done.select(*[F.col("text").alias(c) if c == text_col else F.col(ROW)[c].alias(c) for c in docs.columns])

@@ -46,8 +46,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op8_pii_surrogates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lading.llm.pii import ROW, pseudonymise
-    return (pseudonymise(read_table(spark, sf_dir, "documents"))
+    from lading.llm.pii import ROW, key_of, pseudonymise
+    return (pseudonymise(read_table(spark, sf_dir, "documents"), key_of(spark))
             .select(F.col(ROW)["doc_id"].alias("doc_id"), "text", "n_entities", "entities"))
 
 

@@ -5,7 +5,8 @@ pieces they pop: when the next byte has no edge, the match so far is cut into
 its greedy pieces by one precomputed hop (count of pieces, node of the
 unmatched rest) instead of a second look at the bytes.  Counting a word is
 then one pass over its bytes and builds no pieces.  The distinct words of a
-run of texts are advanced together, one byte per step.
+run of texts are advanced together, one byte per step; words of over
+``LONG_WORD`` bytes one by one.
 
 Word rule: a word is matched as word start mark + bytes; a byte that no piece
 covers makes the whole word one unknown token.  The vocabulary comes from a
@@ -30,6 +31,7 @@ from lading.llm.textcols import row_counts, span_hashes, word_spans
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
+LONG_WORD = 256             # bytes; a step over few words costs as much as one over many
 
 
 @dataclass
@@ -93,17 +95,43 @@ def build(pieces: list[bytes]) -> Automaton:
     return Automaton(classes, edges, np.array(fail, np.int32), np.array(popped, np.int32), width, start, 0)
 
 
+def count_long(a: Automaton, word: np.ndarray) -> int:
+    """Pieces of one word, byte by byte."""
+    if a.start < 0:
+        return 1
+    edges, fail, popped, width = memoryview(a.edges), memoryview(a.fail), memoryview(a.popped), a.n_classes
+    node, total = a.start, 0
+    for lo in range(0, len(word), 1 << 16):
+        for c in a.classes[word[lo:lo + (1 << 16)]].tolist():
+            to = edges[node * width + c]
+            while to < 0:
+                total += popped[node]
+                node = fail[node]
+                if node < 0:
+                    return 1
+                to = edges[node * width + c]
+            node = to
+    while node > 0:                                          # pop what is left
+        total += popped[node]
+        node = fail[node]
+    return total if node == 0 else 1
+
+
 def count_words(a: Automaton, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Pieces of each word; 1 (unknown) where a byte is covered by no piece."""
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    own = [count_long(a, buf[starts[i]:ends[i]]) for i in long.tolist()]
+    ends = ends.copy()
+    ends[long] = starts[long]
     n = len(starts)
     node = np.full(n, a.start, dtype=np.int64)
     total = np.zeros(n, dtype=np.int64)
     bad = node < 0
     node[bad] = 0
     longest = np.argsort(starts - ends, kind="stable")       # by length, longest first
-    length = (ends - starts)[longest]
-    for i in range(int(length[0]) if n else 0):
-        live = longest[:np.searchsorted(-length, -i, side="left")]
+    sizes = (starts - ends)[longest]                         # negative, rising
+    for i in range(-int(sizes[0]) if n else 0):
+        live = longest[:np.searchsorted(sizes, -i, side="left")]
         c = a.classes[buf[starts[live] + i]]
         while len(live):
             nxt = a.edges[node[live] * a.n_classes + c]
@@ -122,7 +150,9 @@ def count_words(a: Automaton, buf: np.ndarray, starts: np.ndarray, ends: np.ndar
         bad[live[hop < 0]] = True
         node[live] = np.maximum(hop, 0)
         live = live[hop > 0]
-    return np.where(bad, 1, total)
+    total = np.where(bad, 1, total)
+    total[long] = own
+    return total
 
 
 def vocabulary(path: str = TOKENIZER) -> list[bytes]:
