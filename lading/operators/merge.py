@@ -14,8 +14,9 @@ fall into (``merge_folders``); the others keep their files.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lading.operators.materialize import Materializer
@@ -30,7 +31,7 @@ def _differs(a: Column, b: Column) -> Column:
 
 def merge_into(target: DataFrame, source: DataFrame, key: str, columns: Sequence[str],
                update_columns: Sequence[str], conditional: bool,
-               run_ts: Column | None = None) -> DataFrame:
+               run_ts: Column | None = None, folder: str | None = None) -> DataFrame:
     """Next version of ``target`` after merging ``source``.
 
     * matched and (not ``conditional`` or any update column differs):
@@ -40,18 +41,21 @@ def merge_into(target: DataFrame, source: DataFrame, key: str, columns: Sequence
     ``merge_action`` tells which branch produced the row.  The source must be
     unique per key (deduplicate first): a repeated key fails the job when it
     runs.  The check counts rows per key on the partitioning that the join
-    needs anyway, so it adds no shuffle.
+    needs anyway, so it adds no shuffle.  ``folder`` names a column of both
+    sides that follows from the key; it then is a key of the join as well.
     """
     ts = run_ts if run_ts is not None else F.current_timestamp()
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in columns],
                       (F.col("updated_at") if "updated_at" in target.columns
                        else F.lit(None).cast("timestamp")).alias("t_updated_at"),
-                      F.lit(True).alias("_in_t"))
-    repeated = (F.count(F.lit(1)).over(Window.partitionBy(key)) > 1) & F.col(key).isNotNull()
-    failed = F.raise_error(F.concat(F.lit(f"merge source repeats {key}="), F.col(key).cast("string")))
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in columns],
-                      F.when(repeated, failed.cast("boolean")).otherwise(F.lit(True)).alias("_in_s"))
-    j = t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
+                      F.lit(True).alias("_in_t"), *([F.col(folder).alias("_t_folder")] if folder else []))
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in columns], *([F.col(folder).alias("_s_folder")] if folder else []))
+    own = F.col(f"s_{key}")                                    # the join's own name: window and join share one exchange
+    repeated = (F.count(F.lit(1)).over(Window.partitionBy(*(["_s_folder"] if folder else []), own)) > 1) & own.isNotNull()
+    failed = F.raise_error(F.concat(F.lit(f"merge source repeats {key}="), own.cast("string")))
+    s = s.withColumn("_in_s", F.when(repeated, failed.cast("boolean")).otherwise(F.lit(True)))
+    same = F.col(f"t_{key}") == F.col(f"s_{key}")
+    j = t.join(s, (F.col("_t_folder") == F.col("_s_folder")) & same if folder else same, "full_outer")
     matched = F.col("_in_t").isNotNull() & F.col("_in_s").isNotNull()
     src_only = F.col("_in_t").isNull()
     if conditional:
@@ -70,6 +74,8 @@ def merge_into(target: DataFrame, source: DataFrame, key: str, columns: Sequence
         out.append(v.alias(c))
     action = F.when(src_only, F.lit(INSERTED)).when(update, F.lit(UPDATED)).otherwise(F.lit(UNCHANGED))
     updated_at = F.when(src_only | update, ts).otherwise(F.col("t_updated_at"))
+    if folder:
+        out.append(F.coalesce("_t_folder", "_s_folder").alias(folder))
     return j.select(*out, updated_at.alias("updated_at"), action.alias("merge_action"))
 
 
@@ -81,11 +87,27 @@ def folder_of(key: str, folders: int = FOLDERS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(folders)).cast("int")
 
 
-def write_folders(df: DataFrame, path: str, key: str, folders: int = FOLDERS, dynamic: bool = False) -> None:
-    """Write ``df`` to one folder per hash of the key; with ``dynamic``, only
-    the folders that ``df`` has rows for are replaced."""
-    (df.withColumn(PART, folder_of(key, folders)).repartition(folders, PART).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(PART).parquet(path))
+def write_folders(df: DataFrame, path: str, key: str, folders: int = FOLDERS) -> None:
+    """Write ``df`` to one folder per hash of the key."""
+    _write(df.withColumn(PART, folder_of(key, folders)).repartition(folders, PART), path, "static")
+
+
+def _write(df: DataFrame, path: str, overwritten: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", overwritten).option("compression", "zstd")
+     .partitionBy(PART).parquet(path))
+
+
+@contextmanager
+def joined_by_folder(spark: SparkSession):
+    """Let a join on (folder, key) take sides that are dealt by the folder
+    alone; otherwise it deals both again by all its keys."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
 
 
 def touched_folders(source: DataFrame, key: str, folders: int = FOLDERS) -> list[int]:
@@ -99,18 +121,26 @@ def merge_folders(path: str, source: DataFrame, key: str, columns: Sequence[str]
     that were replaced.
 
     The filter on the folder is a partition filter, so the others are neither
-    listed for data nor read.  The merged folders are first written to the
-    shared folder and then swapped in by a dynamic partition overwrite: a job
-    that fails before the swap leaves the target as it was, and the swap
-    itself can be repeated from what was written.
+    listed for data nor read.  Both sides are dealt by folder once: the
+    repeated-key check, the join and the write of the merged folders need no
+    other shuffle.  They are first written to the shared folder and then
+    swapped in, as they lie, by a dynamic partition overwrite: a job that fails
+    before the swap leaves the target as it was, and the swap itself can be
+    repeated from what was written.
     """
     spark = source.sparkSession
+    keep = Materializer(spark)
+    source = keep("source", source.select(*columns))           # read twice: for its folders and for its rows
     touched = touched_folders(source, key, folders)
     if not touched:
         return []
-    target = spark.read.parquet(path).where(F.col(PART).isin(touched)).drop(PART)
-    merged = merge_into(target, source, key, columns, update_columns, conditional, run_ts).drop("merge_action")
-    write_folders(Materializer(spark)("merged", merged), path, key, folders, dynamic=True)
+    target = spark.read.parquet(path).where(F.col(PART).isin(touched)).repartition(folders, PART)
+    dealt = source.withColumn(PART, folder_of(key, folders)).repartition(folders, PART)
+    staged = keep.path("merged")
+    with joined_by_folder(spark):
+        merged = merge_into(target, dealt, key, columns, update_columns, conditional, run_ts, PART)
+        _write(merged.drop("merge_action"), staged, "static")
+    _write(spark.read.parquet(staged), path, "dynamic")
     return touched
 
 
